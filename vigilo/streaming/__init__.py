@@ -1,0 +1,5 @@
+"""No stateful streaming operators exist here.
+
+The workload is batch only. The row-wise operators (recodes, bands, flags, scaling with stored
+statistics) are plain column expressions, so they also run unchanged on a streaming DataFrame.
+"""
