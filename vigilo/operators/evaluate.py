@@ -9,33 +9,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilo.functions import fixed
+from vigilo.operators.groups import join_groups
 from vigilo.operators.ordering import prefix_sums, quantiles, value_counts, with_value_buckets
+from vigilo.sources.tables import stage
 
 
 def _score_counts(df: DataFrame, score: str, label: str, by: Sequence[str]) -> DataFrame:
-    """Positives and negatives per distinct score; everything after works on these."""
-    rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-    return rows.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
+    """Positives and negatives per distinct score, written down once.
+
+    Scores are often costly to compute; everything after works on these counts.
+    """
+    rows = df.where(F.col(score).isNotNull() & F.col(label).isin(0, 1))
+    counts = rows.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
+    return stage(counts, "scores")
 
 
-def _cumulated(df: DataFrame, score: str, label: str, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def _cumulated(df: DataFrame, score: str, label: str, by: Sequence[str]) -> DataFrame:
     counts = with_value_buckets(_score_counts(df, score, label, by), "score")
-    cum = prefix_sums(
-        counts, "score", {"pos": "pos_upto", "neg": "neg_upto"}, by=by, previous="below"
+    return prefix_sums(
+        counts, "score", {"pos": "pos_upto", "neg": "neg_upto"}, by=by,
+        totals={"pos": "P", "neg": "N"}, previous="below",
+    )
+
+
+def _points(cum: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Every threshold with its rates; the highest score also closes the curve at infinity."""
+    below, score = F.col("below"), F.col("score")
+    called = F.struct(
+        F.when(below.isNull(), F.lit(float("-inf"))).otherwise((below + score) / 2).alias("threshold"),
+        F.try_divide(F.col("P") - F.col("pos_upto") + F.col("pos"), F.col("P")).alias("sensitivity"),
+        F.try_divide(F.col("neg_upto") - F.col("neg"), F.col("N")).alias("specificity"),
+    )
+    none = F.struct(
+        F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("sensitivity"), F.lit(1.0).alias("specificity")
     )
-    totals = counts.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.max("score").alias("top"))
-    if by:
-        joined = cum.join(totals, [cum[c].eqNullSafe(totals[c]) for c in by]).select(
-            *[cum[c] for c in by], *[c for c in cum.columns if c not in by], "P", "N"
-        )
-    else:
-        total = totals.agg(F.struct(F.max("P").alias("P"), F.max("N").alias("N"))).scalar()
-        joined = cum.select("*", total.alias("__t")).select(
-            *cum.columns, F.col("__t.P").alias("P"), F.col("__t.N").alias("N")
-        )
-    return joined, totals
+    last = F.col("pos_upto") + F.col("neg_upto") == F.col("P") + F.col("N")
+    return cum.select(*by, "P", "N", F.inline(F.when(last, F.array(called, none)).otherwise(F.array(called))))
 
 
 def roc_curve(df: DataFrame, score: str, label: str, *, by: Sequence[str] = ()) -> DataFrame:
@@ -45,24 +56,14 @@ def roc_curve(df: DataFrame, score: str, label: str, *, by: Sequence[str] = ())
     between neighbouring scores, with minus and plus infinity at the ends.
     """
     by = list(by)
-    cum, totals = _cumulated(df, score, label, by)
-    lower = F.when(F.col("below").isNull(), F.lit(float("-inf"))).otherwise((F.col("below") + F.col("score")) / 2)
-    points = cum.select(
-        *by,
-        lower.alias("threshold"),
-        F.try_divide(F.col("P") - F.col("pos_upto") + F.col("pos"), F.col("P")).alias("sensitivity"),
-        F.try_divide(F.col("neg_upto") - F.col("neg"), F.col("N")).alias("specificity"),
-    )
-    end = totals.select(
-        *by, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("sensitivity"), F.lit(1.0).alias("specificity")
-    )
-    return points.unionByName(end)
+    points = _points(_cumulated(df, score, label, by), by)
+    return points.select(*by, "threshold", "sensitivity", "specificity")
 
 
 def roc_auc(df: DataFrame, score: str, label: str, *, by: Sequence[str] = ()) -> DataFrame:
     """Area under the curve as the share of correctly ordered pairs, ties counting half."""
     by = list(by)
-    cum, _ = _cumulated(df, score, label, by)
+    cum = _cumulated(df, score, label, by)
     won = F.sum(
         F.col("neg").cast("double")
         * (F.col("P") - F.col("pos_upto") + F.col("pos").cast("double") / 2)
@@ -81,24 +82,13 @@ def best_threshold(
     The smallest of equally near thresholds wins.
     """
     by = list(by)
-    cum, totals = _cumulated(df, score, label, by)
-    sens = F.try_divide(F.col("P") - F.col("pos_upto") + F.col("pos"), F.col("P"))
-    spec = F.try_divide(F.col("neg_upto") - F.col("neg"), F.col("N"))
+    points = _points(_cumulated(df, score, label, by).where("P > 0 AND N > 0"), by)
     prevalence = F.col("P") / (F.col("P") + F.col("N"))
     ratio = (F.lit(1.0) - prevalence) / (F.lit(cost) * prevalence)
-    threshold = F.when(F.col("below").isNull(), F.lit(float("-inf"))).otherwise((F.col("below") + F.col("score")) / 2)
-    distance = (1 - sens) * (1 - sens) + ratio * (1 - spec) * (1 - spec)
-    points = cum.where("P > 0 AND N > 0").select(
-        *by, threshold.alias("threshold"), sens.alias("sensitivity"), spec.alias("specificity"),
-        distance.alias("distance"),
-    )
-    # At plus infinity nothing is called positive: sensitivity 0, specificity 1, distance 1.
-    end = totals.where("P > 0 AND N > 0").select(
-        *by, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("sensitivity"),
-        F.lit(1.0).alias("specificity"), F.lit(1.0).alias("distance"),
-    )
+    miss, alarm = 1 - F.col("sensitivity"), 1 - F.col("specificity")
+    measured = points.withColumn("distance", miss * miss + ratio * alarm * alarm)
     best = F.min_by(F.struct("threshold", "sensitivity", "specificity", "distance"), F.struct("distance", "threshold"))
-    return points.unionByName(end).groupBy(*by).agg(best.alias("b")).select(*by, "b.*")
+    return measured.groupBy(*by).agg(best.alias("b")).select(*by, "b.*")
 
 
 def best_model(df: DataFrame, score: str, label: str, *, model: str) -> DataFrame:
@@ -139,22 +129,26 @@ def confusion(df: DataFrame, score: str, label: str, threshold: Column, *, by: S
 def ecdf_rank(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Percentile rank 0..100 of each value within its column; missing values stay missing.
 
-    The rank is a step function with at most 101 steps. The exact step positions come from value
-    counts and running sums, and only they leave the executors; the rows are then ranked in place
-    without being moved.
+    The rank is a step function with at most 101 steps. The exact step positions of all columns
+    come from one pass of value counts and running sums, and only they leave the executors; the
+    rows are then ranked in place without being moved.
     """
+    values = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+    )
+    counts = value_counts(df.select(F.inline(values)), "value", by=["column"])
+    cum = prefix_sums(
+        with_value_buckets(counts, "value"), "value", {"n": "upto"}, by=["column"], totals={"n": "total"}
+    )
+    rank = F.floor(F.col("upto") / F.col("total") * 100)
+    found = cum.groupBy("column", rank.alias("rank")).agg(F.min("value").alias("start")).collect()
     out = df
     for column, name in columns.items():
-        counts = with_value_buckets(value_counts(df, column), column)
-        cum = prefix_sums(counts, column, {"n": "upto"})
-        total = counts.agg(F.sum("n")).scalar()
-        rank = F.floor(F.col("upto") / total * 100)
-        steps = cum.groupBy(rank.alias("rank")).agg(F.min(F.col(column).cast("double")).alias("start"))
-        found = sorted((r["start"], r["rank"]) for r in steps.collect())
-        if not found:
+        steps = sorted((r["start"], r["rank"]) for r in found if r["column"] == column)
+        if steps:
+            out = _step_lookup(out, column, [s for s, _ in steps], [int(r) for _, r in steps], name)
+        else:
             out = out.withColumn(name, F.lit(None).cast("long"))
-            continue
-        out = _step_lookup(out, column, [s for s, _ in found], [int(r) for _, r in found], name)
     return out
 
 
@@ -194,11 +188,7 @@ def error_quantiles(
     found = quantiles(errors, "__e", probabilities, by=by)
     spans = df.groupBy(*by).agg((F.max(y) - F.min(y)).alias("__range"))
     names = {p: f"q{round(p * 100)}" for p in probabilities}
-    if by:
-        joined = found.join(spans, [found[c].eqNullSafe(spans[c]) for c in by])
-        span, cols = F.col("__range"), [found[c] for c in by]
-    else:
-        joined, span, cols = found, spans.scalar(), []
+    joined, span = (join_groups(found, spans, by), F.col("__range")) if by else (found, spans.scalar())
     return joined.select(
-        *cols, *[F.try_divide(F.col(f"q{i}"), span).alias(names[p]) for i, p in enumerate(probabilities)]
+        *by, *[F.try_divide(F.col(f"q{i}"), span).alias(names[p]) for i, p in enumerate(probabilities)]
     )

@@ -22,6 +22,18 @@ def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
+def join_groups(df: DataFrame, table: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a table of groups on its keys; missing keys match each other, keys appear once.
+
+    The keys of ``table`` are renamed first, so both sides may stem from the same DataFrame.
+    """
+    renamed = table.select(
+        *[F.col(c).alias(f"__k_{c}") for c in by], *[c for c in table.columns if c not in by]
+    )
+    cond = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in by]
+    return df.join(renamed, cond, how).drop(*[f"__k_{c}" for c in by])
+
+
 def with_group_stats(df: DataFrame, by: Sequence[str], stats: dict[str, Column]) -> DataFrame:
     """Add aggregates of the row's group; without ``by`` of the whole table.
 
@@ -32,7 +44,5 @@ def with_group_stats(df: DataFrame, by: Sequence[str], stats: dict[str, Column])
         values = df.agg(F.struct(*[c.alias(n) for n, c in stats.items()])).scalar()
         wide = df.select("*", values.alias("__g"))
         return wide.select(*df.columns, *[F.col("__g")[n].alias(n) for n in stats])
-    table = df.groupBy(*[F.col(c).alias(f"__k_{c}") for c in by]).agg(*[c.alias(n) for n, c in stats.items()])
-    table = small_side(table)
-    cond = [df[c].eqNullSafe(table[f"__k_{c}"]) for c in by]
-    return df.join(table, cond, "left").select(*[df[c] for c in df.columns], *stats)
+    table = df.groupBy(*by).agg(*[c.alias(n) for n, c in stats.items()])
+    return join_groups(df, small_side(table), by, "left")

@@ -13,6 +13,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigilo.functions.hashing import leading_int
+from vigilo.operators.groups import join_groups, small_side
+from vigilo.sources.tables import stage
+
 _BUCKET = "__bucket"
 _ERROR = 0.001
 
@@ -50,31 +54,33 @@ def prefix_sums(
     sums: Mapping[str, str],
     *,
     by: Sequence[str] = (),
+    totals: Mapping[str, str] | None = None,
     previous: str | None = None,
 ) -> DataFrame:
     """Inclusive running sums in the order of ``order`` within ``by``.
 
     ``bucketed`` comes from one of the ``with_*_buckets`` functions. ``sums`` maps an input column
-    to the name of its running sum. ``previous`` names a column that receives the next lower value
-    of the (single) order column.
+    to the name of its running sum, ``totals`` to the name of its sum over the group. ``previous``
+    names a column that receives the next lower value of the (single) order column.
+
+    The sums below each bucket are fetched first and broadcast if there are few of them, so the
+    rows are shuffled once, by group and bucket.
     """
-    by = list(by)
+    by, totals = list(by), dict(totals or {})
     order = [order] if isinstance(order, str) else list(order)
     inside = Window.partitionBy(*by, _BUCKET).orderBy(*order)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*(by or [F.lit(0)]))
+    lower = whole.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = bucketed.groupBy(*by, _BUCKET).agg(
         *[F.sum(c).alias(f"__t_{c}") for c in sums],
         *([F.max(order[0]).alias("__top")] if previous else []),
     )
-    lower = (
-        Window.partitionBy(*(by or [F.lit(0)]))
-        .orderBy(_BUCKET)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
     offsets = per_bucket.select(
         *by,
         _BUCKET,
         *[F.coalesce(F.sum(f"__t_{c}").over(lower), F.lit(0)).alias(f"__o_{c}") for c in sums],
+        *[F.sum(f"__t_{c}").over(whole).alias(name) for c, name in totals.items()],
         *([F.max("__top").over(lower).alias("__below")] if previous else []),
     )
     left = bucketed.select(
@@ -82,18 +88,21 @@ def prefix_sums(
         *[F.sum(c).over(running).alias(f"__r_{c}") for c in sums],
         *([F.lag(order[0]).over(inside).alias("__lag")] if previous else []),
     )
-    cond = [left[c].eqNullSafe(offsets[c]) for c in [*by, _BUCKET]]
-    joined = left.join(offsets, cond)
-    return joined.select(
-        *[left[c] for c in bucketed.columns if c != _BUCKET],
+    return join_groups(left, small_side(offsets), [*by, _BUCKET]).select(
+        *[c for c in bucketed.columns if c != _BUCKET],
         *[(F.col(f"__r_{c}") + F.col(f"__o_{c}")).alias(name) for c, name in sums.items()],
+        *totals.values(),
         *([F.coalesce("__lag", "__below").alias(previous)] if previous else []),
     )
 
 
 def value_counts(df: DataFrame, value: str, *, by: Sequence[str] = ()) -> DataFrame:
-    """Rows per distinct value; missing values leave."""
-    return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    """Rows per distinct value, written down once; missing values leave.
+
+    The table itself is read this one time; cut points and running sums use the counts.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    return stage(counts, "counts")
 
 
 def row_numbers(df: DataFrame, key: str, name: str, *, by: Sequence[str] = ()) -> DataFrame:
@@ -104,8 +113,6 @@ def row_numbers(df: DataFrame, key: str, name: str, *, by: Sequence[str] = ()) -
 
 def hash_ranks(df: DataFrame, key: Column, name: str, *, by: Sequence[str] = (), tie: str) -> DataFrame:
     """1-based position in hash order of ``key`` (a hex digest); ``tie`` orders equal digests."""
-    from vigilo.functions.hashing import leading_int
-
     ones = df.withColumns({"__one": F.lit(1).cast("long"), "__digest": key})
     bucketed = with_hash_buckets(ones, leading_int(F.col("__digest")))
     return prefix_sums(bucketed, ["__digest", tie], {"__one": name}, by=by).drop("__one", "__digest")
@@ -120,15 +127,8 @@ def quantiles(
     """
     by = list(by)
     counts = with_value_buckets(value_counts(df, value, by=by), value)
-    cum = prefix_sums(counts, value, {"n": "upto"}, by=by)
-    totals = cum.groupBy(*by).agg(F.max("upto").alias("__total"))
-    if by:
-        cond = [cum[c].eqNullSafe(totals[c]) for c in by]
-        pos = cum.join(totals, cond).select(*[cum[c] for c in by], value, "n", "upto", "__total")
-        total = F.col("__total")
-    else:
-        pos = cum.withColumn("__total", totals.scalar())
-        total = F.col("__total")
+    pos = prefix_sums(counts, value, {"n": "upto"}, by=by, totals={"n": "__total"})
+    total = F.col("__total")
     aggs = []
     for i, p in enumerate(probabilities):
         at = (total - 1) * F.lit(float(p))

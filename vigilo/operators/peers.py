@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilo.functions.recode import matches_or_missing
-from vigilo.operators.groups import small_side
+from vigilo.operators.groups import join_groups, small_side
 
 
 def peer_stats(
@@ -56,6 +56,7 @@ def peer_enriched(cohort: DataFrame, group: Sequence[str], **measures) -> DataFr
     The statistics are broadcast when the groups are few, so the members are not shuffled by a
     group key that may be heavily skewed; otherwise both sides meet in a shuffled join.
     """
-    stats = small_side(peer_stats(cohort, group, **measures))
-    cond = [cohort[c].eqNullSafe(stats[f"cohort_{c}"]) for c in group]
-    return cohort.join(stats, cond, "left").drop(*[f"cohort_{c}" for c in group])
+    stats = peer_stats(cohort, group, **measures)
+    for c in group:
+        stats = stats.withColumnRenamed(f"cohort_{c}", c)
+    return join_groups(cohort, small_side(stats), group, "left")

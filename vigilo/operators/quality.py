@@ -66,9 +66,14 @@ def quality_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         *[c.value.cast("double").alias(f"v{i}") for i, c in enumerate(checks) if c.median_of is None],
         F.count(F.lit(1)).alias("__all"),
     )
-    for i, c in enumerate(checks):
-        if c.median_of is not None:
-            plain = plain.withColumn(f"v{i}", quantiles(df, c.median_of, [0.5]).scalar())
+    middle = {i: c.median_of for i, c in enumerate(checks) if c.median_of is not None}
+    if middle:
+        values = [
+            F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("value")) for i, c in middle.items()
+        ]
+        medians = quantiles(df.select(F.inline(F.array(*values))), "value", [0.5], by=["i"])
+        found = medians.agg(F.map_from_entries(F.collect_list(F.struct("i", "q0")))).scalar()
+        plain = plain.withColumns({f"v{i}": found[F.lit(i)] for i in middle})
     out = []
     for i, c in enumerate(checks):
         value = F.col(f"v{i}")

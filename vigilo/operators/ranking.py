@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,11 +35,14 @@ def error_efficiency(error: Column, elapsed: Column) -> Column:
 
 
 def efficiency_topn(
-    results: DataFrame, method: str, *, efficiency_col: Column, n: int = 8
+    results: DataFrame, method: str, *, efficiency_col: Column, n: int = 8, ties: Sequence[str] = ()
 ) -> DataFrame:
-    """The ``n`` distinct result rows with the best efficiency; method names break ties."""
+    """The ``n`` distinct result rows with the best efficiency.
+
+    Equal ones are ordered by method, then by the columns ``ties``.
+    """
     rows = results.distinct().withColumn("efficiency", efficiency_col)
-    return rows.orderBy(F.desc_nulls_last("efficiency"), method).limit(n)
+    return rows.orderBy(F.desc_nulls_last("efficiency"), method, *ties).limit(n)
 
 
 def budget_topn(

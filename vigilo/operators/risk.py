@@ -121,7 +121,7 @@ def risk_bands(df: DataFrame, threshold: Column, *, pred: str = "pred", se: str
 def risk_export(
     df: DataFrame, *, grade: Column, year: Column, prelim: bool = False, run_time: Column | None = None,
 ) -> DataFrame:
-    """The export record of a banded cohort, with a row number by student within the grade."""
+    """The export record of a banded cohort, numbered by student within grade and year."""
     kind = "Preliminary" if prelim else "Final"
     blank = F.lit(None).cast("double")
     counted = blank if prelim else recode.unshifted(F.col("incCount"), fixed.COUNT_OFFSET)
@@ -156,7 +156,7 @@ def risk_export(
         "SCHOOL_YEAR": year,
     }
     rows = df.select(*[c.alias(n) for n, c in values.items()])
-    return row_numbers(rows, "STUDENT_KEY", "X", by=["GRADE_LEVEL"]).select(*fixed.EXPORT_COLUMNS)
+    return row_numbers(rows, "STUDENT_KEY", "X", by=["GRADE_LEVEL", "SCHOOL_YEAR"]).select(*fixed.EXPORT_COLUMNS)
 
 
 def risk_lifecycle(
