@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from vigilo.functions import fixed, schoolyear
 from vigilo.operators import cohort
-from vigilo.sources.tables import load
+from vigilo.sources.tables import load, stage
 
 LAST_KNOWN = 2001
 EXITS = {"2-HIGH": fixed.UNKNOWN_EXIT, "3-MEDIUM": fixed.LATE}
@@ -257,22 +257,23 @@ def _spread_discipline(people: DataFrame, incidents: DataFrame) -> DataFrame:
     return people.select(*COHORT).join(incidents, "STUDENT_KEY")
 
 
+def _pulled(spark, d, people, **more):
+    """The cohort is narrow and read by several passes afterwards, so it is written down once."""
+    return stage(cohort.assemble(
+        people, COHORT, tests=tests(spark, d), mobility=mobility(spark, d),
+        discipline=_spread_discipline(people, discipline(spark, d)), **more,
+    ), "cohort")
+
+
 def training_cohort(spark: SparkSession, d: str) -> DataFrame:
     everyone = annual(spark, d)
     year, grade = F.col("SCHOOL_YEAR"), F.col("STUDENT_ANNUAL_GRADE_CODE")
     people = everyone.where(schoolyear.has_known_outcome(year, grade, LAST_KNOWN))
-    return cohort.assemble(
-        people, COHORT, tests=tests(spark, d), mobility=mobility(spark, d),
-        discipline=_spread_discipline(people, discipline(spark, d)), outcome=outcome(spark, d, people),
-    )
+    return _pulled(spark, d, people, outcome=outcome(spark, d, people))
 
 
 def scoring_cohort(spark: SparkSession, d: str) -> DataFrame:
-    people = annual(spark, d)
-    return cohort.assemble(
-        people, COHORT, tests=tests(spark, d), mobility=mobility(spark, d),
-        discipline=_spread_discipline(people, discipline(spark, d)),
-    )
+    return _pulled(spark, d, annual(spark, d))
 
 
 PULLED = """

@@ -74,7 +74,7 @@ def smote(
     )
     pool = F.slice(F.concat(own, others), 1, neighbours)
     listed = near.select("vec", "n", pool.alias("pool"), digest(F.array_join("vec", ",")).alias("id"))
-    drawn = repeat_rows(listed.where(F.size("pool") > 0), F.col("n") * copies, "i")
+    drawn = repeat_rows(listed.where(F.size("pool") > 0), F.col("n") * copies, "i", spread=True)
     pick = F.floor(unit_hash(F.col("id"), F.col("i"), f"n{seed}") * F.size("pool")).cast("int")
     gap = unit_hash(F.col("id"), F.col("i"), f"g{seed}")
     mixed = F.zip_with(
@@ -89,7 +89,7 @@ def smote(
 
     size = common.agg(F.count(F.lit(1))).scalar()
     draws = repeat_rows(
-        listed.where(F.size("pool") > 0).select("id", "n"), F.col("n") * copies * majority_per_copy, "i"
+        listed.where(F.size("pool") > 0).select("id", "n"), F.col("n") * copies * majority_per_copy, "i", spread=True
     ).select((F.floor(unit_hash(F.col("id"), F.col("i"), f"m{seed}") * size) + 1).alias("__rank"))
     ranked = hash_ranks(common.select(key, *features, label), digest(F.col(key)), "__rank", tie=key)
     majority = draws.join(ranked, "__rank")

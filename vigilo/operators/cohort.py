@@ -14,17 +14,23 @@ from pyspark.sql import functions as F
 
 from vigilo.functions import fixed
 from vigilo.functions.recode import recode_map
+from vigilo.operators.groups import small_side
 from vigilo.operators.ordering import repeat_rows
 
 
 def cohort_members(fact: DataFrame, members: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Fact rows whose key belongs to the cohort."""
-    return fact.join(members, key, "left_semi")
+    return fact.join(_keys(members, key), key, "left_semi")
 
 
 def without_keys(fact: DataFrame, keys: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Fact rows whose key is not among ``keys``."""
-    return fact.join(keys, key, "left_anti")
+    return fact.join(_keys(keys, key), key, "left_anti")
+
+
+def _keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Each key once, combined before the shuffle, so that a frequent key is one row."""
+    return df.select(*([key] if isinstance(key, str) else key)).distinct()
 
 
 def demographics(annual: DataFrame, person: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -35,10 +41,13 @@ def demographics(annual: DataFrame, person: DataFrame, key: str | Sequence[str])
 def role_dates(
     fact: DataFrame, dates: DataFrame, *, date_key: str, date_value: str, roles: Mapping[str, str]
 ) -> DataFrame:
-    """Resolve several date keys of one fact; ``roles`` maps a key column to an output column."""
-    out = fact
+    """Resolve several date keys of one fact; ``roles`` maps a key column to an output column.
+
+    A calendar is small and then broadcast; one beyond the size check joins by shuffle.
+    """
+    out, calendar = fact, small_side(dates.select(date_key, date_value))
     for column, name in roles.items():
-        role = dates.select(F.col(date_key).alias(column), F.col(date_value).alias(name))
+        role = calendar.select(F.col(date_key).alias(column), F.col(date_value).alias(name))
         out = out.join(role, column)
     return out
 
@@ -156,7 +165,10 @@ def crosswalk(
     """
     refs = xref.where(current) if current is not None else xref
     if seen is not None:
-        refs = refs.join(seen.select(local_id), local_id, "left_semi" if distinct else "inner")
+        if distinct:
+            refs = refs.join(_keys(seen, local_id), local_id, "left_semi")
+        else:
+            refs = refs.join(seen.select(local_id), local_id)
     out = (
         keymap.join(refs, shared_id)
         .join(persons, key)
@@ -235,27 +247,34 @@ def outcome_label(
     each unless ``one_row_per_key``, which keeps the graduate's row, or else the first label of:
     unknown exit, late, not graduated.
 
-    Enrolments are only ever aggregated, with partial sums before each shuffle; there is no
-    window and no join back to the enrolments, so a key with very many rows is harmless.
+    Diplomas and enrolments are counted per distinct combination of their values before they meet
+    the members, so a key with very many rows is a handful of rows by then; there is no window
+    and no join back to the enrolments.
     """
     keys = [*by, key]
-    known = dedupe_outcome(
-        diplomas.select(key, diploma_year).join(members, key),
-        keys,
-        year=diploma_year,
-        on_time=F.coalesce(F.col(diploma_year) <= F.col(horizon), F.lit(False)),
-    ).select(*keys, F.col("grad_ind").alias("__label"), "duplicated")
+    met = F.coalesce(F.col(diploma_year) <= F.col(horizon), F.lit(False))
+    known = (
+        diplomas.groupBy(key, diploma_year).agg(F.count(F.lit(1)).alias("__n"))
+        .join(members, key)
+        .groupBy(*keys)
+        .agg(
+            F.when(F.bool_or(met), fixed.ON_TIME).otherwise(fixed.LATE).alias("__label"),
+            F.when(F.sum("__n") > 1, "Yes").otherwise("No").alias("duplicated"),
+        )
+    )
 
     label = F.coalesce(recode_outcome(F.col(code), codes), F.lit(fixed.NON_GRAD))
+    rows = lambda cond: F.sum(F.when(cond, F.col("__n")).otherwise(0))
     per_date = (
-        enrolments.select(key, end_date, withdraw_year, code)
+        enrolments.groupBy(key, end_date, withdraw_year, code)
+        .agg(F.count(F.lit(1)).alias("__n"))
         .join(members, key)
         .groupBy(*keys, end_date)
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col(withdraw_year) > F.col(horizon)).alias("over"),
-            F.count_if(label == fixed.UNKNOWN_EXIT).alias("exits"),
-            F.count_if(label == fixed.LATE).alias("late"),
+            F.sum("__n").alias("n"),
+            rows(F.col(withdraw_year) > F.col(horizon)).alias("over"),
+            rows(label == fixed.UNKNOWN_EXIT).alias("exits"),
+            rows(label == fixed.LATE).alias("late"),
         )
     )
     last = per_date.groupBy(*keys).agg(
@@ -285,8 +304,8 @@ def outcome_label(
     some = F.filter(cases, lambda c: c["copies"] > 0)
     if one_row_per_key:
         return joined.select(*keys, F.element_at(some, 1)["grad_ind"].alias("grad_ind"), "duplicated")
-    rows = joined.select(*keys, "duplicated", F.inline(some))
-    return repeat_rows(rows, F.col("copies"), "__i").select(*keys, "grad_ind", "duplicated")
+    counted = joined.select(*keys, "duplicated", F.inline(some))
+    return repeat_rows(counted, F.col("copies"), "__i").select(*keys, "grad_ind", "duplicated")
 
 
 def recode_outcome(code: Column, codes: Mapping[str, str]) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from vigilo.functions import fixed
 from vigilo.functions.hashing import unit_hash
+from vigilo.operators.groups import small_side, with_group_stats
 
 MAX_LEVELS = 1000
 
@@ -214,9 +215,8 @@ def standardize(
     out = out.withColumns(done).drop("__s")
     if not binary:
         return out
-    means = df.groupBy(per_split).agg(*[F.avg(c).alias(f"__m_{c}") for c in binary])
-    joined = out.join(means, per_split, "left")
-    return joined.withColumns({c: F.col(c) - F.col(f"__m_{c}") for c in binary}).select(*df.columns)
+    wide = with_group_stats(out, [per_split], {f"__m_{c}": F.avg(c) for c in binary})
+    return wide.withColumns({c: F.col(c) - F.col(f"__m_{c}") for c in binary}).select(*df.columns)
 
 
 def unstandardize(df: DataFrame, scaler: DataFrame, columns: Sequence[str], *, binary: Sequence[str] = ()) -> DataFrame:
@@ -284,13 +284,13 @@ def poly_terms(df: DataFrame, powers: Mapping[str, int], products: Sequence[tupl
 def known_levels(df: DataFrame, train: DataFrame, column: str) -> DataFrame:
     """Replace levels the training data never saw, and missing ones, by its most frequent level.
 
-    Ties go to the level that sorts first.
+    Ties go to the level that sorts first. The levels are broadcast if there are few of them.
     """
     counts = train.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     best = (
         counts.groupBy("n").agg(F.min(column).alias("v")).agg(F.max_by("v", "n")).scalar()
     )
-    seen = counts.select(F.col(column).alias("__seen"))
+    seen = small_side(counts.select(F.col(column).alias("__seen")))
     joined = df.join(seen, F.col(column) == F.col("__seen"), "left")
     return joined.withColumn(column, F.coalesce("__seen", best)).drop("__seen")
 

@@ -157,15 +157,21 @@ def median_exceeds(col: Column, limit: float) -> Column:
     ).otherwise(middle > limit)
 
 
-def repeat_rows(df: DataFrame, copies: Column, name: str, *, chunk: int = 4096) -> DataFrame:
+def repeat_rows(
+    df: DataFrame, copies: Column, name: str, *, chunk: int = 4096, spread: bool = False
+) -> DataFrame:
     """Each row ``copies`` times with a 0-based copy number.
 
-    Two nested steps keep every generated array short, however many copies a row needs.
+    Two nested steps keep every generated array short, however many copies a row needs. With
+    ``spread`` the blocks of a row are dealt out to all tasks before they are expanded, for data
+    in which one row may stand for a large share of the result.
     """
     blocks = df.withColumn("__copies", copies.cast("long")).where("__copies > 0")
     blocks = blocks.withColumn(
         "__block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__copies") - 1) / chunk)))
     )
+    if spread:
+        blocks = blocks.repartition(bucket_count(df), *blocks.columns)
     start = F.col("__block") * chunk
     stop = F.least(start + chunk, F.col("__copies")) - 1
     return blocks.withColumn(name, F.explode(F.sequence(start, stop))).drop("__copies", "__block")
