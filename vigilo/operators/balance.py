@@ -87,7 +87,7 @@ def smote(
         F.lit("synthetic").alias("source"),
     )
 
-    size = common.agg(F.count(F.lit(1))).scalar()
+    size = F.lit(common.count())
     draws = repeat_rows(
         listed.where(F.size("pool") > 0).select("id", "n"), F.col("n") * copies * majority_per_copy, "i", spread=True
     ).select((F.floor(unit_hash(F.col("id"), F.col("i"), f"m{seed}") * size) + 1).alias("__rank"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilo.functions import fixed
-from vigilo.operators.groups import join_groups
+from vigilo.operators.groups import join_groups, small_side, table_stats
 from vigilo.operators.ordering import prefix_sums, quantiles, value_counts, with_value_buckets
 from vigilo.sources.tables import stage
 
@@ -186,9 +186,12 @@ def error_quantiles(
     by = list(by)
     errors = df.select(*by, y, (F.col(y) - F.col(estimate)).alias("__e"))
     found = quantiles(errors, "__e", probabilities, by=by)
-    spans = df.groupBy(*by).agg((F.max(y) - F.min(y)).alias("__range"))
+    spread = {"__range": F.max(y) - F.min(y)}
     names = {p: f"q{round(p * 100)}" for p in probabilities}
-    joined, span = (join_groups(found, spans, by), F.col("__range")) if by else (found, spans.scalar())
+    if by:
+        joined = join_groups(found, small_side(df.groupBy(*by).agg(spread["__range"].alias("__range"))), by)
+    else:
+        joined = found.withColumns(table_stats(df, spread))
     return joined.select(
-        *by, *[F.try_divide(F.col(f"q{i}"), span).alias(names[p]) for i, p in enumerate(probabilities)]
+        *by, *[F.try_divide(F.col(f"q{i}"), F.col("__range")).alias(names[p]) for i, p in enumerate(probabilities)]
     )

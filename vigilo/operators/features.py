@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from vigilo.functions import fixed
 from vigilo.functions.hashing import unit_hash
-from vigilo.operators.groups import small_side, with_group_stats
+from vigilo.operators.groups import small_side, table_stats, with_group_stats
 
 MAX_LEVELS = 1000
 
@@ -90,17 +90,14 @@ def find_binary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     plain aggregations answer it without counting distinct values.
     """
     columns = list(columns)
-    ends = df.agg(
-        F.struct(
-            *[F.min(c).alias(f"lo{i}") for i, c in enumerate(columns)],
-            *[F.max(c).alias(f"hi{i}") for i, c in enumerate(columns)],
-        )
-    ).scalar()
-    marked = df.select(*columns, ends.alias("__ends"))
-    between = marked.agg(
+    ends = table_stats(
+        df,
+        {f"lo{i}": F.min(c) for i, c in enumerate(columns)} | {f"hi{i}": F.max(c) for i, c in enumerate(columns)},
+    )
+    between = df.agg(
         *[
             F.coalesce(
-                F.bool_or((F.col(c) != F.col(f"__ends.lo{i}")) & (F.col(c) != F.col(f"__ends.hi{i}"))),
+                F.bool_or((F.col(c) != ends[f"lo{i}"]) & (F.col(c) != ends[f"hi{i}"])),
                 F.lit(False),
             ).alias(f"b{i}")
             for i, c in enumerate(columns)
@@ -143,8 +140,7 @@ def three_way_split(
     the number of rows unless given.
     """
     if shares is None:
-        rows = df.agg(F.count(F.lit(1))).scalar()
-        train, valid = split_shares(mode, rows)
+        train, valid = split_shares(mode, df.count())
     else:
         train, valid = F.lit(shares[0]), F.lit(shares[1])
     parts = [F.col(c) for c in key]
@@ -187,10 +183,10 @@ def fit_scaler(
     return stats.select(F.inline(F.array(*entries)))
 
 
-def _scaler_map(scaler: DataFrame) -> Column:
-    """The stored statistics as one scalar map; it has one entry per column."""
-    entry = F.struct(F.col("column"), F.struct("mean", "std"))
-    return scaler.agg(F.map_from_entries(F.collect_list(entry))).scalar()
+def _stored(scaler: DataFrame) -> dict[str, tuple[Column, Column]]:
+    """Mean and standard deviation of each column as constants; one row per column is read."""
+    number = lambda v: F.lit(v).cast("double")
+    return {r["column"]: (number(r["mean"]), number(r["std"])) for r in scaler.collect()}
 
 
 def standardize(
@@ -206,13 +202,11 @@ def standardize(
     With ``per_split`` binary columns are centred on the mean of their own split instead of the
     stored one.
     """
-    out = df.withColumn("__s", _scaler_map(scaler))
-    at = lambda c: F.col("__s")[F.lit(c)]
-    done = {c: F.try_divide(F.col(c) - at(c)["mean"], at(c)["std"]) for c in columns}
+    stored = _stored(scaler)
+    done = {c: F.try_divide(F.col(c) - stored[c][0], stored[c][1]) for c in columns}
     if per_split is None:
-        done |= {c: F.col(c) - at(c)["mean"] for c in binary}
-        return out.withColumns(done).drop("__s")
-    out = out.withColumns(done).drop("__s")
+        return df.withColumns(done | {c: F.col(c) - stored[c][0] for c in binary})
+    out = df.withColumns(done)
     if not binary:
         return out
     wide = with_group_stats(out, [per_split], {f"__m_{c}": F.avg(c) for c in binary})
@@ -221,10 +215,9 @@ def standardize(
 
 def unstandardize(df: DataFrame, scaler: DataFrame, columns: Sequence[str], *, binary: Sequence[str] = ()) -> DataFrame:
     """Undo :func:`standardize`: back to the original units."""
-    at = lambda c: F.col("__s")[F.lit(c)]
-    back = {c: F.col(c) * at(c)["std"] + at(c)["mean"] for c in columns}
-    back |= {c: F.col(c) + at(c)["mean"] for c in binary}
-    return df.withColumn("__s", _scaler_map(scaler)).withColumns(back).drop("__s")
+    stored = _stored(scaler)
+    back = {c: F.col(c) * stored[c][1] + stored[c][0] for c in columns}
+    return df.withColumns(back | {c: F.col(c) + stored[c][0] for c in binary})
 
 
 def uncenter(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -232,11 +225,8 @@ def uncenter(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     The distance added is that of the value at or below zero, which stood for 0.
     """
-    low = df.agg(F.struct(*[F.min(F.when(F.col(c) <= 0, F.col(c))).alias(c) for c in columns])).scalar()
-    out = df.withColumn("__low", low)
-    return out.withColumns(
-        {c: F.col(c) + F.abs(F.col("__low")[c]) for c in columns}
-    ).drop("__low")
+    low = table_stats(df, {c: F.min(F.when(F.col(c) <= 0, F.col(c))) for c in columns})
+    return df.withColumns({c: F.col(c) + F.abs(low[c]) for c in columns})
 
 
 def align_columns(df: DataFrame, columns: Sequence[str], *, keep: Sequence[str] = ()) -> DataFrame:
@@ -268,7 +258,8 @@ def class_labels(
     """Name the two classes by their size in the training rows: larger first."""
     rows = df.where(train) if train is not None else df
     counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    biggest = counts.agg(F.max_by(F.col(label), F.struct(F.col("n"), -F.col(label)))).scalar()
+    biggest = F.max_by(F.col(label), F.struct(F.col("n"), -F.col(label)))
+    biggest = table_stats(counts, {"v": biggest})["v"]
     return df.withColumn(name, F.when(F.col(label) == biggest, names[0]).otherwise(names[1]))
 
 
@@ -287,9 +278,8 @@ def known_levels(df: DataFrame, train: DataFrame, column: str) -> DataFrame:
     Ties go to the level that sorts first. The levels are broadcast if there are few of them.
     """
     counts = train.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    best = (
-        counts.groupBy("n").agg(F.min(column).alias("v")).agg(F.max_by("v", "n")).scalar()
-    )
+    first = counts.groupBy("n").agg(F.min(column).alias("v"))
+    best = table_stats(first, {"v": F.max_by("v", "n")})["v"]
     seen = small_side(counts.select(F.col(column).alias("__seen")))
     joined = df.join(seen, F.col(column) == F.col("__seen"), "left")
     return joined.withColumn(column, F.coalesce("__seen", best)).drop("__seen")

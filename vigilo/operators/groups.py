@@ -22,6 +22,17 @@ def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
+def table_stats(df: DataFrame, stats: dict[str, Column]) -> dict[str, Column]:
+    """Aggregates of the whole table as constants.
+
+    They are one row, computed once here; operators that need several of them in turn would
+    otherwise nest the table into itself as subqueries again and again.
+    """
+    frame = df.agg(*[c.alias(n) for n, c in stats.items()])
+    row = frame.first()
+    return {f.name: F.lit(row[f.name]).cast(f.dataType) for f in frame.schema.fields}
+
+
 def join_groups(df: DataFrame, table: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
     """Join a table of groups on its keys; missing keys match each other, keys appear once.
 
@@ -37,12 +48,10 @@ def join_groups(df: DataFrame, table: DataFrame, by: Sequence[str], how: str = "
 def with_group_stats(df: DataFrame, by: Sequence[str], stats: dict[str, Column]) -> DataFrame:
     """Add aggregates of the row's group; without ``by`` of the whole table.
 
-    Table-wide values enter as one scalar subquery. Group values are broadcast when there are few
-    groups; a missing group value is a group of its own.
+    Table-wide values enter as constants. Group values are broadcast when there are few groups; a
+    missing group value is a group of its own.
     """
     if not by:
-        values = df.agg(F.struct(*[c.alias(n) for n, c in stats.items()])).scalar()
-        wide = df.select("*", values.alias("__g"))
-        return wide.select(*df.columns, *[F.col("__g")[n].alias(n) for n in stats])
+        return df.withColumns(table_stats(df, stats))
     table = df.groupBy(*by).agg(*[c.alias(n) for n, c in stats.items()])
     return join_groups(df, small_side(table), by, "left")

@@ -72,8 +72,8 @@ def quality_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("value")) for i, c in middle.items()
         ]
         medians = quantiles(df.select(F.inline(F.array(*values))), "value", [0.5], by=["i"])
-        found = medians.agg(F.map_from_entries(F.collect_list(F.struct("i", "q0")))).scalar()
-        plain = plain.withColumns({f"v{i}": found[F.lit(i)] for i in middle})
+        found = {r["i"]: r["q0"] for r in medians.collect()}
+        plain = plain.withColumns({f"v{i}": F.lit(found.get(i)).cast("double") for i in middle})
     out = []
     for i, c in enumerate(checks):
         value = F.col(f"v{i}")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vigilo.functions import fixed, recode
 from vigilo.operators.evaluate import ecdf_rank, group_ci
-from vigilo.operators.groups import with_group_stats
+from vigilo.operators.groups import table_stats, with_group_stats
 from vigilo.operators.ordering import median_exceeds, row_numbers
 
 
@@ -54,17 +54,14 @@ def assessment_band(
     """Test total against the interval of the mean total of the Moderate group."""
     total = F.col(math) + F.col(read)
     moderate = df.where(F.col(flag) == "Moderate").select(F.col(flag).alias("g"), total.alias("t"))
-    limits = group_ci(moderate, "g", "t", z=z).agg(
-        F.struct(F.max("lower").alias("lower"), F.max("upper").alias("upper"))
-    ).scalar()
-    wide = df.select("*", limits.alias("__ci"))
+    limits = table_stats(group_ci(moderate, "g", "t", z=z), {"lower": F.max("lower"), "upper": F.max("upper")})
     label = (
         F.when(F.col(math).isNull() | F.col(read).isNull(), "Missing")
-        .when(total < F.col("__ci.lower"), "High")
-        .when(total <= F.col("__ci.upper"), "Moderate")
-        .when(total > F.col("__ci.upper"), "Low")
+        .when(total < limits["lower"], "High")
+        .when(total <= limits["upper"], "Moderate")
+        .when(total > limits["upper"], "Low")
     )
-    return wide.withColumn(name, label).drop("__ci")
+    return df.withColumn(name, label)
 
 
 def days_missed(rate: Column) -> Column:
@@ -97,14 +94,11 @@ def discipline_band(
     df: DataFrame, *, count: str = "incCount", days: str = "daysRemoved", name: str = "discipline",
 ) -> DataFrame:
     """Moderate above the smallest count or days, High above the second smallest count."""
-    lows = df.agg(F.struct(F.min(count).alias("count"), F.min(days).alias("days"))).scalar()
-    wide = df.select("*", lows.alias("__low"))
-    second = wide.where(F.col(count) > F.col("__low.count")).agg(F.min(count)).scalar()
-    more = (F.col(count) > F.col("__low.count")) | (F.col(days) > F.col("__low.days"))
-    return (
-        wide.withColumn("__second", second)
-        .withColumn(name, F.when(F.col(count) > F.col("__second"), "High").when(more, "Moderate").otherwise("Low"))
-        .drop("__low", "__second")
+    low = table_stats(df, {"count": F.min(count), "days": F.min(days)})
+    second = table_stats(df.where(F.col(count) > low["count"]), {"count": F.min(count)})["count"]
+    more = (F.col(count) > low["count"]) | (F.col(days) > low["days"])
+    return df.withColumn(
+        name, F.when(F.col(count) > second, "High").when(more, "Moderate").otherwise("Low")
     )
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from vigilo.functions.hashing import digest
 from vigilo.operators.evaluate import roc_auc
 from vigilo.operators.features import gram
+from vigilo.operators.groups import table_stats
 from vigilo.operators.ordering import hash_ranks
 from vigilo.plans.methods import SEED, classifier, regressors
 from vigilo.plans.stages import SCORE, PositiveScore
@@ -180,7 +181,7 @@ def var_importance(
     columns = list(columns)
     picked = df.select(key, label, *columns)
     ranked = hash_ranks(picked, digest(F.col(key), "donor"), "__rank", tie=key)
-    n = picked.agg(F.count(F.lit(1))).scalar()
+    n = F.lit(picked.count())
     donors = ranked.select(
         (F.pmod(F.col("__rank"), n) + 1).alias("__rank"), *[F.col(c).alias(f"__d_{c}") for c in columns]
     )
@@ -191,8 +192,7 @@ def var_importance(
         swapped = both.select(key, label, *[(F.col(f"__d_{x}") if x == c else F.col(x)).alias(x) for x in columns])
         tried = tried.unionByName(model.transform(swapped).select(F.lit(c).alias("column"), label, SCORE))
     areas = roc_auc(tried, SCORE, label, by=["column"])
-    whole = F.max(F.when(F.col("column") == "", F.col("auc")))
-    reference = areas.agg(whole).scalar()
+    reference = table_stats(areas, {"whole": F.max(F.when(F.col("column") == "", F.col("auc")))})["whole"]
     return areas.where("column <> ''").select("column", (reference - F.col("auc")).alias("drop"), "auc")
 
 
