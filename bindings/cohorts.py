@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from bindings import base as b
 from vigilo.functions import recode, schoolyear
-from vigilo.operators import cleaning, cohort, peers
+from vigilo.operators import cleaning, cohort, features, peers
+from vigilo.plans import workflow
 from vigilo.sources import tables
 from vigilo.sources.tables import load
 
@@ -285,6 +286,18 @@ def mobility_counts(spark, d):
     return cohort.mobility_counts(moves, ["year", "STUDENT_KEY"], district="l_suppkey", school="l_partkey")
 
 
+@query("incident_removals", """
+SELECT o_orderkey AS incident, o_custkey, o_orderstatus, l_quantity AS days, l_returnflag AS removal
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+""")
+def incident_removals(spark, d):
+    incidents = load(spark, d, "orders").select(C("o_orderkey").alias("incident"), "o_custkey", "o_orderstatus")
+    removals = load(spark, d, "lineitem").select(
+        C("l_orderkey").alias("incident"), C("l_quantity").alias("days"), C("l_returnflag").alias("removal")
+    )
+    return cohort.incident_removals(incidents, removals, "incident")
+
+
 @query("incident_summary", "WITH " + b.REMOVALS + ", s AS (" + b.summary_sql("STUDENT_KEY, day") + f""")
 SELECT STUDENT_KEY, day, incCount, incType, {b.r("daysRemoved", 4)} AS daysRemoved, removalType FROM s
 """)
@@ -457,14 +470,41 @@ _POOL_EXACT = {"cohort_size", "cohort_suspPeers", "STUDENT_RACE", "ontime_grad"}
 _POOL_SELECT = ", ".join(c if c in _POOL_EXACT else f"{b.r(c)} AS {c}" for c in _POOL_KEEP)
 
 
-@query("training_pool", "WITH " + b.TRAINING + "," + b.enriched_sql("training") + "," + b.clean_sql("enriched", ", duplicated") + f"""
-SELECT {_POOL_SELECT} FROM (SELECT *, CAST(grad_ind = 'on-time' AS INT) AS ontime_grad FROM cleaned)
-WHERE grad_ind <> 'exitWIpublicK12' AND STUDENT_RACE IS NOT NULL AND ESL_LEV IS NOT NULL AND FRL IS NOT NULL
-  AND SWD IS NOT NULL AND ATT_RATE IS NOT NULL AND DAYS_POSS IS NOT NULL AND READ_SS IS NOT NULL AND MATH_SS IS NOT NULL
-  AND cohort_sd_read IS NOT NULL AND cohort_sd_math IS NOT NULL AND cohort_sd_attend IS NOT NULL
-""")
+_PREPARED = "WITH " + b.TRAINING + "," + b.enriched_sql("training") + "," + b.clean_sql("enriched", ", duplicated") + """,
+prepared AS (
+  SELECT *, CAST(grad_ind = 'on-time' AS INT) AS ontime_grad FROM cleaned
+  WHERE grad_ind <> 'exitWIpublicK12' AND STUDENT_RACE IS NOT NULL AND ESL_LEV IS NOT NULL AND FRL IS NOT NULL
+    AND SWD IS NOT NULL AND ATT_RATE IS NOT NULL AND DAYS_POSS IS NOT NULL AND READ_SS IS NOT NULL AND MATH_SS IS NOT NULL
+    AND cohort_sd_read IS NOT NULL AND cohort_sd_math IS NOT NULL AND cohort_sd_attend IS NOT NULL)
+"""
+
+
+@query("training_pool", _PREPARED + f"SELECT {_POOL_SELECT} FROM prepared")
 def training_pool(spark, d):
     """The whole preparation: assemble, compare with peers, recode, complete cases, target."""
-    enriched = peers.peer_enriched(b.training_cohort(spark, d), b.PEERS, **b.MEASURES)
-    cleaned = cleaning.complete_cases(cleaning.clean_pool(enriched))
-    return b.rounded(cleaning.binary_outcome(cleaned).select(*_POOL_KEEP))
+    pool = workflow.prepare_pool(b.training_cohort(spark, d), b.PEERS, **b.MEASURES)
+    return b.rounded(pool.select(*_POOL_KEEP))
+
+
+# Text columns of the pool and their levels; the first sorted level is the baseline.
+_LEVELS = {
+    "STUDENT_RACE": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+    "removalType": ["EX", "None", "OS"], "ESL_LEV": ["High", "Low", "Medium", "Native"], "FRL": ["N", "Y"],
+    "EVER_RETAINED": ["N", "Unk", "Y"], "GENDER": ["F", "M"], "SWD": ["No", "Yes"], "LEP": ["No", "Yes"],
+}
+_NUMBERS = ["READ_SS", "MATH_SS", "incCount", "daysRemoved", "DISTRICT_COUNT", "SCHOOL_COUNT", "ENROLLMENTS_COUNT",
+            "ATT_RATE", "DAYS_POSS", "Assault", "Drug", "Weapon", "SchoolRule", *b.COHORT_NAMES]
+
+
+@query("training_matrix", _PREPARED + "SELECT STUDENT_KEY, SCHOOL_YEAR, CAST(ontime_grad AS DOUBLE) AS ontime_grad, " + ", ".join(
+    [f"CAST({c} = '{v}' AS DOUBLE) AS {c}{v}" for c, levels in _LEVELS.items() for v in levels[1:]]
+    + [f"{b.r(f'CAST({c} AS DOUBLE)')} AS {c}" for c in _NUMBERS]
+) + " FROM prepared")
+def training_matrix(spark, d):
+    """The pool as numbers: keys and the outcome label leave, text becomes 0/1 columns."""
+    pool = workflow.prepare_pool(b.training_cohort(spark, d), b.PEERS, **b.MEASURES)
+    matrix = features.model_matrix(
+        pool, target="ontime_grad", keep=["STUDENT_KEY", "SCHOOL_YEAR"],
+        exclude=[*features.key_columns(pool), "grad_ind"], known_levels=_LEVELS,
+    )
+    return b.rounded(matrix)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bindings import base as b
 from vigilo.operators import balance, cleaning, evaluate, features, ranking, robust
-from vigilo.sources.tables import load
+from vigilo.sources.tables import load, stage
 
 C = F.col
 QUERIES = {}
@@ -213,7 +213,7 @@ def downsample(spark, d):
 
 @query("smote")
 def smote(spark, d):
-    rows = b.features(spark, d)
+    rows = stage(b.features(spark, d), "features")
     return balance.smote(rows, b.CONTINUOUS, "y", "id", minority=1)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bindings import base as b
 from vigilo.operators import balance, evaluate, features, robust
-from vigilo.plans import ensemble, search
+from vigilo.plans import ensemble, search, workflow
 from vigilo.plans.control import control
 from vigilo.plans.methods import classifier
 from vigilo.sources.tables import load, stage
@@ -74,6 +74,30 @@ def greedy_ensemble(spark, d):
     return ensemble.greedy_ensemble(_oof(spark, d)[1], "y", _SCORES, rounds=5)
 
 
+def _built(spark, d):
+    rows = prepared(spark, d)
+    train = workflow.training_rows(rows, b.FEATURES, "y", control("TEST"), key="id")
+    built = workflow.construct_models(
+        train, b.FEATURES, "y", top=["elastic_net", "decision_tree"], dissimilar=["linear_discriminant", "decision_tree"],
+        folds=FOLDS, rounds=4,
+    )
+    return rows, built
+
+
+@query("construct_models")
+def construct_models(spark, d):
+    """Area under the curve of the four ensembles on the validation rows."""
+    rows, built = _built(spark, d)
+    return workflow.ensemble_areas(built.transform(rows.where("split = 'validdata'")), "y")
+
+
+@query("raw_predictions")
+def raw_predictions(spark, d):
+    """All customers scored by the best of the four ensembles."""
+    rows, built = _built(spark, d)
+    return workflow.raw_predictions(built, rows, rows, b.FEATURES, "y", key="id")
+
+
 @query("stacked_ensemble")
 def stacked_ensemble(spark, d):
     """Area under the curve of both stackers and every base model on the validation rows."""

@@ -12,6 +12,7 @@ from vigilo.functions.hashing import digest, unit_hash
 from vigilo.operators.groups import with_group_stats
 from vigilo.operators.nearest import nearest_vectors
 from vigilo.operators.ordering import hash_ranks, repeat_rows
+from vigilo.sources.tables import stage
 
 
 def _ranked_with_sizes(df: DataFrame, label: str, key: str) -> DataFrame:
@@ -59,7 +60,8 @@ def smote(
     A synthetic row lies on the line from a minority row to one of its nearest minority
     neighbours. Equal rows are handled once with their number, so many copies of one row cost
     nothing; they are each other's nearest neighbours, as they should be. Draws come from hashes
-    and are the same in every run. Output: the features, the label and ``source``.
+    and are the same in every run. Output: the features, the label and ``source``. The rows are
+    read several times, so pass a staged table.
     """
     features = list(features)
     rare = df.where(F.col(label) == minority)
@@ -74,7 +76,8 @@ def smote(
     )
     pool = F.slice(F.concat(own, others), 1, neighbours)
     listed = near.select("vec", "n", pool.alias("pool"), digest(F.array_join("vec", ",")).alias("id"))
-    drawn = repeat_rows(listed.where(F.size("pool") > 0), F.col("n") * copies, "i", spread=True)
+    listed = stage(listed.where(F.size("pool") > 0), "neighbours")
+    drawn = repeat_rows(listed, F.col("n") * copies, "i", spread=True)
     pick = F.floor(unit_hash(F.col("id"), F.col("i"), f"n{seed}") * F.size("pool")).cast("int")
     gap = unit_hash(F.col("id"), F.col("i"), f"g{seed}")
     mixed = F.zip_with(
@@ -89,7 +92,7 @@ def smote(
 
     size = F.lit(common.count())
     draws = repeat_rows(
-        listed.where(F.size("pool") > 0).select("id", "n"), F.col("n") * copies * majority_per_copy, "i", spread=True
+        listed.select("id", "n"), F.col("n") * copies * majority_per_copy, "i", spread=True
     ).select((F.floor(unit_hash(F.col("id"), F.col("i"), f"m{seed}") * size) + 1).alias("__rank"))
     ranked = hash_ranks(common.select(key, *features, label), digest(F.col(key)), "__rank", tie=key)
     majority = draws.join(ranked, "__rank")

@@ -18,6 +18,7 @@ from vigilo.sources.tables import stage
 
 CELL_ROWS = 2000
 MAX_PIVOTS = 1024
+CHUNK_CELLS = 2_000_000
 _SLACK = 1 + 1e-9
 
 
@@ -38,15 +39,14 @@ def nearest_vectors(vectors: DataFrame, k: int, *, cell_rows: int = CELL_ROWS) -
     Each coordinate is divided by its range first; a constant one counts nothing. ``near`` is
     sorted by distance, then by vector, and holds ``distance``, ``vec`` and ``n``.
     """
-    size = vectors.agg(F.count(F.lit(1)).alias("m"), F.max(F.size("vec")).alias("d")).first()
-    m, d = size["m"], size["d"]
+    none = F.array().cast("array<struct<distance:double,vec:array<double>,n:bigint>>")
+    shape = vectors.agg(F.count(F.lit(1)).alias("m"), F.max(F.size("vec")).alias("d")).first()
+    m, d = shape["m"], shape["d"]
     if not m:
-        return vectors.select("vec", "n", F.array().cast("array<struct<distance:double,vec:array<double>,n:bigint>>").alias("near"))
-    ends = vectors.agg(
-        *[F.max(F.col("vec")[i]).alias(f"hi{i}") for i in range(d)],
-        *[F.min(F.col("vec")[i]).alias(f"lo{i}") for i in range(d)],
-    ).first()
-    spans = np.array([ends[f"hi{i}"] - ends[f"lo{i}"] for i in range(d)], dtype="float64")
+        return vectors.select("vec", "n", none.alias("near"))
+    at = [F.col("vec")[i] for i in range(d)]
+    ends = vectors.agg(F.array(*[F.max(c) for c in at]).alias("hi"), F.array(*[F.min(c) for c in at]).alias("lo")).first()
+    spans = np.array(ends["hi"], dtype="float64") - np.array(ends["lo"], dtype="float64")
     scale = np.where(spans > 0, spans, np.inf)
 
     count = int(min(MAX_PIVOTS, max(1, -(-m // cell_rows))))
@@ -119,18 +119,20 @@ def nearest_vectors(vectors: DataFrame, k: int, *, cell_rows: int = CELL_ROWS) -
         found = []
         if len(a) and len(b):
             x, y = _coords(a["vec"], scale), _coords(b["vec"], scale)
-            raw = np.stack(b["vec"].to_numpy())
-            mine = np.stack(a["vec"].to_numpy())
-            for i in range(len(x)):
-                far = np.sqrt(((y - x[i]) ** 2).sum(axis=1))
-                far[(raw == mine[i]).all(axis=1)] = np.inf
-                if len(far) > k:
-                    limit = np.partition(far, k - 1)[k - 1]
-                    close = np.flatnonzero((far <= limit) & np.isfinite(far))
-                else:
-                    close = np.flatnonzero(np.isfinite(far))
-                ranked = sorted(close, key=lambda j: (far[j], tuple(raw[j])))[:k]
-                found += [(a["vec"].iloc[i], a["n"].iloc[i], far[j], b["vec"].iloc[j], b["n"].iloc[j]) for j in ranked]
+            theirs, mine = b["vec"].to_numpy(), a["vec"].to_numpy()
+            own, other = a["n"].to_numpy(), b["n"].to_numpy()
+            step = max(1, CHUNK_CELLS // (len(y) * x.shape[1]))
+            for start in range(0, len(x), step):
+                part = x[start : start + step]
+                far = np.sqrt(((y[None, :, :] - part[:, None, :]) ** 2).sum(axis=2))
+                for i, j in zip(*np.nonzero(far == 0)):
+                    if np.array_equal(mine[start + i], theirs[j]):
+                        far[i, j] = np.inf
+                limit = np.partition(far, k - 1, axis=1)[:, k - 1] if len(y) > k else np.full(len(part), np.inf)
+                for i in range(len(part)):
+                    close = np.flatnonzero((far[i] <= limit[i]) & np.isfinite(far[i]))
+                    ranked = sorted(close, key=lambda j: (far[i, j], tuple(theirs[j])))[:k]
+                    found += [(mine[start + i], own[start + i], far[i, j], theirs[j], other[j]) for j in ranked]
         return pd.DataFrame(found, columns=["vec", "n", "distance", "other", "m"])
 
     pairs = left.groupBy("cell", "left", "right").cogroup(right.groupBy("cell", "left", "right")).applyInPandas(
@@ -139,6 +141,4 @@ def nearest_vectors(vectors: DataFrame, k: int, *, cell_rows: int = CELL_ROWS) -
     entry = F.struct("distance", F.col("other").alias("vec"), F.col("m").alias("n"))
     best = pairs.groupBy("vec", "n").agg(F.slice(F.array_sort(F.collect_list(entry)), 1, k).alias("near"))
     alone = vectors.select("vec", "n").where(F.lit(m == 1))
-    return best.unionByName(
-        alone.withColumn("near", F.array().cast("array<struct<distance:double,vec:array<double>,n:bigint>>"))
-    )
+    return best.unionByName(alone.withColumn("near", none))

@@ -38,14 +38,17 @@ def fit_models(df: DataFrame, columns: Sequence[str], label: str, methods: Seque
 
 
 def oof_predictions(
-    df: DataFrame, columns: Sequence[str], label: str, methods: Sequence[str], *, key: str, fold: str, folds: int
+    df: DataFrame, columns: Sequence[str], label: str, methods: Sequence[str], *, key: str | None, fold: str, folds: int
 ) -> DataFrame:
-    """Score of every row by models that never saw its fold: ``(key, fold, label, p_...)``."""
+    """Score of every row by models that never saw its fold: ``(key, fold, label, p_...)``.
+
+    Synthetic rows have no key; pass ``key=None`` for them.
+    """
     parts = []
     for f in range(folds):
         models = fit_models(df.where(F.col(fold) != f), columns, label, methods)
         held = apply_models(df.where(F.col(fold) == f), models)
-        parts.append(held.select(key, fold, label, *[f"p_{m}" for m in methods]))
+        parts.append(held.select(*([key] if key else []), fold, label, *[f"p_{m}" for m in methods]))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -20,9 +20,12 @@ from vigilo.plans.stages import SCORE
 RESULT_SCHEMA = "method string, grp string, auc double, elapsedTime double, status string"
 
 
-def with_folds(df: DataFrame, key: str, folds: int, *, seed: int | str = "fold", name: str = "fold") -> DataFrame:
-    """Cross-validation fold of each row by a hash of its key."""
-    return df.withColumn(name, F.floor(unit_hash(F.col(key), str(seed)) * folds).cast("int"))
+def with_folds(
+    df: DataFrame, key: str | Sequence[str], folds: int, *, seed: int | str = "fold", name: str = "fold"
+) -> DataFrame:
+    """Cross-validation fold of each row by a hash of its key, or of its features if it has none."""
+    parts = [F.col(c) for c in ([key] if isinstance(key, str) else key)]
+    return df.withColumn(name, F.floor(unit_hash(*parts, str(seed)) * folds).cast("int"))
 
 
 def fit_candidate(
@@ -64,11 +67,7 @@ def model_search(
     spark = data.sparkSession
     folds = folds or control.folds
     base = train if train is not None else data.where(F.col(split) == "traindata")
-    if key in base.columns:
-        base = with_folds(base, key, folds)
-    else:
-        base = with_folds(base.withColumn("__key", F.concat_ws(":", *columns)), "__key", folds).drop("__key")
-    base = base.persist()
+    base = with_folds(base, [key] if key in base.columns else columns, folds).persist()
     scored = data.where(F.col(split).isin("traindata", "testdata")).persist()
     rows = []
     try:
