@@ -117,3 +117,30 @@ def test_importance_and_averaging(spark, data):
     assert terms["a", "inclusion"] > 0.99 > 0.5 > terms["c", "inclusion"]
     with pytest.raises(ValueError):
         ensemble.bic_average(data, "y", {c: [c] for c in COLUMNS}, most_models=2)
+
+
+def test_choose_methods_by_budget_and_distance(spark):
+    from vigilo.plans import workflow
+
+    rows = [("a", "test", 0.9, 100.0, "ok"), ("a", "train", 0.99, 100.0, "ok"), ("b", "test", 0.8, 4.0, "ok"),
+            ("c", "test", 0.7, 900.0, "ok"), ("d", "test", None, 1.0, "Error")]
+    results = spark.createDataFrame(rows, search.RESULT_SCHEMA)
+    distances = spark.createDataFrame([("p_a", "p_b", 0.4), ("p_a", "p_c", 0.9), ("p_b", "p_c", 0.8)], "model_a string, model_b string, distance double")
+    top, far = workflow.choose_methods(results, 5, n=2, distances=distances)
+    assert top == ["b", "a"] and far == ["a", "b"]
+    assert workflow.choose_methods(results, 5, n=1) == (["b"], [])
+
+
+def test_four_ensembles_and_raw_predictions(spark, data):
+    from vigilo.plans import workflow
+
+    train = workflow.training_rows(data, COLUMNS, "y", control("DEV"), key="id")
+    n = {r["y"]: r["count"] for r in train.groupBy("y").count().collect()}
+    rare = data.where("split = 'traindata' AND y = 1").count()
+    assert n[1] == rare * 3 and n[0] == rare * 4
+    built = workflow.construct_models(train, COLUMNS, "y", top=["logistic", "decision_tree"], dissimilar=["slda", "logistic"], folds=2, rounds=3)
+    areas = {r["model"]: r["auc"] for r in workflow.ensemble_areas(built.transform(data.where("split = 'validdata'")), "y").collect()}
+    assert set(areas) == set(workflow.ENSEMBLES) and max(areas.values()) > 0.85
+    out = workflow.raw_predictions(built, data, data.drop("y", "c"), COLUMNS, "y", key="id")
+    row = out.agg(F.count("pred"), F.min("pred"), F.max("pred"), F.max("c"), F.min("bestThresh"), F.min("se")).first()
+    assert row[0] == 600 and 0 <= row[1] <= row[2] <= 1 and row[3] == 0 and 0 < row[4] < 1 and row[5] >= 0
