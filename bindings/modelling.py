@@ -176,7 +176,9 @@ def known_levels(spark, d):
     return features.known_levels(parts, train, "kind").select("p_partkey", "kind")
 
 
-@query("drop_collinear")
+@query("drop_collinear", "SELECT vec_id, " + ", ".join(
+    f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(64)
+) + " FROM embeddings")
 def drop_collinear(spark, d):
     """Embedding coordinates with two columns that others determine, which must be found."""
     wide = load(spark, d, "embeddings").select(

@@ -158,6 +158,35 @@ def bic_average(spark, d):
     return ensemble.bic_average(rows, "y", groups)
 
 
+# Scores and products of a logistic predictor with one column and given coefficients, in closed form.
+_FIXED = b.FEAT + """,
+q AS (SELECT urgent AS x, c_nationkey AS g, 1 / (1 + exp(-(CAST(-2.5 AS DOUBLE) + CAST(0.8 AS DOUBLE) * urgent))) AS m, y
+      FROM feat JOIN customer ON id = c_custkey),
+h AS (SELECT sum(m * (1 - m)) AS a, sum(m * (1 - m) * x) AS b, sum(m * (1 - m) * x * x) AS c, count(*) AS n FROM q),
+u AS (SELECT g, sum(y - m) AS u0, sum((y - m) * x) AS u1 FROM q GROUP BY g),
+k AS (SELECT sum(u0 * u0) AS p, sum(u0 * u1) AS q, sum(u1 * u1) AS r, count(*) AS k FROM u),
+f AS (SELECT *, a * c - b * b AS det, (k / (k - 1)) * ((n - 1) / (n - 3)) AS corr FROM h, k),
+v AS (SELECT corr / (det * det) * (c * (c * p - b * q) - b * (c * q - b * r)) AS v00,
+             corr / (det * det) * (-b * (c * p - b * q) + a * (c * q - b * r)) AS v01,
+             corr / (det * det) * (-b * (-b * p + a * q) + a * (-b * q + a * r)) AS v11 FROM f)
+"""
+
+
+@query("robust_vcov_given", "WITH " + _FIXED + f"""
+SELECT '(Intercept)' AS row, '(Intercept)' AS col, {b.r("v00", 8)} AS value FROM v UNION ALL
+SELECT '(Intercept)', 'urgent', {b.r("v01", 8)} FROM v UNION ALL
+SELECT 'urgent', '(Intercept)', {b.r("v01", 8)} FROM v UNION ALL
+SELECT 'urgent', 'urgent', {b.r("v11", 8)} FROM v
+""")
+def robust_vcov_given(spark, d):
+    """The same for given coefficients, which has a closed form."""
+    nation = load(spark, d, "customer").select(C("c_custkey").alias("id"), "c_nationkey")
+    rows = stage(b.features(spark, d).join(nation, "id").select("urgent", "y", "c_nationkey"), "clustered")
+    return b.rounded(robust.robust_vcov(
+        rows, ["urgent"], "y", "c_nationkey", coefficients=[0.8], intercept=-2.5
+    ), 8)
+
+
 @query("robust_vcov")
 def robust_vcov(spark, d):
     """Variance of a logistic fit, robust within segments of a nation."""

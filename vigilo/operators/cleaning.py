@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilo.functions import fixed, recode
 
 
-def clean_pool(pool: DataFrame) -> DataFrame:
+def clean_pool(
+    pool: DataFrame, *, drop: Sequence[str] = ("duplicated", "HOLD", "STUDENT_ANNUAL_ATTRIBS_KEY")
+) -> DataFrame:
     """Warehouse codes to model features; only columns that are present are touched.
 
     Counts and days become shifted logarithms, incident types become flags that stay missing
-    where the type is missing, and columns that scoring cannot know are dropped.
+    where the type is missing. ``drop`` names columns that scoring cannot know, and surplus ones
+    such as the school and district that came with the test scores.
     """
     made: dict[str, tuple[str | tuple[str, ...], Column]] = {
         "ESL_LEV": (
@@ -43,7 +48,7 @@ def clean_pool(pool: DataFrame) -> DataFrame:
     }
     for word, col in recode.contains_flags(F.col("incType"), fixed.INCIDENT_FLAGS).items():
         made[word] = ("incType", col)
-    dropped = {"HOLD", "SCHOOL_KEY_WSAS", "DISTRICT_CODE_WSAS", "STUDENT_ANNUAL_ATTRIBS_KEY", "duplicated"}
+    dropped = set(drop)
     new: dict[str, Column] = {}
     for name, (inputs, col) in made.items():
         needed = {inputs} if isinstance(inputs, str) else set(inputs)
