@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 SMALL_ROWS = 10_000
 
 
-def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if it has at most ``limit`` rows.
+def small_side(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``limit`` rows (``SMALL_ROWS`` by default).
 
     The rows are fetched up to the limit, so the check computes ``df`` once and never brings more
     than that to the driver. A larger ``df`` comes back as it is and joins by shuffle.
     """
+    limit = SMALL_ROWS if limit is None else limit
     rows = df.limit(limit + 1).collect()
     if len(rows) > limit:
         return df
