@@ -257,23 +257,24 @@ def _spread_discipline(people: DataFrame, incidents: DataFrame) -> DataFrame:
     return people.select(*COHORT).join(incidents, "STUDENT_KEY")
 
 
-def _pulled(spark, d, people, **more):
-    """The cohort is narrow and read by several passes afterwards, so it is written down once."""
-    return stage(cohort.assemble(
+def _pulled(spark, d, people, keep, **more):
+    """With ``keep`` the cohort is written down: it is narrow, and several passes will read it."""
+    out = cohort.assemble(
         people, COHORT, tests=tests(spark, d), mobility=mobility(spark, d),
         discipline=_spread_discipline(people, discipline(spark, d)), **more,
-    ), "cohort")
+    )
+    return stage(out, "cohort") if keep else out
 
 
-def training_cohort(spark: SparkSession, d: str) -> DataFrame:
+def training_cohort(spark: SparkSession, d: str, *, keep: bool = False) -> DataFrame:
     everyone = annual(spark, d)
     year, grade = F.col("SCHOOL_YEAR"), F.col("STUDENT_ANNUAL_GRADE_CODE")
     people = everyone.where(schoolyear.has_known_outcome(year, grade, LAST_KNOWN))
-    return _pulled(spark, d, people, outcome=outcome(spark, d, people))
+    return _pulled(spark, d, people, keep, outcome=outcome(spark, d, people))
 
 
-def scoring_cohort(spark: SparkSession, d: str) -> DataFrame:
-    return _pulled(spark, d, annual(spark, d))
+def scoring_cohort(spark: SparkSession, d: str, *, keep: bool = False) -> DataFrame:
+    return _pulled(spark, d, annual(spark, d), keep)
 
 
 PULLED = """

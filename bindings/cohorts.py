@@ -186,7 +186,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, s.v AS BEGIN_ENROLL
 FROM f JOIN dates s ON bk = s.k JOIN dates e ON ek = e.k
 """)
 def role_dates(spark, d):
-    key = lambda c: F.date_format(c, "yyyyMMdd").cast("int")
+    key = lambda c: F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)
     orders = load(spark, d, "orders")
     dates = orders.select(F.to_date("o_orderdate").alias("v")).distinct().select("v", key("v").alias("k"))
     fact = load(spark, d, "lineitem").join(orders, C("l_orderkey") == C("o_orderkey")).select(
@@ -410,7 +410,7 @@ def peer_stats(spark, d):
 SELECT SCHOOL_YEAR, STUDENT_KEY, {_PEER_SELECT} FROM enriched
 """)
 def peer_enriched(spark, d):
-    enriched = peers.peer_enriched(b.scoring_cohort(spark, d), b.PEERS, **b.MEASURES)
+    enriched = peers.peer_enriched(b.scoring_cohort(spark, d, keep=True), b.PEERS, **b.MEASURES)
     return b.rounded(enriched.select("SCHOOL_YEAR", "STUDENT_KEY", *b.COHORT_NAMES))
 
 
@@ -482,7 +482,7 @@ prepared AS (
 @query("training_pool", _PREPARED + f"SELECT {_POOL_SELECT} FROM prepared")
 def training_pool(spark, d):
     """The whole preparation: assemble, compare with peers, recode, complete cases, target."""
-    pool = workflow.prepare_pool(b.training_cohort(spark, d), b.PEERS, **b.MEASURES)
+    pool = workflow.prepare_pool(b.training_cohort(spark, d, keep=True), b.PEERS, **b.MEASURES)
     return b.rounded(pool.select(*_POOL_KEEP))
 
 
@@ -502,7 +502,7 @@ _NUMBERS = ["READ_SS", "MATH_SS", "incCount", "daysRemoved", "DISTRICT_COUNT", "
 ) + " FROM prepared")
 def training_matrix(spark, d):
     """The pool as numbers: keys and the outcome label leave, text becomes 0/1 columns."""
-    pool = workflow.prepare_pool(b.training_cohort(spark, d), b.PEERS, **b.MEASURES)
+    pool = workflow.prepare_pool(b.training_cohort(spark, d, keep=True), b.PEERS, **b.MEASURES)
     matrix = features.model_matrix(
         pool, target="ontime_grad", keep=["STUDENT_KEY", "SCHOOL_YEAR"],
         exclude=[*features.key_columns(pool), "grad_ind"], known_levels=_LEVELS,

@@ -26,12 +26,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def scored(spark, d):
+def scored(spark, d, *, keep=True):
     """Every student-year with a score and an error from fixed formulas; some scores are missing."""
     people = load(spark, d, "customer").select(
         C("c_custkey").alias("STUDENT_KEY"), C("c_name").alias("WSN"), C("c_acctbal").alias("bal")
     )
-    cleaned = cleaning.clean_pool(b.scoring_cohort(spark, d))
+    cleaned = cleaning.clean_pool(b.scoring_cohort(spark, d, keep=keep))
     return cleaned.join(people, "STUDENT_KEY").withColumns({
         "pred": F.when(~C("bal").between(5000, 5100), F.round((C("bal") + 1000) / 10500, 4)),
         "se": F.round(C("ENROLLMENTS_COUNT") * 0.04 + C("SCHOOL_COUNT") * 0.01, 4),
@@ -144,7 +144,7 @@ disciplined AS (SELECT {source}.*, CASE WHEN incCount > c2 THEN 'High'
 SELECT SCHOOL_YEAR, STUDENT_KEY, discipline FROM disciplined
 """)
 def discipline_band(spark, d):
-    return risk.discipline_band(cleaning.clean_pool(b.scoring_cohort(spark, d))).select(*_KEY, "discipline")
+    return risk.discipline_band(cleaning.clean_pool(b.scoring_cohort(spark, d, keep=True))).select(*_KEY, "discipline")
 
 
 # ---------------------------------------------------------------- export
@@ -185,7 +185,7 @@ def _export_sql(kind, disc2):
 
 def _export(spark, d, prelim=False):
     # The banded cohort is read by several passes, so it is written down once.
-    base = stage(scored(spark, d), "scored")
+    base = stage(scored(spark, d, keep=False), "scored")
     banded = risk.risk_bands(base, F.lit(THRESHOLD))
     return b.rounded(risk.risk_export(
         banded, grade=C("GRADE_KEY").cast("int"), year=C("SCHOOL_YEAR"), prelim=prelim,
