@@ -75,3 +75,17 @@ def test_row_wise_operators_run_on_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r["attendance"] for r in spark.table("bands").collect()) == ["High", "Low", "Missing"]
+
+
+def test_task_functions_need_no_installed_package(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from vigilo.operators import nearest
+
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(nearest._coords))
+    code = "from pyspark import cloudpickle; print(cloudpickle.load(open('f.pkl', 'rb')).__name__)"
+    got = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin"}, capture_output=True, text=True)
+    assert got.stdout.strip() == "_coords", got.stderr
