@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -51,18 +50,12 @@ def table_columns(table: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else one inside the warehouse.
 
-    A machine-local folder is made up only for a local master, as in tests.
+    The warehouse is shared by driver and executors as well; no machine-local folder is made up.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="run-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir() or folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staged"
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
