@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from vigilo.llm import bpe, chat, url_filter
+from vigilo.llm import bpe, chat, embedding_dedup, hnsw, mixing, url_filter
 
 QUERIES = {
+    "op1_embedding_dedup": embedding_dedup.op1_embedding_dedup,
+    "op10_nearest": hnsw.op10_nearest,
+    "op4_mix_sources": mixing.op4_mix_sources,
     "op5_bpe": bpe.op5_bpe,
     "op6_chat_format": chat.op6_chat_format,
     "op9_url_filter": url_filter.op9_url_filter,
 }
 ORACLE = {
+    "op1_embedding_dedup": embedding_dedup.OP1_SQL,
     "op6_chat_format": chat.OP6_SQL,
     "op9_url_filter": url_filter.OP9_SQL,
 }
