@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vigilo.llm import bpe, chat, embedding_dedup, hnsw, mixing, url_filter
+from vigilo.llm import bpe, chat, embedding_dedup, hnsw, mixing, toxicity, url_filter
 
 QUERIES = {
     "op1_embedding_dedup": embedding_dedup.op1_embedding_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_mix_sources": mixing.op4_mix_sources,
     "op5_bpe": bpe.op5_bpe,
     "op6_chat_format": chat.op6_chat_format,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op9_url_filter": url_filter.op9_url_filter,
 }
 ORACLE = {
