@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import base64
+from array import array
+from itertools import chain
 
+import numpy as np
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +14,8 @@ from pyspark.sql import functions as F
 
 from vigilo.llm.common import table
 
-#: Pieces of which a task remembers the encoding, and the longest such piece in bytes.
-REMEMBERED, REMEMBERED_BYTES = 400_000, 64
+#: Pieces of which a task remembers the encoding.
+REMEMBERED = 400_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -33,10 +36,14 @@ class PrefixBpe:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.reach = [1] * 256
-        for token in ranks:
-            self.reach[token[-1]] = max(self.reach[token[-1]], len(token))
+        self.fits: dict[int, bool] = {}
+        # Tokens by their bytes from the last to the first; under -1 the rank of one that ends there.
+        self.ending: dict = {}
+        for token, rank in ranks.items():
+            node = self.ending
+            for byte in reversed(token):
+                node = node.setdefault(byte, {})
+            node[-1] = rank
 
     def merged(self, piece: bytes) -> list[int]:
         """Encoding by definition: again and again the pair of the lowest rank, the first of equal ones."""
@@ -50,26 +57,33 @@ class PrefixBpe:
         return [self.ranks[part] for part in row]
 
     def may_follow(self, a: int, b: int) -> bool:
-        good = self.fits.get((a, b))
+        good = self.fits.get(a << 32 | b)
         if good is None:
-            if len(self.fits) > 2 * REMEMBERED:
+            if len(self.fits) >= 4 * REMEMBERED:
                 self.fits.clear()
-            good = self.fits[a, b] = self.merged(self.token[a] + self.token[b]) == [a, b]
+            good = self.fits[a << 32 | b] = self.merged(self.token[a] + self.token[b]) == [a, b]
         return good
 
     def extend(self, piece: bytes, last: list[int]) -> list[int]:
         """Last tokens of all prefixes of ``piece``, of which ``last`` has the first ones."""
-        ranks, token, may_follow = self.ranks, self.token, self.may_follow
+        ending, fits, may_follow = self.ending, self.fits, self.may_follow
         if not last:
             last.append(-1)
         for i in range(len(last), len(piece) + 1):
-            for size in range(min(self.reach[piece[i - 1]], i), 0, -1):
-                rank = ranks.get(piece[i - size:i])
-                if rank is not None and (size == i or may_follow(last[i - size], rank)):
-                    last.append(rank)
-                    break
-            else:
-                raise ValueError("the ranks have no token for a byte")
+            node, at = ending, i
+            while True:
+                at -= 1
+                node = node.get(piece[at]) if at >= 0 else None
+                if node is None:
+                    raise ValueError("the ranks have no token for a byte")
+                rank = node.get(-1)
+                if rank is not None:
+                    if at == 0:
+                        break
+                    good = fits.get(last[at] << 32 | rank)
+                    if good or good is None and may_follow(last[at], rank):
+                        break
+            last.append(rank)
         return last
 
     def tokens(self, last: list[int]) -> list[int]:
@@ -89,6 +103,35 @@ class PrefixBpe:
         return self.extend(new, last[:same + 1])
 
 
+class _Pieces(dict):
+    """Numbers of the pieces met so far; the ids of piece k lie at ``at[k]`` to ``at[k + 1]`` of ``store``."""
+
+    def __init__(self, bpe: PrefixBpe):
+        self.bpe, self.store, self.at = bpe, array("i"), array("q", [0])
+
+    def __missing__(self, piece: str) -> int:
+        self.store.extend(self.bpe.encode(piece.encode()))
+        self.at.append(len(self.store))
+        number = self[piece] = len(self.at) - 2
+        return number
+
+    def ids(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets of the texts and the ids of all their pieces."""
+        if len(self) > REMEMBERED or len(self.store) > REMEMBERED * 8:
+            self.clear()
+            self.store, self.at = array("i"), array("q", [0])
+        number = np.fromiter(map(self.__getitem__, chain.from_iterable(texts)), dtype=np.int64)
+        at, store = np.array(self.at), np.array(self.store)
+        size = at[number + 1] - at[number]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        return ends[np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(int)], store[spans(at[number], size)]
+
+
+def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Numbers start[k], start[k] + 1, ... of ``size[k]`` numbers each, one after the other."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
 def encode(docs: DataFrame, key: str, text: str, ranks: bytes, pattern: str) -> DataFrame:
     """``key`` and ``ids``: token ids of each whole text.
 
@@ -100,24 +143,11 @@ def encode(docs: DataFrame, key: str, text: str, ranks: bytes, pattern: str) ->
     def run(batches):
         import pyarrow as pa
 
-        bpe, split, known = PrefixBpe(read_ranks(ranks)), regex.compile(pattern), {}
-
-        def ids(piece: str) -> list[int]:
-            raw = piece.encode()
-            out = bpe.encode(raw)
-            if len(raw) <= REMEMBERED_BYTES:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                known[piece] = out
-            return out
-
+        split, pieces = regex.compile(pattern), _Pieces(PrefixBpe(read_ranks(ranks)))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                part, offsets, flat = batch.slice(at, 256), [0], []
-                for value in part.column(1).to_pylist():
-                    for piece in split.findall(value or ""):
-                        flat += known.get(piece) or ids(piece)
-                    offsets.append(len(flat))
+                part = batch.slice(at, 256)
+                offsets, flat = pieces.ids([split.findall(value or "") for value in part.column(1).to_pylist()])
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["key", "ids"])
 
@@ -130,12 +160,23 @@ def decode(coded: DataFrame, key: str, ids: str, ranks: bytes) -> DataFrame:
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         token = {rank: t for t, rank in read_ranks(ranks).items()}
+        size = np.zeros(max(token, default=0) + 1, dtype=np.int64)
+        size[list(token)] = [len(t) for t in token.values()]
+        start = np.cumsum(size) - size
+        letters = np.frombuffer(b"".join(token.get(k, b"") for k in range(len(size))), dtype=np.uint8)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [b"".join([token[i] for i in row or ()]) for row in part.column(1).to_pylist()]
+                counts = pc.fill_null(pc.list_value_length(part.column(1)), 0)
+                flat = np.asarray(part.column(1).flatten(), dtype=np.int64)
+                if not size[flat].all():
+                    raise KeyError("an id that the ranks do not have")
+                raw = letters[spans(start[flat], size[flat])].tobytes()
+                ends = np.concatenate([[0], np.cumsum(size[flat])])[np.concatenate([[0], np.cumsum(np.asarray(counts))]).astype(int)]
+                texts = [raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.binary())],
                                                  names=["key", "ids", "decoded"])
 
