@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from vigilo.llm import bpe, chat, embedding_dedup, hnsw, minhash_dedup, mixing, toxicity, url_filter
+from vigilo.llm import bpe, chat, embedding_dedup, hnsw, minhash_dedup, mixing, suffix_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_embedding_dedup": embedding_dedup.op1_embedding_dedup,
     "op10_nearest": hnsw.op10_nearest,
     "op2_minhash_dedup": minhash_dedup.op2_minhash_dedup,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op4_mix_sources": mixing.op4_mix_sources,
     "op5_bpe": bpe.op5_bpe,
     "op6_chat_format": chat.op6_chat_format,
