@@ -15,32 +15,35 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilo.llm.common import shuffle_parts, table, text_bytes
+from vigilo.llm.common import shuffle_parts, table
 from vigilo.llm.shingles import mix
+from vigilo.llm.units import Unit, pack_units, planes, unit_rows, unplanes
 from vigilo.sources.tables import stage
 
 WINDOW, SEED = 50, 20
 _RUN = WINDOW - SEED + 1
 _SIDE = _RUN // 2
-#: Bytes of text in a unit, and bytes of all texts for each bucket of keys and of segments.
-UNIT_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
+#: Bytes of all texts for each bucket of keys and of segments.
+BUCKET_BYTES = 8 << 20
 #: Bytes hashed in one go.
 _CHUNK = 1 << 18
 #: Occurrences of a key beyond which its windows are dealt one by one, by their own hash.
 HOT = 20_000
 _END = 255
 _BASE = 0x9E3779B97F4A7C15 | 1
-_POWER = np.cumprod(np.concatenate([[1], np.full(_CHUNK + 2 * WINDOW, _BASE, dtype=np.uint64)]).astype(np.uint64))
-_INVERSE = np.cumprod(np.concatenate([[1], np.full(_CHUNK + 2 * WINDOW, pow(_BASE, -1, 1 << 64), dtype=np.uint64)]).astype(np.uint64))
 _FAR = np.iinfo(np.int64).max
 
 
-def _rolling(raw: np.ndarray, size: int) -> np.ndarray:
+def _powers(base: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([[1], np.full(_CHUNK + 2 * WINDOW, base, dtype=np.uint64)]).astype(np.uint64))
+
+
+def _rolling(raw: np.ndarray, size: int, power: np.ndarray, inverse: np.ndarray) -> np.ndarray:
     """Hashes of all strings of ``size`` bytes."""
     total = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _POWER[:len(raw)], out=total[1:])
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[:len(raw)], out=total[1:])
     n = max(len(raw) - size + 1, 0)
-    return mix((total[size:size + n] - total[:n]) * _INVERSE[:n])
+    return mix((total[size:size + n] - total[:n]) * inverse[:n])
 
 
 def runs(raw: np.ndarray, lengths: np.ndarray, skip: np.ndarray):
@@ -50,6 +53,7 @@ def runs(raw: np.ndarray, lengths: np.ndarray, skip: np.ndarray):
     the keys of the 35 bytes that end and that begin with the minimizer (0 where no window holds them).
     """
     out = []
+    power, inverse = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
     starts = np.cumsum(lengths) - lengths
     doc = 0
     while doc < len(lengths):
@@ -66,7 +70,7 @@ def runs(raw: np.ndarray, lengths: np.ndarray, skip: np.ndarray):
             if y - x < WINDOW:
                 continue
             part = raw[x:y]
-            h = _rolling(part, SEED)
+            h = _rolling(part, SEED, power, inverse)
             packed = (h & np.uint64(0xFFFFFFFFFF000000)) | np.arange(len(h), dtype=np.uint64)
             low, reach = packed, 1
             while reach * 2 <= _RUN:
@@ -103,51 +107,8 @@ def runs(raw: np.ndarray, lengths: np.ndarray, skip: np.ndarray):
     return s, e, p, h, d, left, right
 
 
-def _pack(batches):
-    import pyarrow as pa
-
-    ids, texts, size = [], [], 0
-
-    def row():
-        lengths = np.array([len(t) for t in texts], dtype=np.int64)
-        known = np.array([k is not None for k in ids], dtype=np.uint8)
-        keys = np.array([k or 0 for k in ids], dtype=np.int64)
-        data = pa.compress(b"".join(texts), codec="zstd", asbytes=True) if size else b""
-        return pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (keys.tobytes(), known.tobytes(), lengths.tobytes(), data)]
-                                          + [pa.array([int(lengths.sum())], pa.int64())], names=["ids", "known", "lengths", "data", "size"])
-
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            for key, text in zip(part.column(0).to_pylist(), text_bytes(part.column(1)), strict=True):
-                ids.append(key)
-                texts.append(text)
-                size += len(text)
-                if size >= UNIT_BYTES:
-                    yield row()
-                    ids, texts, size = [], [], 0
-    if ids:
-        yield row()
-
-
-class _Unit:
-    def __init__(self, row: dict):
-        import pyarrow as pa
-
-        self.ids = np.frombuffer(row["ids"], dtype=np.int64)
-        self.known = np.frombuffer(row["known"], dtype=np.uint8).astype(bool)
-        self.lengths = np.frombuffer(row["lengths"], dtype=np.int64)
-        self.text = pa.decompress(row["data"], row["size"], codec="zstd", asbytes=True) if row["size"] else b""
-        self.raw = np.frombuffer(self.text, dtype=np.uint8)
-
-    def runs(self):
-        return runs(self.raw, self.lengths, ~self.known)
-
-
-def _rows(batches):
-    for batch in batches:
-        for at in range(batch.num_rows):
-            yield batch.slice(at, 1).to_pylist()[0]
+def _runs_of(unit: Unit):
+    return runs(unit.raw, unit.lengths, ~unit.known)
 
 
 def _by_bucket(keys: np.ndarray, buckets: int):
@@ -163,15 +124,6 @@ def _cuts(sorted_keys: np.ndarray):
     return [(int(high[a]), int(a), int(b)) for a, b in zip(at[:-1], at[1:], strict=True) if b > a]
 
 
-def _planes(numbers: np.ndarray) -> bytes:
-    return numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes()
-
-
-def _unplanes(data: bytes, kind) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
-
-
 def _unit_keys(left: np.ndarray, right: np.ndarray, buckets: int):
     has_left, has_right = np.flatnonzero(left), np.flatnonzero(right)
     keys, where = _by_bucket(np.concatenate([left[has_left], right[has_right]]), buckets)
@@ -182,8 +134,8 @@ def _emit_keys(buckets: int):
     def run(batches):
         import pyarrow as pa
 
-        for row in _rows(batches):
-            _, _, _, _, doc, left, right = _Unit(row).runs()
+        for row in unit_rows(batches):
+            _, _, _, _, doc, left, right = _runs_of(Unit(row))
             keys, where, has_left, has_right = _unit_keys(left, right, buckets)
             docs = np.concatenate([doc[has_left], doc[has_right]])
             low, high = np.full(len(keys), _FAR), np.full(len(keys), -1)
@@ -192,8 +144,8 @@ def _emit_keys(buckets: int):
             count = np.minimum(np.bincount(where, minlength=len(keys)), 32767).astype(np.uint16) * np.uint16(2) + (low != high).astype(np.uint16)
             cuts = _cuts(keys)
             rest = keys.astype(np.uint32)
-            blobs = [_planes(np.diff(rest[a:b], prepend=np.uint32(0)).astype(np.uint32)) for _, a, b in cuts]
-            counts = [_planes(count[a:b]) for _, a, b in cuts]
+            blobs = [planes(np.diff(rest[a:b], prepend=np.uint32(0)).astype(np.uint32)) for _, a, b in cuts]
+            counts = [planes(count[a:b]) for _, a, b in cuts]
             yield pa.RecordBatch.from_arrays([pa.array([c[0] for c in cuts], pa.int32()), pa.array([row["unit"]] * len(cuts), pa.int64()),
                                               pa.array(blobs, pa.binary()), pa.array(counts, pa.binary())], names=["bucket", "unit", "keys", "counts"])
 
@@ -205,8 +157,8 @@ def _find_shared(part):
     import pyarrow as pa
 
     units = part.column("unit").to_pylist()
-    keys = [np.cumsum(_unplanes(k, np.uint32), dtype=np.uint32) for k in part.column("keys").to_pylist()]
-    counts = np.concatenate([_unplanes(c, np.uint16) for c in part.column("counts").to_pylist()])
+    keys = [np.cumsum(unplanes(k, np.uint32), dtype=np.uint32) for k in part.column("keys").to_pylist()]
+    counts = np.concatenate([unplanes(c, np.uint16) for c in part.column("counts").to_pylist()])
     _, where = np.unique(np.concatenate(keys), return_inverse=True)
     docs = np.bincount(where, 1 + (counts & 1))
     often = np.bincount(where, counts >> 1)
@@ -234,9 +186,9 @@ def _emit_segments(buckets: int):
     def run(batches):
         import pyarrow as pa
 
-        for row in _rows(batches):
-            unit = _Unit(row)
-            s, e, p, h, doc, left, right = unit.runs()
+        for row in unit_rows(batches):
+            unit = Unit(row)
+            s, e, p, h, doc, left, right = _runs_of(unit)
             keys, where, has_left, has_right = _unit_keys(left, right, buckets)
             shared, hot = np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=bool)
             cuts = {b: (x, y) for b, x, y in _cuts(keys)}
@@ -373,8 +325,8 @@ _RESULT = "id long, n_bytes long, n_removed long, n_spans long, kept binary, tex
 def _cut(batches):
     import pyarrow as pa
 
-    for row in _rows(batches):
-        unit = _Unit(row)
+    for row in unit_rows(batches):
+        unit = Unit(row)
         edge = np.zeros(len(unit.raw) + 1, dtype=np.int32)
         if row["answers"]:
             doc, first, which = (np.frombuffer(row[c], dtype=k) for c, k in (("first", np.int32), ("second", np.int64), ("third", np.int32)))
@@ -420,10 +372,7 @@ def remove_repeats(docs: DataFrame, key: str, text: str) -> DataFrame:
     50 bytes stay as they are; long ones are handled in overlapping parts. An empty table gives no rows.
     Other columns are not read.
     """
-    base = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    packed = base.mapInArrow(_pack, "ids binary, known binary, lengths binary, data binary, size long")
-    units = stage(packed.withColumn("unit", F.monotonically_increasing_id()), "units")
-    size = units.agg(F.sum("size")).first()[0] or 0
+    units, size = pack_units(docs, key, text)
     buckets = max(shuffle_parts(docs.sparkSession), -(-size // BUCKET_BYTES))
 
     keys = units.mapInArrow(_emit_keys(buckets), "bucket int, unit long, keys binary, counts binary")
