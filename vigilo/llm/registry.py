@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vigilo.llm import bpe, chat, embedding_dedup, hnsw, minhash_dedup, mixing, suffix_dedup, toxicity, url_filter
+from vigilo.llm import bpe, chat, embedding_dedup, hnsw, language_model, minhash_dedup, mixing, suffix_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_embedding_dedup": embedding_dedup.op1_embedding_dedup,
@@ -13,6 +13,7 @@ QUERIES = {
     "op5_bpe": bpe.op5_bpe,
     "op6_chat_format": chat.op6_chat_format,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_language_model": language_model.op8_language_model,
     "op9_url_filter": url_filter.op9_url_filter,
 }
 ORACLE = {
