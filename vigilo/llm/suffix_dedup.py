@@ -35,7 +35,9 @@ _FAR = np.iinfo(np.int64).max
 
 
 def _powers(base: int) -> np.ndarray:
-    return np.cumprod(np.concatenate([[1], np.full(_CHUNK + 2 * WINDOW, base, dtype=np.uint64)]).astype(np.uint64))
+    out = np.full(_CHUNK + 2 * WINDOW, base, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
 
 
 def _rolling(raw: np.ndarray, size: int, power: np.ndarray, inverse: np.ndarray) -> np.ndarray:
