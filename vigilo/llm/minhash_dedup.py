@@ -13,24 +13,25 @@ from vigilo.llm.shingles import WordHasher, mix
 from vigilo.sources.tables import stage
 
 WORDS = 5
-#: Samples of a signature, in bands of rows: at a similarity of 0.75 two sets share no band once in 200,000.
+#: Samples in bands of rows: at a similarity of 0.75 two sets share no band once in 200,000.
 BANDS, ROWS = 32, 4
-SKETCH_BITS = 1024
-#: Estimates below this are ruled out; it is over five standard deviations under a similarity of 0.75.
-LEAST_ESTIMATE = 0.5
+#: Samples of a signature, of which the first fill the bands, and bits of the sketch they are folded into.
+SAMPLES, SKETCH_BITS = 512, 4096
+#: Estimates below this are ruled out; it is four standard deviations (0.019) under a similarity of 0.75.
+LEAST_ESTIMATE = 0.67
 #: Members of a bucket that one tile compares.
 TILE = 2048
 
 _RNG = np.random.default_rng(7)
-_MULTIPLIERS = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADDENDS = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+_MULTIPLIERS = _RNG.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ADDENDS = _RNG.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
     """Smallest value of the set under each of the random maps."""
-    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(hashes), 512):
-        block = hashes[at:at + 512, None] * _MULTIPLIERS
+    low = np.full(SAMPLES, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(hashes), 64):
+        block = hashes[at:at + 64, None] * _MULTIPLIERS
         block += _ADDENDS
         np.minimum(low, block.min(0), out=low)
     return mix(low)
@@ -45,7 +46,7 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
 def estimate(differing: np.ndarray) -> np.ndarray:
     """Similarity from the population count of the exclusive or of two sketches."""
     share = np.minimum(differing / SKETCH_BITS, 0.499)
-    return 1 + SKETCH_BITS * np.log1p(-2 * share) / (4 * BANDS * ROWS)
+    return 1 + SKETCH_BITS * np.log1p(-2 * share) / (4 * SAMPLES)
 
 
 #: Most differing bits of two sketches that are not ruled out.
@@ -55,7 +56,7 @@ MOST_DIFFERING = int(np.flatnonzero(estimate(np.arange(SKETCH_BITS + 1)) >= LEAS
 def band_keys(samples: np.ndarray) -> np.ndarray:
     key = np.arange(BANDS, dtype=np.uint64)
     for k in range(ROWS):
-        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + samples.reshape(BANDS, ROWS)[:, k])
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + samples[:BANDS * ROWS].reshape(BANDS, ROWS)[:, k])
     return key.view(np.int64)
 
 
@@ -133,6 +134,7 @@ def _compare(best_only: bool):
         sketch = np.asarray(part.column("sketch").combine_chunks().flatten(), dtype=np.int64).view(np.uint64).reshape(len(ids), -1)
         order = np.lexsort((ids, bucket))
         bucket, ids, comp, side, sketch = bucket[order], ids[order], comp[order], side[order], sketch[order]
+        bands = np.asarray(part.column("bands").combine_chunks().flatten(), dtype=np.int64).reshape(len(order), -1)[order]
         cuts = np.flatnonzero(np.diff(bucket)) + 1
         out_a, out_b = [], []
         for a, b in zip([0, *cuts], [*cuts, len(ids)], strict=True):
@@ -153,6 +155,10 @@ def _compare(best_only: bool):
                     i, j = hit, np.where(possible[hit], differing[hit], SKETCH_BITS + 1).argmin(1)
                 else:
                     i, j = np.nonzero(possible)
+                    # A pair that shares several buckets belongs to the first of them.
+                    first = np.concatenate([(bands[r[i[k:k + 4096]]] == bands[cols[j[k:k + 4096]]]).argmax(1) for k in range(0, len(i), 4096)] or [i])
+                    own = bands[r[i], first] == bucket[a]
+                    i, j = i[own], j[own]
                 x, y = ids[r[i]], ids[cols[j]]
                 out_a.append(np.minimum(x, y))
                 out_b.append(np.maximum(x, y))
@@ -174,10 +180,10 @@ def _open_pairs(members: DataFrame, reach: DataFrame, sketches: DataFrame, best_
     # A bucket of one block stays whole, many to a tile; a larger one becomes pairs of blocks.
     others = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda o: F.struct(
         F.least(own, o).alias("p"), F.greatest(own, o).alias("q"), F.when(own == o, 2).when(own < o, 0).otherwise(1).alias("side")))
-    dealt = rows.select("bucket", "id", "component", "sketch", "cuts", F.explode(others).alias("t"))
+    dealt = rows.select("bucket", "id", "component", "sketch", "bands", "cuts", F.explode(others).alias("t"))
     bins = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4
     tile = F.when(F.col("cuts") == 1, F.pmod(F.xxhash64("bucket"), F.lit(bins))).otherwise(F.xxhash64("bucket", "t.p", "t.q"))
-    tiles = dealt.select(tile.alias("tile"), "bucket", "id", "component", "sketch", F.col("t.side").alias("side"))
+    tiles = dealt.select(tile.alias("tile"), "bucket", "id", "component", "sketch", "bands", F.col("t.side").alias("side"))
     pairs = tiles.groupBy("tile").applyInArrow(_compare(best_only), "a long, b long").distinct()
     return pairs.join(tested, ["a", "b"], "left_anti")
 
@@ -207,7 +213,7 @@ def near_duplicates(docs: DataFrame, key: str, text: str) -> DataFrame:
     members = stage(placed.join(shared, "bucket").select("bucket", "id", "first"), "buckets")
     some = members.select("id").distinct()
     texts = stage(base.where("id is not null").join(some, "id"), "texts")
-    sketches = reps.select("id", "sketch").join(some, "id", "left_semi")
+    sketches = reps.select("id", "sketch", "bands").join(some, "id", "left_semi")
 
     first = members.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     tested = stage(_sketched(first, sketches), "pairs")
