@@ -83,9 +83,12 @@ def mix(
     budget: int | None = None,
     block_rows: int = 4096,
     seed: int = 0,
+    carry: bool = False,
 ) -> DataFrame:
     """Per row of the mix: ``key``, ``source``, ``n_tokens``, ``copies`` and ``position``.
 
+    With ``carry`` a last column ``row`` holds all columns of the row as a struct.
+
     Shares of the sources are counted in words of the whole texts, raised to one exponent and normalised.
     A source gets its weight times ``budget`` words (all words when None). Its rows are permuted in blocks:
     hashes put rows into blocks of about ``block_rows``, blocks in random order, rows in random order inside
@@ -97,13 +100,14 @@ def mix(
     many small windows. Nulls: a null source is a source of its own, a null or empty text has no words; such
     rows cost nothing and go with every whole pass, and the last pass if it reaches them. Equal keys, and
     repeated rows, are ordered by hash of their text as well and may swap only with identical rows. An empty
-    table gives no rows. Other columns are not read.
+    table gives no rows. Without ``carry`` other columns are not read.
     """
     none = F.lit("without a source")
     name = F.col(source).cast("string")
     rows = stage(docs.select(
         F.col(key).alias("k"), name.alias("name"), F.coalesce(F.concat(F.lit("s"), name), none).alias("src"), word_count(F.col(text)).alias("n"),
-        F.xxhash64(F.lit(seed), F.col(key), F.coalesce(F.col(text), F.lit(""))).alias("h")), "mix")
+        F.xxhash64(F.lit(seed), F.col(key), F.coalesce(F.col(text), F.lit(""))).alias("h"),
+        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else [])), "mix")
     totals = rows.groupBy("src").agg(F.sum("n").alias("tokens"), F.count("*").alias("rows"))
     words = totals.agg(F.sum("tokens")).first()[0] or 0
     spend = float(words if budget is None else budget)
@@ -129,7 +133,7 @@ def mix(
     last = (F.col("rest") > 0) & (2 * at + F.col("n") <= 2 * F.col("rest"))
     return placed.select(
         F.col("k").alias(key), F.col("name").alias(source), F.col("n").alias("n_tokens"),
-        (F.col("whole") + last.cast("long")).alias("copies"), at.alias("position")).where("copies > 0")
+        (F.col("whole") + last.cast("long")).alias("copies"), at.alias("position"), *(["row"] if carry else [])).where("copies > 0")
 
 
 def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,10 +10,12 @@ sorted together: each round prepends one symbol to every string and updates the
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from vigilo.llm.common import shuffle_parts, table
 from vigilo.llm.shingles import mix
@@ -321,7 +323,8 @@ def _sort_bucket(part):
     return pa.table({"unit": pa.array([o[0] for o in out], pa.int64()), **{c: pa.array([o[k] for o in out], pa.binary()) for k, c in ((1, "number"), (2, "span"), (3, "low"))}})
 
 
-_RESULT = "id long, n_bytes long, n_removed long, n_spans long, kept binary, text string"
+_RESULT = StructType([StructField(name, kind()) for name, kind in (
+    ("id", LongType), ("n_bytes", LongType), ("n_removed", LongType), ("n_spans", LongType), ("kept", BinaryType), ("text", StringType))])
 
 
 def _cut(batches):
@@ -356,14 +359,17 @@ def _cut(batches):
             out.append((n, n - len(kept), spans, kept, kept.decode("utf-8", "ignore")))
             at += n
         ids = pa.array(unit.ids, pa.int64(), mask=~unit.known)
+        kinds, more = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()), Unit.carried(row)
         for k in range(0, len(out), 256):
-            part = out[k:k + 256]
-            yield pa.RecordBatch.from_arrays([ids.slice(k, 256), *(pa.array([o[j] for o in part], kind) for j, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())))],
-                                             names=["id", "n_bytes", "n_removed", "n_spans", "kept", "text"])
+            columns = [ids.slice(k, 256), *(pa.array([o[j] for o in out[k:k + 256]], kind) for j, kind in enumerate(kinds))]
+            names = _RESULT.fieldNames()
+            if more is not None:
+                columns, names = [*columns, *more.slice(k, 256).columns], [*names, *more.schema.names]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def remove_repeats(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Per row ``id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (bytes) and ``text``.
+def remove_repeats(docs: DataFrame, key: str, text: str, carry: Sequence[str] = ()) -> DataFrame:
+    """Per row ``id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (bytes), ``text``, and ``carried0``, ...
 
     Every byte goes that a 50-byte string covers which also starts in a document with a smaller id, judged
     on the input; ``n_spans`` counts the maximal removed runs. ``text`` is what is left, without characters
@@ -372,19 +378,21 @@ def remove_repeats(docs: DataFrame, key: str, text: str) -> DataFrame:
     Nulls: a null text is empty; a row with a null id keeps its whole text and removes nothing elsewhere.
     Documents with equal ids (repeated rows) do not remove from each other, but from larger ids. Texts under
     50 bytes stay as they are; long ones are handled in overlapping parts. An empty table gives no rows.
-    Other columns are not read.
+    Columns named in ``carry`` come back unchanged as ``carried0``, ``carried1``, ...; no other one is read.
     """
-    units, size = pack_units(docs, key, text)
+    units, size = pack_units(docs, key, text, carry)
     buckets = max(shuffle_parts(docs.sparkSession), -(-size // BUCKET_BYTES))
 
-    keys = units.mapInArrow(_emit_keys(buckets), "bucket int, unit long, keys binary, counts binary")
+    bare = units.drop("rest")
+    keys = bare.mapInArrow(_emit_keys(buckets), "bucket int, unit long, keys binary, counts binary")
     shared = keys.groupBy("bucket").applyInArrow(_find_shared, "unit long, bucket int, shared binary, hot binary")
     answers = shared.groupBy("unit").agg(F.collect_list(F.struct("bucket", "shared", "hot")).alias("answers"))
-    segments = stage(units.join(answers, "unit").mapInArrow(_emit_segments(buckets), _SEGMENTS), "segments")
+    segments = stage(bare.join(answers, "unit").mapInArrow(_emit_segments(buckets), _SEGMENTS), "segments")
     spans = segments.where("bucket is not null").groupBy("bucket").applyInArrow(_sort_bucket, "unit long, number binary, span binary, low binary")
     answers = spans.groupBy("unit").agg(F.collect_list(F.struct("number", "span", "low")).alias("answers"))
+    kinds = [StructField(f"carried{k}", docs.select(F.col(f"`{c}`")).schema[0].dataType) for k, c in enumerate(carry)]
     places = segments.where("bucket is null").select("unit", "first", "second", "third")
-    return units.join(places.join(answers, "unit"), "unit", "left").mapInArrow(_cut, _RESULT)
+    return units.join(places.join(answers, "unit"), "unit", "left").mapInArrow(_cut, StructType([*_RESULT.fields, *kinds]))
 
 
 def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:

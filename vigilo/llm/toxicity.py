@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from vigilo.llm.common import held_out, table
 from vigilo.sources.tables import stage
@@ -146,12 +147,13 @@ def fit(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str,
     return {r.word: r.weight for r in learned.collect()}
 
 
-def score(docs: DataFrame, key: str, text: str, weights: dict[str, float]) -> DataFrame:
-    """``key`` and ``score`` from 0 to 1 of every whole text.
+def with_score(docs: DataFrame, text: str, weights: dict[str, float], column: str = "score") -> DataFrame:
+    """``docs`` with a last column ``column``: the score from 0 to 1 of every whole text.
 
-    A null or empty text scores what the bias says. Repeated rows and null keys stay; no other column is
-    read. ``weights`` holds at most the features of the fit.
+    A null or empty text scores what the bias says. Repeated rows and null keys stay, all columns pass
+    through. ``weights`` holds at most the features of the fit.
     """
+    at = docs.columns.index(text)
 
     def run(batches):
         import pyarrow as pa
@@ -159,13 +161,17 @@ def score(docs: DataFrame, key: str, text: str, weights: dict[str, float]) -> Da
         bias = weights.get(BIAS, 0.0)
         for batch in batches:
             out = []
-            for value in batch.column(1).to_pylist():
+            for value in batch.column(at).to_pylist():
                 logit = bias + math.fsum(weights[w] for w in features_of(words_of(value)) & weights.keys())
                 out.append(1 / (1 + math.exp(-max(-40.0, min(40.0, logit)))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["key", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names=[*batch.schema.names, column])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(column, DoubleType())]))
 
-    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(
-        run, "key long, score double").withColumnRenamed("key", key)
+
+def score(docs: DataFrame, key: str, text: str, weights: dict[str, float]) -> DataFrame:
+    """``key`` and ``score`` of every row; no other column is read."""
+    return with_score(docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias("text")), "text", weights).select(key, "score")
 
 
 def document_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
