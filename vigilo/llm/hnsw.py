@@ -114,7 +114,7 @@ class Graph:
         seen = np.zeros((n, len(self.x) + 1), dtype=bool)
         seen[:, -1] = True
         ids = np.full((n, width), -1, dtype=np.int64)
-        dist = np.full((n, width), np.inf, dtype=np.float32)
+        dist = np.full((n, width), np.inf, dtype=self.x.dtype)
         done = np.ones((n, width), dtype=bool)
         # Repeated starts count once.
         start = np.sort(start, axis=1)
@@ -140,7 +140,7 @@ class Graph:
             around[seen[live[:, None], around]] = -1
             seen[live[:, None], around] = True
             far = np.where(around >= 0, self.distances(q[live], around), np.inf)
-            all_dist = np.concatenate([dist[live], far.astype(np.float32)], 1)
+            all_dist = np.concatenate([dist[live], far.astype(dist.dtype)], 1)
             best = np.argpartition(all_dist, width - 1, axis=1)[:, :width]
             dist[live] = all_dist[rows, best]
             ids[live] = np.concatenate([ids[live], around], 1)[rows, best]
@@ -157,6 +157,16 @@ class Graph:
         return self.beam(q, start, 0, width)[0]
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Vectors by a common factor, in single precision unless their lengths are too far apart for it.
+
+    Distances that are returned come from the original vectors in any case.
+    """
+    x = x / np.abs(x).max()
+    length = np.linalg.norm(x, axis=1)
+    return x.astype(np.float32) if length.min() > 1e-9 * length.max() else x
+
+
 _INDEX = "grp int, shard long, n int, dim int, layers int, entry int, vectors binary, links binary, ids array<array<bigint>>"
 
 
@@ -179,8 +189,7 @@ def build_index(vectors: DataFrame, key: str, vector: str, keep: int) -> DataFra
 
         part = part.combine_chunks()
         x = matrix(part.column("vec").chunk(0))
-        # A common factor of a shard keeps single precision in range; distances returned are exact ones.
-        graph = Graph.build((x / np.abs(x).max()).astype(np.float32))
+        graph = Graph.build(_scaled(x))
         return pa.table({
             "grp": part.column("grp").slice(0, 1), "shard": part.column("shard").slice(0, 1), "n": pa.array([len(x)], pa.int32()),
             "dim": pa.array([x.shape[1]], pa.int32()), "layers": pa.array([len(graph.links)], pa.int32()), "entry": pa.array([graph.entry], pa.int32()),
@@ -198,7 +207,7 @@ def read_graph(row: dict) -> tuple[Graph, np.ndarray]:
         size = n * LINKS * (1 if layer else 2)
         links.append(np.frombuffer(row["links"], np.int32, size, 4 * at).reshape(n, -1))
         at += size
-    return Graph((x / np.abs(x).max()).astype(np.float32), links, row["entry"]), x
+    return Graph(_scaled(x), links, row["entry"]), x
 
 
 def nearest(queries: DataFrame, index: DataFrame, key: str, vector: str, k: int = 10) -> DataFrame:
@@ -225,7 +234,7 @@ def nearest(queries: DataFrame, index: DataFrame, key: str, vector: str, k: int
         row = part.to_pylist()[0]
         graph, x = read_graph(row)
         q = np.array([a["vec"] for a in row["asked"]], dtype=np.float64)
-        found = graph.search((q / np.abs(x).max()).astype(np.float32), max(SEARCH_BEAM, 2 * k))
+        found = graph.search((q / np.abs(x).max()).astype(graph.x.dtype), max(SEARCH_BEAM, 2 * k))
         out = ([], [], [])
         for a, own, cand in zip(row["asked"], q, found, strict=True):
             cand = cand[cand >= 0]
