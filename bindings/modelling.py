@@ -64,17 +64,16 @@ def model_matrix(spark, d):
 
 @query("score_matrix", "WITH " + b.FEAT + f"""
 SELECT id, {_DUMMIES}, {", ".join(b.FEATURES)} FROM feat
-WHERE segment IN (SELECT segment FROM feat) AND recent > 0
 """)
 def score_matrix(spark, d):
+    """Levels are those of the training rows; everybody is scored."""
     everyone = b.features(spark, d)
-    known = features.levels(everyone, ["segment"])
-    cohort = everyone.where("recent > 0").drop("y")
-    return features.model_matrix(cohort, keep=["id"], known_levels=known)
+    train = features.three_way_split(everyone, ["id"], mode="PROD").where("split = 'traindata'")
+    return features.model_matrix(everyone.drop("y"), keep=["id"], known_levels=features.levels(train, ["segment"]))
 
 
 @query("three_way_split", "WITH " + b.FEAT + f""",
-p AS (SELECT CASE WHEN count(*) <= 60000 THEN 0.45 ELSE 0.25 END AS t, CASE WHEN count(*) <= 60000 THEN 0.25 ELSE 0.5 END AS v FROM feat)
+p AS (SELECT 0.45 AS t, 0.25 AS v)
 SELECT id, CASE WHEN u < t THEN 'traindata' WHEN u < t + v THEN 'validdata' ELSE 'testdata' END AS split
 FROM (SELECT id, {b.SPLIT_U} AS u FROM feat), p
 """)

@@ -46,17 +46,18 @@ scored AS (
   FROM cleaned JOIN customer ON STUDENT_KEY = c_custkey),
 interval AS (
   SELECT *, least(pred, 1) AS yhat, e AS yhatError, greatest(pred - e, 0) AS flag_low, least(pred + e, 1) AS flag_high FROM (
-    SELECT *, CASE WHEN (SELECT median(se) FROM scored) > 0.15 THEN se * se ELSE se END AS e FROM scored)),
+    SELECT *, CASE WHEN median(se) OVER (PARTITION BY GRADE_KEY, SCHOOL_YEAR) > 0.15 THEN se * se ELSE se END AS e FROM scored)),
 flagged AS (
   SELECT *, CASE WHEN pred IS NULL THEN 'Missing' WHEN flag_high <= 0.4 THEN 'Low'
     WHEN flag_high >= 0.4 AND flag_low <= 0.4 THEN 'Moderate' WHEN yhat <> 0 AND flag_low >= 0.4 THEN 'High'
     ELSE 'None' END AS flag FROM interval)
 """
 _KEY = ["SCHOOL_YEAR", "STUDENT_KEY"]
+COHORT = ["GRADE_KEY", "SCHOOL_YEAR"]
 
 
 def _interval(spark, d):
-    return risk.risk_interval(scored(spark, d), "pred", "se")
+    return risk.risk_interval(scored(spark, d), "pred", "se", by=COHORT)
 
 
 def _flagged(spark, d):
@@ -80,18 +81,19 @@ def risk_flag(spark, d):
 
 
 ASSESSED = """,
-ci AS (SELECT avg(t) - 1.1503493803760079 * stddev_samp(t) / sqrt(count(t)) AS lo,
+ci AS (SELECT GRADE_KEY AS g, SCHOOL_YEAR AS y, avg(t) - 1.1503493803760079 * stddev_samp(t) / sqrt(count(t)) AS lo,
               avg(t) + 1.1503493803760079 * stddev_samp(t) / sqrt(count(t)) AS hi
-       FROM (SELECT MATH_SS + READ_SS AS t FROM flagged WHERE flag = 'Moderate')),
+       FROM (SELECT *, MATH_SS + READ_SS AS t FROM flagged WHERE flag = 'Moderate') GROUP BY ALL),
 assessed AS (SELECT flagged.*, CASE WHEN MATH_SS IS NULL OR READ_SS IS NULL THEN 'Missing'
     WHEN MATH_SS + READ_SS < lo THEN 'High' WHEN MATH_SS + READ_SS <= hi THEN 'Moderate'
-    WHEN MATH_SS + READ_SS > hi THEN 'Low' END AS assessments FROM flagged, ci)
+    WHEN MATH_SS + READ_SS > hi THEN 'Low' END AS assessments
+  FROM flagged LEFT JOIN ci ON GRADE_KEY IS NOT DISTINCT FROM g AND SCHOOL_YEAR = y)
 """
 
 
 @query("assessment_band", "WITH " + SCORED + ASSESSED + "SELECT SCHOOL_YEAR, STUDENT_KEY, assessments FROM assessed")
 def assessment_band(spark, d):
-    return risk.assessment_band(_flagged(spark, d)).select(*_KEY, "assessments")
+    return risk.assessment_band(_flagged(spark, d), by=COHORT).select(*_KEY, "assessments")
 
 
 _MISSED = "round_even(greatest(180 - round_even(180 * ATT_RATE, 1), 0), 1)"
@@ -129,29 +131,29 @@ def mobility_given(spark, d):
     return risk.mobility_band(load(spark, d, "orders").select("o_orderkey", given.alias("moved")), given="moved")
 
 
-_DISC = "SELECT min(incCount) AS c1, min(daysRemoved) AS d1 FROM {0}"
-
-
 def _disciplined(source):
     return f"""
-lows AS (SELECT min(incCount) AS c1, min(daysRemoved) AS d1 FROM {source}),
-second AS (SELECT min(incCount) AS c2 FROM {source}, lows WHERE incCount > c1),
+lows AS (SELECT GRADE_KEY AS g1, SCHOOL_YEAR AS y1, min(incCount) AS c1, min(daysRemoved) AS d1 FROM {source} GROUP BY ALL),
+second AS (SELECT g1 AS g2, y1 AS y2, min(incCount) AS c2
+  FROM {source} JOIN lows ON GRADE_KEY IS NOT DISTINCT FROM g1 AND SCHOOL_YEAR = y1 WHERE incCount > c1 GROUP BY ALL),
 disciplined AS (SELECT {source}.*, CASE WHEN incCount > c2 THEN 'High'
-    WHEN incCount > c1 OR daysRemoved > d1 THEN 'Moderate' ELSE 'Low' END AS discipline FROM {source}, lows, second)"""
+    WHEN incCount > c1 OR daysRemoved > d1 THEN 'Moderate' ELSE 'Low' END AS discipline
+  FROM {source} JOIN lows ON GRADE_KEY IS NOT DISTINCT FROM g1 AND SCHOOL_YEAR = y1
+  LEFT JOIN second ON GRADE_KEY IS NOT DISTINCT FROM g2 AND SCHOOL_YEAR = y2)"""
 
 
 @query("discipline_band", "WITH " + b.SCORING + "," + b.clean_sql("scoring") + "," + _disciplined("cleaned") + """
 SELECT SCHOOL_YEAR, STUDENT_KEY, discipline FROM disciplined
 """)
 def discipline_band(spark, d):
-    return risk.discipline_band(cleaning.clean_pool(b.scoring_cohort(spark, d, keep=True))).select(*_KEY, "discipline")
+    return risk.discipline_band(cleaning.clean_pool(b.scoring_cohort(spark, d, keep=True)), by=COHORT).select(*_KEY, "discipline")
 
 
 # ---------------------------------------------------------------- export
 
 def _rank(col):
-    return f"""CASE WHEN {col} IS NOT NULL THEN CAST(floor(count({col}) OVER (ORDER BY {col} NULLS LAST
-  RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / count({col}) OVER () * 100) AS BIGINT) END"""
+    return f"""CASE WHEN {col} IS NOT NULL THEN CAST(floor(count({col}) OVER (PARTITION BY GRADE_KEY, SCHOOL_YEAR ORDER BY {col} NULLS LAST
+  RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / count({col}) OVER (PARTITION BY GRADE_KEY, SCHOOL_YEAR) * 100) AS BIGINT) END"""
 
 
 _EXPORT_VALUES = {
@@ -186,7 +188,7 @@ def _export_sql(kind, disc2):
 def _export(spark, d, prelim=False):
     # The banded cohort is read by several passes, so it is written down once.
     base = stage(scored(spark, d, keep=False), "scored")
-    banded = risk.risk_bands(base, F.lit(THRESHOLD))
+    banded = risk.risk_bands(base, F.lit(THRESHOLD), by=COHORT)
     return b.rounded(risk.risk_export(
         banded, grade=C("GRADE_KEY").cast("int"), year=C("SCHOOL_YEAR"), prelim=prelim,
         run_time=F.lit(WHEN).cast("timestamp_ntz"),

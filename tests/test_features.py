@@ -14,10 +14,25 @@ def test_model_matrix_columns_and_levels(spark):
     assert [tuple(r) for r in out.orderBy("STUDENT_KEY").collect()] == [(1, 0.0, 1.0, 0.0, 2.0), (2, 1.0, 0.0, 0.0, 3.0), (3, 0.0, 0.0, 1.0, 4.0)]
 
 
-def test_levels_refuse_too_many(spark):
-    df = spark.range(50).select(C("id").cast("string").alias("s"))
-    with pytest.raises(ValueError):
-        features.levels(df, ["s"], limit=10)
+def test_many_levels(spark):
+    df = spark.range(2000).select(F.concat(F.lit("v"), F.lpad(C("id").cast("string"), 4, "0")).alias("s"))
+    assert len(features.levels(df, ["s"])["s"]) == 2000
+    more = df.union(spark.createDataFrame([("unseen",), (None,), ("v0001",)], "s string"))
+    out = features.level_vectors(more, df, "s").collect()
+    assert len(out) == 2003 and {r["s_levels"]["size"] for r in out} == {2000}
+    at = {}
+    for r in out:
+        at.setdefault(r["s"], set()).add(tuple(r["s_levels"]["indices"]))
+    assert at["unseen"] == at[None] == {()} and len(at["v0001"]) == 1
+    assert sorted(i for s, found in at.items() for (i,) in [x for x in found if x]) == list(range(2000))
+
+
+def test_gram_keeps_digits_with_large_means(spark):
+    df = spark.range(1000, numPartitions=7).select((C("id") % 7 + 1e9).alias("a"), (C("id") % 3 - 1e9).alias("b"))
+    x = np.array([[r["a"] - 1e9, r["b"] + 1e9] for r in df.collect()])
+    centred = x - x.mean(0)
+    got = features.gram(df, ["a", "b"], centre=[1e9 + x[:, 0].mean(), -1e9 + x[:, 1].mean()])
+    assert np.allclose(got, centred.T @ centred, rtol=1e-6)
 
 
 def test_find_binary_includes_constants_and_text(spark):
@@ -51,8 +66,9 @@ def test_split_shares_and_modes(spark):
     for mode, train, valid in (("PROD", 0.45, 0.25), ("DEV", 0.25, 0.25)):
         n = {r["split"]: r["count"] for r in features.three_way_split(df, ["k"], mode=mode).groupBy("split").count().collect()}
         assert abs(n["traindata"] / 6000 - train) < 0.03 and abs(n["validdata"] / 6000 - valid) < 0.03
-    big = spark.range(1).select(*[c.alias(n) for c, n in zip(features.split_shares("PROD", 60001), "tv")])
-    assert tuple(big.first()) == (0.25, 0.5)
+    big = spark.range(70000).withColumnRenamed("id", "k")
+    n = {r["split"]: r["count"] for r in features.three_way_split(big, ["k"], mode="PROD").groupBy("split").count().collect()}
+    assert abs(n["traindata"] / 70000 - 0.45) < 0.01 and abs(n["validdata"] / 70000 - 0.25) < 0.01
 
 
 def test_align_fills_with_zero_and_orders(spark):

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from vigilo.operators import ordering
-from vigilo.operators.groups import small_side, with_group_stats
+from vigilo.operators.groups import with_group_stats
 
 C = F.col
 
@@ -61,10 +61,19 @@ def test_repeat_rows_uses_short_arrays(spark):
     assert sorted((r["k"], r["i"]) for r in out.collect()) == [("b", 0)] + [("c", i) for i in range(10)]
 
 
-def test_small_side_checks_size(spark):
+def test_row_numbers_of_repeated_keys(spark):
+    rows = [(-2, k) for k in range(300)] + [(k, k) for k in range(50)] + [(None, 1), (None, 2)]
+    df = spark.createDataFrame(rows, "key long, v int")
+    got = ordering.row_numbers(df, "key", "n").collect()
+    assert sorted(r["n"] for r in got) == list(range(1, 353))
+    hot = [r["n"] for r in got if r["key"] == -2]
+    assert len(hot) == 300 and max(hot) - min(hot) == 299
+    by = sorted((r["n"], r["key"]) for r in got if r["key"] is not None and r["key"] >= 0)
+    assert [k for _, k in by] == list(range(50))
+
+
+def test_group_stats_join_by_key(spark):
     df = spark.range(10).select("id", (C("id") % 3).alias("g"))
-    assert small_side(df, limit=5).count() == 10
-    assert small_side(df, limit=50).count() == 10
     out = with_group_stats(df, ["g"], {"n": F.count(F.lit(1))})
     assert {(r["g"], r["n"]) for r in out.collect()} == {(0, 4), (1, 3), (2, 3)}
     with pytest.raises(Exception):

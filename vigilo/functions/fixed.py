@@ -61,11 +61,10 @@ LAST_KNOWN_YEAR = 2013
 TOP_GRADE = 8
 LOWEST_GRADE = 5
 
-# Split shares (train, valid) by mode, up to and above the row limit.
-SPLIT_ROW_LIMIT = 60000
+# Split shares (train, valid) by mode.
 SPLIT_SHARES = {
-    "PROD": ((0.45, 0.25), (0.25, 0.5)),
-    "DEV": ((0.25, 0.25), (0.05, 0.75)),
+    "PROD": (0.45, 0.25),
+    "DEV": (0.25, 0.25),
 }
 
 # Synthetic minority over-sampling: copies per minority row, neighbours, majority per copy.

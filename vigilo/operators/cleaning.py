@@ -62,15 +62,23 @@ def clean_pool(
 
 
 def complete_cases(df: DataFrame) -> DataFrame:
-    """Rows without any missing value."""
-    return df.dropna("any")
+    """Rows without any missing value; NaN is missing as well."""
+    return df.where(_complete(df))
+
+
+def _complete(df: DataFrame) -> Column:
+    whole = F.lit(True)
+    for f in df.schema.fields:
+        value = F.col(f"`{f.name}`")
+        whole = whole & value.isNotNull()
+        if f.dataType.typeName() in ("float", "double"):
+            whole = whole & ~F.isnan(value)
+    return whole
 
 
 def complete_case_counts(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """How many rows there are and how many are complete, in one pass."""
-    whole = F.lit(True)
-    for c in df.columns:
-        whole = whole & F.col(f"`{c}`").isNotNull()
+    whole = _complete(df)
     return df.groupBy(*(by or [])).agg(
         F.count(F.lit(1)).alias("total"), F.count_if(whole).alias("complete")
     )

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from vigilo.functions import fixed
 from vigilo.functions.recode import recode_map
-from vigilo.operators.groups import small_side
 from vigilo.operators.ordering import repeat_rows
 
 
@@ -45,7 +44,7 @@ def role_dates(
 
     A calendar is small and then broadcast; one beyond the size check joins by shuffle.
     """
-    out, calendar = fact, small_side(dates.select(date_key, date_value))
+    out, calendar = fact, dates.select(date_key, date_value)
     for column, name in roles.items():
         role = calendar.select(F.col(date_key).alias(column), F.col(date_value).alias(name))
         out = out.join(role, column)
@@ -94,11 +93,17 @@ def subject_wide(
 def mobility_counts(
     enrolments: DataFrame, key: Sequence[str], *, district: str, school: str
 ) -> DataFrame:
-    """Distinct districts, distinct schools and enrolments per key."""
-    return enrolments.groupBy(*key).agg(
-        F.count_distinct(F.col(district)).alias("DISTRICT_COUNT"),
-        F.count_distinct(F.col(school)).alias("SCHOOL_COUNT"),
-        F.count(F.lit(1)).alias("ENROLLMENTS_COUNT"),
+    """Distinct districts, distinct schools and enrolments per key.
+
+    Enrolments are counted per district and school before the distinct counts, which then read that much
+    smaller table.
+    """
+    per_place = enrolments.groupBy(*key, F.col(district).alias("__d"), F.col(school).alias("__s")).agg(
+        F.count(F.lit(1)).alias("__n"))
+    return per_place.groupBy(*key).agg(
+        F.count_distinct("__d").alias("DISTRICT_COUNT"),
+        F.count_distinct("__s").alias("SCHOOL_COUNT"),
+        F.sum("__n").alias("ENROLLMENTS_COUNT"),
     )
 
 
@@ -184,14 +189,14 @@ def crosswalk(
 def latest_rows(fact: DataFrame, key: Sequence[str], date: str, *, flag: str = "maxObsFlag") -> DataFrame:
     """Mark each key's rows with the latest date; a missing date counts as latest, ties all count.
 
-    The maximum is combined before the shuffle and joined back, so one dominant key is split by
+    Missing keys are one key. The maximum is combined before the shuffle and joined back, so one dominant key is split by
     the adaptive join instead of filling one window partition.
     """
     key = list(key)
     last = fact.groupBy(*key).agg(
         F.bool_or(F.col(date).isNull()).alias("__gap"), F.max(date).alias("__last")
     ).select(*[F.col(c).alias(f"__k_{c}") for c in key], "__gap", "__last")
-    cond = reduce(lambda a, b: a & b, [fact[c] == last[f"__k_{c}"] for c in key])
+    cond = reduce(lambda a, b: a & b, [fact[c].eqNullSafe(last[f"__k_{c}"]) for c in key])
     latest = F.when(F.col("__gap"), F.col(date).isNull()).otherwise(F.col(date) == F.col("__last"))
     return fact.join(last, cond, "left").select(
         *fact.columns, F.when(latest, "Yes").otherwise("No").alias(flag)

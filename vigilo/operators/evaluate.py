@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilo.functions import fixed
-from vigilo.operators.groups import join_groups, small_side, table_stats
+from vigilo.operators.groups import join_groups, table_stats
 from vigilo.operators.ordering import prefix_sums, quantiles, value_counts, with_value_buckets
 from vigilo.sources.tables import stage
 
@@ -126,22 +126,36 @@ def confusion(df: DataFrame, score: str, label: str, threshold: Column, *, by: S
     )
 
 
-def ecdf_rank(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Percentile rank 0..100 of each value within its column; missing values stay missing.
+def ecdf_rank(df: DataFrame, columns: dict[str, str], *, by: Sequence[str] = ()) -> DataFrame:
+    """Percentile rank 0..100 of each value within its column and group; missing values stay missing.
 
     The rank is a step function with at most 101 steps. The exact step positions of all columns
-    come from one pass of value counts and running sums, and only they leave the executors; the
-    rows are then ranked in place without being moved.
+    come from one pass of value counts and running sums; the steps of a group join its rows as short
+    arrays. Without ``by`` they enter as constants and the rows are ranked without being moved.
     """
+    by = list(by)
+    keys = [F.col(c).alias(f"__b_{c}") for c in by]
     values = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
     )
-    counts = value_counts(df.select(F.inline(values)), "value", by=["column"])
+    within = [f"__b_{c}" for c in by] + ["column"]
+    counts = value_counts(df.select(*keys, F.inline(values)), "value", by=within)
     cum = prefix_sums(
-        with_value_buckets(counts, "value"), "value", {"n": "upto"}, by=["column"], totals={"n": "total"}
+        with_value_buckets(counts, "value"), "value", {"n": "upto"}, by=within, totals={"n": "total"}
     )
     rank = F.floor(F.col("upto") / F.col("total") * 100)
-    found = cum.groupBy("column", rank.alias("rank")).agg(F.min("value").alias("start")).collect()
+    found = cum.groupBy(*within, rank.alias("rank")).agg(F.min("value").alias("start"))
+    if by:
+        step = F.struct("start", "rank")
+        table = found.groupBy(*[F.col(f"__b_{c}").alias(c) for c in by]).agg(
+            *[F.array_sort(F.collect_list(F.when(F.col("column") == c, step))).alias(f"__s_{c}") for c in columns]
+        )
+        below = lambda c: F.filter(f"__s_{c}", lambda s: s["start"] <= F.col(c).cast("double"))
+        ranked = join_groups(df, table, by, "left").withColumns(
+            {name: F.when(F.col(c).isNotNull(), F.try_element_at(below(c), F.lit(-1))["rank"]) for c, name in columns.items()}
+        )
+        return ranked.drop(*[f"__s_{c}" for c in columns])
+    found = found.collect()
     out = df
     for column, name in columns.items():
         steps = sorted((r["start"], r["rank"]) for r in found if r["column"] == column)
@@ -189,7 +203,7 @@ def error_quantiles(
     spread = {"__range": F.max(y) - F.min(y)}
     names = {p: f"q{round(p * 100)}" for p in probabilities}
     if by:
-        joined = join_groups(found, small_side(df.groupBy(*by).agg(spread["__range"].alias("__range"))), by)
+        joined = join_groups(found, df.groupBy(*by).agg(spread["__range"].alias("__range")), by)
     else:
         joined = found.withColumns(table_stats(df, spread))
     return joined.select(

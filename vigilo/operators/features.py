@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -12,9 +13,8 @@ from pyspark.sql import types as T
 
 from vigilo.functions import fixed
 from vigilo.functions.hashing import unit_hash
-from vigilo.operators.groups import small_side, table_stats, with_group_stats
-
-MAX_LEVELS = 1000
+from vigilo.operators.groups import table_stats, with_group_stats
+from vigilo.operators.ordering import row_numbers
 
 
 def key_columns(df: DataFrame, *, extra: Sequence[str] = ("SCHOOL_YEAR",)) -> list[str]:
@@ -22,11 +22,11 @@ def key_columns(df: DataFrame, *, extra: Sequence[str] = ("SCHOOL_YEAR",)) -> li
     return [c for c in df.columns if "KEY" in c or c in extra]
 
 
-def levels(df: DataFrame, columns: Sequence[str], *, limit: int = MAX_LEVELS) -> dict[str, list[str]]:
+def levels(df: DataFrame, columns: Sequence[str], ) -> dict[str, list[str]]:
     """Sorted distinct values of each text column, from one pass over the table.
 
-    Values are reduced to distinct ones before they travel, and a column with more than
-    ``limit`` levels is refused rather than collected.
+    Each value becomes a column name of the matrix, so the schema bounds what travels. For columns of
+    very many levels use :func:`level_vectors`, which needs no column per level.
     """
     columns = list(columns)
     if not columns:
@@ -34,16 +34,30 @@ def levels(df: DataFrame, columns: Sequence[str], *, limit: int = MAX_LEVELS) ->
     pairs = df.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]))
     )
-    rows = pairs.where("v IS NOT NULL").distinct().limit(len(columns) * limit + 1).collect()
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in rows:
+    for row in pairs.where("v IS NOT NULL").distinct().toLocalIterator():
         found[row["c"]].append(row["v"])
-    too_many = [c for c, v in found.items() if len(v) > limit]
-    if too_many or len(rows) > len(columns) * limit:
-        raise ValueError(f"too many levels to expand: {too_many or columns}")
     return {c: sorted(v) for c, v in found.items()}
 
 
+def level_vectors(df: DataFrame, train: DataFrame, column: str, *, name: str | None = None) -> DataFrame:
+    """Indicators of a text column's levels in ``train`` as a sparse vector; nothing is collected.
+
+    Levels are numbered in sorted order by a join, so a column may have any number of them. A level that
+    ``train`` never saw and a missing one get the zero vector, as the reference level has no meaning here.
+    """
+    seen = train.where(F.col(column).isNotNull()).select(F.col(column).alias("__level")).distinct()
+    digits = F.conv(F.substring(F.sha2(F.col("__level"), 256), 1, 13), 16, 10).cast("double")
+    numbered = row_numbers(seen.withColumn("__digits", digits), "__digits", "__number").select("__level", "__number")
+    count = numbered.count()
+    joined = df.join(numbered, F.col(column) == F.col("__level"), "left")
+    known = F.col("__number").isNotNull()
+    at = F.when(known, F.array((F.col("__number") - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
+    one = F.when(known, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>"))
+    vector = F.struct(F.lit(count).alias("size"), at.alias("indices"), one.alias("values"))
+    return joined.withColumn(name or f"{column}_levels", vector).drop("__level", "__number")
+
+
 def text_columns(df: DataFrame, skip: Sequence[str] = ()) -> list[str]:
     return [
         f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in skip
@@ -115,14 +129,9 @@ def binary_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c in found]
 
 
-def split_shares(mode: str, rows: Column | int) -> tuple[Column, Column]:
-    """Train and validation share by mode and number of rows; other modes split like DEV."""
-    small, large = fixed.SPLIT_SHARES.get(mode, fixed.SPLIT_SHARES["DEV"])
-    few = (rows if isinstance(rows, Column) else F.lit(rows)) <= fixed.SPLIT_ROW_LIMIT
-    return (
-        F.when(few, F.lit(small[0])).otherwise(F.lit(large[0])),
-        F.when(few, F.lit(small[1])).otherwise(F.lit(large[1])),
-    )
+def split_shares(mode: str) -> tuple[float, float]:
+    """Train and validation share of a mode, alike at every size; other modes split like DEV."""
+    return fixed.SPLIT_SHARES.get(mode, fixed.SPLIT_SHARES["DEV"])
 
 
 def three_way_split(
@@ -136,13 +145,10 @@ def three_way_split(
 ) -> DataFrame:
     """Assign each row to ``traindata``, ``testdata`` or ``validdata`` by a hash of its key.
 
-    The assignment never changes between runs or retries and needs no shuffle; the shares follow
-    the number of rows unless given.
+    The assignment never changes between runs or retries and needs no shuffle; the shares are those
+    of the mode unless given.
     """
-    if shares is None:
-        train, valid = split_shares(mode, df.count())
-    else:
-        train, valid = F.lit(shares[0]), F.lit(shares[1])
+    train, valid = (F.lit(s) for s in shares or split_shares(mode))
     parts = [F.col(c) for c in key]
     u = unit_hash(*parts, *([F.lit(str(seed))] if seed != "" else []))
     return df.withColumn(
@@ -275,21 +281,25 @@ def poly_terms(df: DataFrame, powers: Mapping[str, int], products: Sequence[tupl
 def known_levels(df: DataFrame, train: DataFrame, column: str) -> DataFrame:
     """Replace levels the training data never saw, and missing ones, by its most frequent level.
 
-    Ties go to the level that sorts first. The levels are broadcast if there are few of them.
+    Ties go to the level that sorts first.
     """
     counts = train.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     first = counts.groupBy("n").agg(F.min(column).alias("v"))
     best = table_stats(first, {"v": F.max_by("v", "n")})["v"]
-    seen = small_side(counts.select(F.col(column).alias("__seen")))
+    seen = counts.select(F.col(column).alias("__seen"))
     joined = df.join(seen, F.col(column) == F.col("__seen"), "left")
     return joined.withColumn(column, F.coalesce("__seen", best)).drop("__seen")
 
 
-def gram(df: DataFrame, columns: Sequence[str], *, weight: str | None = None, intercept: bool = False) -> np.ndarray:
+def gram(
+    df: DataFrame, columns: Sequence[str], *, weight: str | None = None, intercept: bool = False,
+    centre: Sequence[float] | None = None,
+) -> np.ndarray:
     """Sums of (weighted) products of all column pairs as a small square array.
 
-    Each task multiplies its own rows and emits one triangle of sums; the driver receives one
-    number per pair of columns, whatever the number of rows.
+    Each task multiplies its own rows and emits one array; arrays are added in two levels, so the
+    driver receives a single one, whatever the number of rows and tasks. With ``centre`` that much is
+    taken from each column first, which keeps the digits where means are large against the spread.
     """
     columns = list(columns)
     picked = df.select(
@@ -297,22 +307,28 @@ def gram(df: DataFrame, columns: Sequence[str], *, weight: str | None = None, in
         *([F.col(weight).cast("double").alias("w")] if weight else []),
     )
     d = len(columns) + int(intercept)
+    shift = np.zeros(len(columns)) if centre is None else np.asarray(centre, dtype=float)
 
     def partial(batches):
         total = np.zeros((d, d))
         for pdf in batches:
-            x = pdf[[f"x{i}" for i in range(len(columns))]].to_numpy(dtype="float64")
+            x = pdf[[f"x{i}" for i in range(len(columns))]].to_numpy(dtype="float64") - shift
             if intercept:
                 x = np.column_stack([np.ones(len(x)), x])
             total += x.T @ (x * pdf["w"].to_numpy()[:, None] if weight else x)
-        i, j = np.triu_indices(d)
-        yield pd.DataFrame({"i": i, "j": j, "s": total[i, j]})
-
-    sums = picked.mapInPandas(partial, "i long, j long, s double").groupBy("i", "j").agg(F.sum("s").alias("s"))
-    out = np.zeros((d, d))
-    for r in sums.collect():
-        out[r["i"], r["j"]] = out[r["j"], r["i"]] = r["s"]
-    return out
+        yield pd.DataFrame({"s": [total.ravel()]})
+
+    def add(batches):
+        total = np.zeros(d * d)
+        for pdf in batches:
+            for s in pdf["s"]:
+                total += s
+        yield pd.DataFrame({"s": [total]})
+
+    sums = picked.mapInPandas(partial, "s array<double>")
+    parts = max(1, math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    once = sums.repartition(parts).mapInPandas(add, "s array<double>").coalesce(1).mapInPandas(add, "s array<double>")
+    return np.array(once.first()["s"]).reshape(d, d)
 
 
 def independent_columns(df: DataFrame, columns: Sequence[str], *, tolerance: float = 1e-8) -> list[str]:

@@ -7,21 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 10_000
-
-
-def small_side(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast if it has at most ``limit`` rows (``SMALL_ROWS`` by default).
-
-    The rows are fetched up to the limit, so the check computes ``df`` once and never brings more
-    than that to the driver. A larger ``df`` comes back as it is and joins by shuffle.
-    """
-    limit = SMALL_ROWS if limit is None else limit
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
 
 def table_stats(df: DataFrame, stats: dict[str, Column]) -> dict[str, Column]:
     """Aggregates of the whole table as constants.
@@ -49,10 +34,10 @@ def join_groups(df: DataFrame, table: DataFrame, by: Sequence[str], how: str = "
 def with_group_stats(df: DataFrame, by: Sequence[str], stats: dict[str, Column]) -> DataFrame:
     """Add aggregates of the row's group; without ``by`` of the whole table.
 
-    Table-wide values enter as constants. Group values are broadcast when there are few groups; a
-    missing group value is a group of its own.
+    Table-wide values enter as constants. Group values join on their keys (adaptive execution
+    broadcasts them when their measured bytes are few); a missing group value is a group of its own.
     """
     if not by:
         return df.withColumns(table_stats(df, stats))
     table = df.groupBy(*by).agg(*[c.alias(n) for n, c in stats.items()])
-    return join_groups(df, small_side(table), by, "left")
+    return join_groups(df, table, by, "left")

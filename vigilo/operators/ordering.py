@@ -14,11 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilo.functions.hashing import leading_int
-from vigilo.operators.groups import join_groups, small_side
+from vigilo.operators.groups import join_groups
 from vigilo.sources.tables import stage
 
 _BUCKET = "__bucket"
-_ERROR = 0.001
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -29,11 +28,11 @@ def bucket_count(df: DataFrame) -> int:
 def with_value_buckets(df: DataFrame, order: str) -> DataFrame:
     """Add an order-preserving bucket of a numeric column.
 
-    The cut points are approximate quantiles, fetched once so that every later use of the bucket
-    agrees; only they reach the driver.
+    The cut points are approximate quantiles, a quarter of a bucket exact, fetched once so that every
+    later use of the bucket agrees; only they reach the driver.
     """
     n = bucket_count(df)
-    cuts = df.approxQuantile(order, [i / n for i in range(1, n)], _ERROR)
+    cuts = df.approxQuantile(order, [i / n for i in range(1, n)], 1 / (4 * n))
     inner = sorted({float(c) for c in cuts})
     splits = [-float("inf"), *inner, float("inf")]
     if len(splits) < 3:
@@ -63,8 +62,7 @@ def prefix_sums(
     to the name of its running sum, ``totals`` to the name of its sum over the group. ``previous``
     names a column that receives the next lower value of the (single) order column.
 
-    The sums below each bucket are fetched first and broadcast if there are few of them, so the
-    rows are shuffled once, by group and bucket.
+    The rows are shuffled once, by group and bucket; the sums below each bucket join them there.
     """
     by, totals = list(by), dict(totals or {})
     order = [order] if isinstance(order, str) else list(order)
@@ -88,7 +86,7 @@ def prefix_sums(
         *[F.sum(c).over(running).alias(f"__r_{c}") for c in sums],
         *([F.lag(order[0]).over(inside).alias("__lag")] if previous else []),
     )
-    return join_groups(left, small_side(offsets), [*by, _BUCKET]).select(
+    return join_groups(left, offsets, [*by, _BUCKET]).select(
         *[c for c in bucketed.columns if c != _BUCKET],
         *[(F.col(f"__r_{c}") + F.col(f"__o_{c}")).alias(name) for c, name in sums.items()],
         *totals.values(),
@@ -106,9 +104,19 @@ def value_counts(df: DataFrame, value: str, *, by: Sequence[str] = ()) -> DataFr
 
 
 def row_numbers(df: DataFrame, key: str, name: str, *, by: Sequence[str] = ()) -> DataFrame:
-    """1-based position in ascending order of a numeric unique ``key`` within ``by``."""
-    ones = with_value_buckets(df.withColumn("__one", F.lit(1).cast("long")), key)
-    return prefix_sums(ones, key, {"__one": name}, by=by).drop("__one")
+    """1-based position in ascending order of a numeric ``key`` within ``by``.
+
+    Rows of equal keys follow each other in the order of a hash of the whole row. They are counted by
+    key and part of that hash, so a key with a large share of the rows is numbered in many parts.
+    """
+    by = list(by)
+    hashed = df.withColumn("__tie", F.xxhash64(*df.columns)).withColumn("__part", F.pmod("__tie", F.lit(bucket_count(df))))
+    counts = hashed.groupBy(*by, key, "__part").agg(F.count(F.lit(1)).alias("__n"))
+    upto = prefix_sums(with_value_buckets(counts, key), [key, "__part"], {"__n": "__upto"}, by=by)
+    starts = upto.select(*by, key, "__part", (F.col("__upto") - F.col("__n")).alias("__start"))
+    own = F.row_number().over(Window.partitionBy(*by, key, "__part").orderBy("__tie"))
+    return join_groups(hashed.withColumn("__own", own), starts, [*by, key, "__part"]).select(
+        *df.columns, (F.col("__start") + F.col("__own")).alias(name))
 
 
 def hash_ranks(df: DataFrame, key: Column, name: str, *, by: Sequence[str] = (), tie: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilo.functions.recode import matches_or_missing
-from vigilo.operators.groups import join_groups, small_side
+from vigilo.operators.groups import join_groups
 
 
 def peer_stats(
@@ -59,4 +59,4 @@ def peer_enriched(cohort: DataFrame, group: Sequence[str], **measures) -> DataFr
     stats = peer_stats(cohort, group, **measures)
     for c in group:
         stats = stats.withColumnRenamed(f"cohort_{c}", c)
-    return join_groups(cohort, small_side(stats), group, "left")
+    return join_groups(cohort, stats, group, "left")

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilo.functions import fixed, recode
-from vigilo.operators.evaluate import ecdf_rank, group_ci
-from vigilo.operators.groups import table_stats, with_group_stats
+from vigilo.operators.evaluate import ecdf_rank
+from vigilo.operators.groups import join_groups, table_stats, with_group_stats
 from vigilo.operators.ordering import median_exceeds, row_numbers
 
 
@@ -49,19 +49,20 @@ def risk_flag(df: DataFrame, threshold: Column, *, name: str = "flag") -> DataFr
 
 def assessment_band(
     df: DataFrame, *, flag: str = "flag", math: str = "MATH_SS", read: str = "READ_SS",
-    z: float = fixed.Z_75, name: str = "assessments",
+    z: float = fixed.Z_75, name: str = "assessments", by: Sequence[str] = (),
 ) -> DataFrame:
-    """Test total against the interval of the mean total of the Moderate group."""
+    """Test total against the interval of the mean total of the group's Moderate rows."""
     total = F.col(math) + F.col(read)
-    moderate = df.where(F.col(flag) == "Moderate").select(F.col(flag).alias("g"), total.alias("t"))
-    limits = table_stats(group_ci(moderate, "g", "t", z=z), {"lower": F.max("lower"), "upper": F.max("upper")})
+    moderate = F.when(F.col(flag) == "Moderate", total)
+    half = F.lit(z) * F.stddev_samp(moderate) / F.sqrt(F.count(moderate))
+    wide = with_group_stats(df, by, {"__lower": F.avg(moderate) - half, "__upper": F.avg(moderate) + half})
     label = (
         F.when(F.col(math).isNull() | F.col(read).isNull(), "Missing")
-        .when(total < limits["lower"], "High")
-        .when(total <= limits["upper"], "Moderate")
-        .when(total > limits["upper"], "Low")
+        .when(total < F.col("__lower"), "High")
+        .when(total <= F.col("__upper"), "Moderate")
+        .when(total > F.col("__upper"), "Low")
     )
-    return df.withColumn(name, label)
+    return wide.withColumn(name, label).drop("__lower", "__upper")
 
 
 def days_missed(rate: Column) -> Column:
@@ -92,24 +93,35 @@ def mobility_band(
 
 def discipline_band(
     df: DataFrame, *, count: str = "incCount", days: str = "daysRemoved", name: str = "discipline",
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Moderate above the smallest count or days, High above the second smallest count."""
-    low = table_stats(df, {"count": F.min(count), "days": F.min(days)})
-    second = table_stats(df.where(F.col(count) > low["count"]), {"count": F.min(count)})["count"]
-    more = (F.col(count) > low["count"]) | (F.col(days) > low["days"])
-    return df.withColumn(
-        name, F.when(F.col(count) > second, "High").when(more, "Moderate").otherwise("Low")
-    )
-
-
-def risk_bands(df: DataFrame, threshold: Column, *, pred: str = "pred", se: str = "se") -> DataFrame:
-    """All categories and percentile ranks of one scored cohort."""
-    out = risk_flag(risk_interval(df, pred, se), threshold)
-    out = assessment_band(out)
+    """Moderate above the group's smallest count or days, High above its second smallest count."""
+    by = list(by)
+    seen = df.groupBy(*[F.col(c).alias(f"__b_{c}") for c in by], F.col(count).alias("__c")).agg(F.min(days).alias("__d"))
+    place = F.row_number().over(Window.partitionBy(*(f"__b_{c}" for c in by)).orderBy(F.col("__c").asc_nulls_last()))
+    # Distinct counts of a group, of which the lowest two matter.
+    lows = seen.withColumn("__place", place).groupBy(*[F.col(f"__b_{c}").alias(c) for c in by]).agg(
+        F.min("__c").alias("__count"), F.min("__d").alias("__days"), F.min(F.when(F.col("__place") == 2, F.col("__c"))).alias("__second"))
+    if by:
+        wide = join_groups(df, lows, by, "left")
+    else:
+        wide = df.withColumns(table_stats(lows, {c: F.max(c) for c in ("__count", "__days", "__second")}))
+    more = (F.col(count) > F.col("__count")) | (F.col(days) > F.col("__days"))
+    return wide.withColumn(
+        name, F.when(F.col(count) > F.col("__second"), "High").when(more, "Moderate").otherwise("Low")
+    ).drop("__count", "__days", "__second")
+
+
+def risk_bands(
+    df: DataFrame, threshold: Column, *, pred: str = "pred", se: str = "se", by: Sequence[str] = ()
+) -> DataFrame:
+    """All categories and percentile ranks of scored cohorts, each ``by`` group on its own."""
+    out = risk_flag(risk_interval(df, pred, se, by=by), threshold)
+    out = assessment_band(out, by=by)
     out = attendance_band(out)
     out = mobility_band(out, given="mobility_flag" if "mobility_flag" in out.columns else None)
-    out = discipline_band(out)
-    return ecdf_rank(out, {"MATH_SS": "mathrank", "READ_SS": "readrank", "ATT_RATE": "attrank"})
+    out = discipline_band(out, by=by)
+    return ecdf_rank(out, {"MATH_SS": "mathrank", "READ_SS": "readrank", "ATT_RATE": "attrank"}, by=by)
 
 
 def risk_export(

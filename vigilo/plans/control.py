@@ -18,9 +18,10 @@ class Control:
     metric: str = "ROC"
     core_share: float = 1.5
 
-    def parallelism(self, spark: SparkSession, most: int = 8) -> int:
-        """Fits submitted at a time; each fit is itself spread over the executors."""
-        return max(1, min(most, math.ceil(spark.sparkContext.defaultParallelism / self.core_share)))
+    def parallelism(self, spark: SparkSession, most: int | None = None) -> int:
+        """Fits submitted at a time, at most ``most`` if given; each fit is itself spread over the executors."""
+        share = math.ceil(spark.sparkContext.defaultParallelism / self.core_share)
+        return max(1, share if most is None else min(most, share))
 
 
 # The three run modes.

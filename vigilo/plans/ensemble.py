@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Mapping, Sequence
 
@@ -209,28 +208,36 @@ def tree_importance(model: PipelineModel, columns: Sequence[str]) -> DataFrame:
 
 
 def bic_average(
-    df: DataFrame, label: str, groups: Mapping[str, Sequence[str]], *, most_models: int = 256
+    df: DataFrame, label: str, groups: Mapping[str, Sequence[str]], *, window: float | None = None
 ) -> DataFrame:
-    """Bayesian model averaging of logistic fits over all subsets of column groups.
+    """Bayesian model averaging of logistic fits over subsets of column groups.
+
+    All subsets by default. With ``window`` (Occam's window, as 20) subsets grow by one group at a time,
+    and only from those whose weight is at least 1/``window`` of the best one of their size; what the
+    window leaves out are supersets of models that the data disfavour by more than that.
 
     Weights are proportional to exp(-BIC/2). One row per group: probability of inclusion; one row
     per column: averaged coefficient. ``(term, kind, value)``.
     """
     names = list(groups)
-    subsets = [s for r in range(1, len(names) + 1) for s in itertools.combinations(names, r)]
-    if len(subsets) > most_models:
-        raise ValueError(f"{len(subsets)} models exceed the limit of {most_models}; merge groups")
     columns = [c for g in groups.values() for c in g]
     rows = df.select(label, *columns).dropna("any").persist()
     n = rows.count()
     fits = []
     try:
-        for subset in subsets:
-            used = [c for g in subset for c in groups[g]]
-            glm = GeneralizedLinearRegression(family="binomial", labelCol=label, maxIter=15)
-            model = glm.fit(VectorAssembler(inputCols=used, outputCol="features").transform(rows))
-            bic = model.summary.deviance + math.log(n) * (len(used) + 1)
-            fits.append((subset, bic, dict(zip(used, model.coefficients.toArray())), model.intercept))
+        parents = [()]
+        while parents:
+            grown = sorted({tuple(g for g in names if g in (*p, new)) for p in parents for new in names if new not in p})
+            level = []
+            for subset in grown:
+                used = [c for g in subset for c in groups[g]]
+                glm = GeneralizedLinearRegression(family="binomial", labelCol=label, maxIter=15)
+                model = glm.fit(VectorAssembler(inputCols=used, outputCol="features").transform(rows))
+                bic = model.summary.deviance + math.log(n) * (len(used) + 1)
+                level.append((subset, bic, dict(zip(used, model.coefficients.toArray())), model.intercept))
+            fits += level
+            best = min((f[1] for f in level), default=0.0)
+            parents = [f[0] for f in level if window is None or f[1] - best <= 2 * math.log(window)]
     finally:
         rows.unpersist()
     low = min(b for _, b, _, _ in fits)

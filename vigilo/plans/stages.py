@@ -64,13 +64,13 @@ class LinearDiscriminant(Estimator):
         by_class = {r["y"]: (r["n"], np.array([r[f"m{i}"] for i in range(len(columns))])) for r in means}
         (n0, m0), (n1, m1) = by_class[0], by_class[1]
         total = n0 + n1
-        scatter = gram(df, columns) - n0 * np.outer(m0, m0) - n1 * np.outer(m1, m1)
+        centre = (n0 * m0 + n1 * m1) / total
+        scatter = gram(df, columns, centre=centre) - n0 * np.outer(m0 - centre, m0 - centre) - n1 * np.outer(m1 - centre, m1 - centre)
         pooled = scatter / max(1, total - 2)
         shrink = self.getOrDefault(self.shrink)
         if shrink >= 0:
             var = np.maximum(np.diag(pooled), 1e-12)
             sd = np.sqrt(var) + np.median(np.sqrt(var))
-            centre = (n0 * m0 + n1 * m1) / total
             drawn = []
             for n, m in ((n0, m0), (n1, m1)):
                 size = np.sqrt(1 / n - 1 / total)

@@ -27,14 +27,30 @@ def prepare_pool(cohorts: DataFrame, group: Sequence[str], *, target: bool = Tru
     return cleaning.binary_outcome(complete) if target else complete
 
 
-def training_rows(data: DataFrame, columns: Sequence[str], label: str, control: Control, *, key: str, minority: int = 1) -> DataFrame:
-    """Training rows of a split table, balanced if the mode asks for it, written down once."""
+def training_rows(data: DataFrame, columns: Sequence[str], label: str, control: Control, *, key: str, minority: int | None = None) -> DataFrame:
+    """Training rows of a split table, balanced if the mode asks for it, written down once.
+
+    ``minority`` is the class that is over-sampled; the smaller one unless given.
+    """
     train = data.where("split = 'traindata'")
+    if minority is None:
+        minority = smaller_class(train, label)
     if control.upsample == "SMOTE":
         train = balance.smote(train, columns, label, key, minority=minority).drop("source")
     return stage(train.select(*columns, label), "training")
 
 
+def smaller_class(train: DataFrame, label: str) -> int:
+    """The label value with fewer rows; the larger value of equally frequent ones."""
+    counts = train.where(F.col(label).isNotNull()).groupBy(F.col(label).cast("int").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    return min(((r["n"], -r["v"]) for r in counts.collect()), default=(0, -1))[1] * -1
+
+
+def smaller_class_target(data: DataFrame, label: str, target: str = "target") -> DataFrame:
+    """Add a 0/1 target that is 1 for the class with fewer training rows, so a high score means risk."""
+    return data.withColumn(target, (F.col(label) == smaller_class(data.where("split = 'traindata'"), label)).cast("int"))
+
+
 def choose_methods(
     results: DataFrame, grade: int, *, n: int = 8, distances: DataFrame | None = None
 ) -> tuple[list[str], list[str]]:
@@ -117,13 +133,13 @@ def raw_predictions(
 ) -> DataFrame:
     """Score a cohort by the ensemble that does best on the validation rows.
 
-    The threshold is the best one on all labelled rows. Output: key, ``pred``, ``se``,
+    The threshold is the best one on those rows too. Output: key, ``pred``, ``se``,
     ``bestThresh`` and the features, which are brought into the order of training first.
     """
     scored = stage(built.transform(data).select(label, "split", *ENSEMBLES), "scored")
     areas = ensemble_areas(scored.where("split = 'validdata'"), label)
     best = areas.orderBy(F.desc_nulls_last("auc"), "model").first()["model"]
-    threshold = evaluate.best_threshold(scored, best, label).first()["threshold"]
+    threshold = evaluate.best_threshold(scored.where("split = 'validdata'"), best, label).first()["threshold"]
     aligned = features.align_columns(cohort, columns, keep=[key])
     out = built.transform(aligned)
     return out.select(
