@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def load(spark: SparkSession, source: str | Mapping[str, str], name: str) -> DataFrame:
     """One warehouse table.
@@ -66,9 +68,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where several jobs need the same rows: the lineage ends at reliable files, so a lost
-    executor costs a re-read and not a recomputation, and columns are still pruned on read.
+    executor costs a re-read and not a recomputation, and columns are still pruned on read. The shuffle
+    files of the write are removed once it is done, as nothing reads them again.
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
