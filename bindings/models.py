@@ -11,14 +11,14 @@ from bindings import base as b
 from vigilo.operators import balance, evaluate, features, robust
 from vigilo.plans import ensemble, search, workflow
 from vigilo.plans.control import control
-from vigilo.plans.methods import classifier
+from vigilo.plans.methods import candidate_methods, classifier
 from vigilo.sources.tables import load, stage
 
 C = F.col
 QUERIES = {}
 ORACLE = {}
 BASE_MODELS = ["elastic_net", "decision_tree", "linear_discriminant"]
-FOLDS = 3
+FOLDS = 10
 
 
 def query(name: str, sql: str | None = None):
@@ -59,8 +59,7 @@ def model_search(spark, d):
     train = rows.where("split = 'traindata'")
     balanced = stage(balance.smote(train, b.FEATURES, "y", "id", minority=1), "balanced")
     return search.model_search(
-        rows, b.FEATURES, "y", methods=["rf", "rpart", "glmnet", "svmLinear", "nb", "pls", "earth", "slda", "pam"],
-        control=control("DEV"), train=balanced, length=1,
+        rows, b.FEATURES, "y", methods=candidate_methods(), control=control("DEV"), train=balanced,
     )
 
 
@@ -71,16 +70,14 @@ def oof_predictions(spark, d):
 
 @query("greedy_ensemble")
 def greedy_ensemble(spark, d):
-    return ensemble.greedy_ensemble(_oof(spark, d)[1], "y", _SCORES, rounds=5)
+    return ensemble.greedy_ensemble(_oof(spark, d)[1], "y", _SCORES)
 
 
 def _built(spark, d):
     rows = prepared(spark, d)
-    train = workflow.training_rows(rows, b.FEATURES, "y", control("TEST"), key="id")
-    built = workflow.construct_models(
-        train, b.FEATURES, "y", top=["elastic_net", "decision_tree"], dissimilar=["linear_discriminant", "decision_tree"],
-        folds=FOLDS, rounds=4,
-    )
+    train = workflow.training_rows(rows, b.FEATURES, "y", control("DEV"), key="id")
+    methods = candidate_methods()
+    built = workflow.construct_models(train, b.FEATURES, "y", top=methods[:8], dissimilar=methods[-8:], folds=FOLDS)
     return rows, built
 
 
@@ -114,13 +111,14 @@ def stacked_ensemble(spark, d):
 
 @query("score_cohort")
 def score_cohort(spark, d):
-    """Score all customers by a weighted ensemble with a threshold from the pooled splits."""
+    """Score all customers by a weighted ensemble with a threshold from the validation rows."""
     rows, held = _oof(spark, d)
-    weights = {r["model"]: r["weight"] for r in ensemble.greedy_ensemble(held, "y", _SCORES, rounds=5).collect()}
+    weights = {r["model"]: r["weight"] for r in ensemble.greedy_ensemble(held, "y", _SCORES).collect()}
     models = ensemble.fit_models(rows.where("split = 'traindata'"), b.FEATURES, "y", BASE_MODELS)
     cohort = features.align_columns(rows, b.FEATURES, keep=["id", "y"])
     scored = stage(ensemble.score_cohort(cohort, models, weights, threshold=0.0).drop("bestThresh"), "scored")
-    best = evaluate.best_threshold(scored, "pred", "y").select("threshold").scalar()
+    valid = scored.join(rows.where("split = 'validdata'").select("id"), "id", "left_semi")
+    best = evaluate.best_threshold(valid, "pred", "y").select("threshold").scalar()
     return scored.withColumn("bestThresh", best)
 
 

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings import base as b
+from bindings import cohorts
 from vigilo.functions import fixed, schoolyear
-from vigilo.operators import cleaning, quality, risk
+from vigilo.operators import cleaning, peers, quality, risk
+from vigilo.plans import early_warning as run
+from vigilo.plans.control import control
 from vigilo.sources import exports
 from vigilo.sources.tables import load, stage, staging_path
 
@@ -214,6 +217,28 @@ def export_roundtrip(spark, d):
     return exports.read_export(spark, path, out.schema)
 
 
+# What the export holds whatever the models say, and whether the scores are in range.
+_FIXED_COLUMNS = ["X", "STUDENT_KEY", "GRADE_LEVEL", "SCHOOL_YEAR", "STUDENT_RISK_REPORT_TEXTAtt", "STUDENT_RISK_REPORT_TEXTMob", "STUDENT_RISK_REPORT_TEXTDisc"]
+METHODS = ["glmnet", "rpart", "lda", "nb", "rf"]
+
+
+@query("early_warning", f"SELECT {', '.join(_FIXED_COLUMNS)}, true AS fine FROM ({_export_sql('Final', 'CAST(NULL AS DOUBLE)')})")
+def early_warning(spark, d):
+    """Pool to export: trains on cohorts with outcomes, scores every cohort, bands each grade and year."""
+    pool = stage(cohorts.training_pool(spark, d), "pool")
+    people = load(spark, d, "customer").select(C("c_custkey").alias("STUDENT_KEY"), C("c_name").alias("WSN"))
+    cohort = cleaning.clean_pool(peers.peer_enriched(b.scoring_cohort(spark, d), b.PEERS, **b.MEASURES))
+    cohort = stage(cohort.join(people, "STUDENT_KEY"), "cohort")
+    exclude = [c for c in pool.columns if "KEY" in c] + ["SCHOOL_YEAR", "grad_ind"]
+    out = run.early_warning(
+        pool, cohort, target="ontime_grad", key="STUDENT_KEY", year="SCHOOL_YEAR", grade="GRADE_KEY", exclude=exclude, control=control("DEV"),
+        methods=METHODS, budget_grade=8, n=3, run_time=F.lit(WHEN).cast("timestamp_ntz"),
+    )
+    score, outcome = C("STUDENT_RISK_SEVERITY_SCORE"), C("STUDENT_RISK_OUTCOME")
+    scored = score.between(0, 1) & outcome.isin("High", "Moderate", "Low", "None")
+    return out.select(*_FIXED_COLUMNS, F.when(score.isNull(), outcome == "Missing").otherwise(scored).alias("fine"))
+
+
 @query("risk_lifecycle", "WITH " + b.ANNUAL + """
 SELECT STUDENT_KEY, SCHOOL_YEAR, make_date(y + 1, 5, 31) AS run_date, CAST(make_date(y + 1, 5, 31) + 365 AS DATE) AS expires,
   CASE WHEN y = max(y) OVER (PARTITION BY STUDENT_KEY) THEN 'Active' ELSE 'Inactive' END AS status FROM annual

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -18,7 +19,9 @@ from vigilo.operators.evaluate import roc_auc
 from vigilo.operators.features import gram
 from vigilo.operators.groups import table_stats
 from vigilo.operators.ordering import hash_ranks
+from vigilo.plans.concurrent import together
 from vigilo.plans.methods import SEED, classifier, regressors
+from vigilo.plans.search import fit_candidate, with_folds
 from vigilo.plans.stages import SCORE, PositiveScore
 
 _SCRATCH = ("raw", "features", "rawPrediction", "probability", "prediction")
@@ -32,22 +35,32 @@ def apply_models(df: DataFrame, models: Mapping[str, PipelineModel]) -> DataFram
     return out
 
 
-def fit_models(df: DataFrame, columns: Sequence[str], label: str, methods: Sequence[str]) -> dict[str, PipelineModel]:
-    return {m: classifier(m, columns, label).pipeline.fit(df) for m in methods}
+def fit_models(
+    df: DataFrame, columns: Sequence[str], label: str, methods: Sequence[str], *, length: int = 1, folds: int = 10
+) -> dict[str, PipelineModel]:
+    """One model per method. With a ``length`` above 1 each is tuned over its grid by ``folds`` folds first."""
+    def one(method: str) -> PipelineModel:
+        candidate = classifier(method, columns, label, length)
+        return fit_candidate(tuned, candidate, label, folds=folds, parallelism=1)
+
+    tuned = with_folds(df, columns, folds, seed="tune") if length > 1 else df
+    return dict(zip(methods, together(df.sparkSession, [partial(one, m) for m in methods])))
 
 
 def oof_predictions(
-    df: DataFrame, columns: Sequence[str], label: str, methods: Sequence[str], *, key: str | None, fold: str, folds: int
+    df: DataFrame, columns: Sequence[str], label: str, methods: Sequence[str], *, key: str | None, fold: str, folds: int,
+    length: int = 1,
 ) -> DataFrame:
     """Score of every row by models that never saw its fold: ``(key, fold, label, p_...)``.
 
-    Synthetic rows have no key; pass ``key=None`` for them.
+    Synthetic rows have no key; pass ``key=None`` for them. The folds are fitted side by side.
     """
-    parts = []
-    for f in range(folds):
-        models = fit_models(df.where(F.col(fold) != f), columns, label, methods)
+    def one(f: int) -> DataFrame:
+        models = fit_models(df.where(F.col(fold) != f), columns, label, methods, length=length)
         held = apply_models(df.where(F.col(fold) == f), models)
-        parts.append(held.select(*([key] if key else []), fold, label, *[f"p_{m}" for m in methods]))
+        return held.select(*([key] if key else []), fold, label, *[f"p_{m}" for m in methods])
+
+    parts = together(df.sparkSession, [partial(one, f) for f in range(folds)])
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -144,13 +157,11 @@ def model_impute(
     name = name or f"{target}_filled"
     usable = df.dropna("any", subset=[target, *columns])
     kinds = regressors(columns, target)
-    parts = []
-    for f in range(folds):
-        held = apply_models(
-            usable.where(F.col(fold) == f),
-            {m: p.fit(usable.where(F.col(fold) != f)) for m, p in kinds.items()},
-        )
-        parts.append(held.select(*[f"p_{m}" for m in kinds], target))
+    def one(f: int) -> DataFrame:
+        models = {m: p.fit(usable.where(F.col(fold) != f)) for m, p in kinds.items()}
+        return apply_models(usable.where(F.col(fold) == f), models).select(*[f"p_{m}" for m in kinds], target)
+
+    parts = together(df.sparkSession, [partial(one, f) for f in range(folds)])
     oof = parts[0]
     for part in parts[1:]:
         oof = oof.unionByName(part)
@@ -224,17 +235,19 @@ def bic_average(
     rows = df.select(label, *columns).dropna("any").persist()
     n = rows.count()
     fits = []
+
+    def one(subset: tuple[str, ...]):
+        used = [c for g in subset for c in groups[g]]
+        glm = GeneralizedLinearRegression(family="binomial", labelCol=label, maxIter=15)
+        model = glm.fit(VectorAssembler(inputCols=used, outputCol="features").transform(rows))
+        bic = model.summary.deviance + math.log(n) * (len(used) + 1)
+        return subset, bic, dict(zip(used, model.coefficients.toArray())), model.intercept
+
     try:
         parents = [()]
         while parents:
             grown = sorted({tuple(g for g in names if g in (*p, new)) for p in parents for new in names if new not in p})
-            level = []
-            for subset in grown:
-                used = [c for g in subset for c in groups[g]]
-                glm = GeneralizedLinearRegression(family="binomial", labelCol=label, maxIter=15)
-                model = glm.fit(VectorAssembler(inputCols=used, outputCol="features").transform(rows))
-                bic = model.summary.deviance + math.log(n) * (len(used) + 1)
-                level.append((subset, bic, dict(zip(used, model.coefficients.toArray())), model.intercept))
+            level = together(df.sparkSession, [partial(one, subset) for subset in grown])
             fits += level
             best = min((f[1] for f in level), default=0.0)
             parents = [f[0] for f in level if window is None or f[1] - best <= 2 * math.log(window)]

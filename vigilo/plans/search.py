@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from vigilo.functions.hashing import unit_hash
 from vigilo.operators.evaluate import roc_auc
+from vigilo.plans.concurrent import together
 from vigilo.plans.control import Control
 from vigilo.plans.methods import Candidate, classifier
 from vigilo.plans.stages import SCORE
@@ -57,37 +59,41 @@ def model_search(
     split: str = "split",
     length: int | None = None,
     folds: int | None = None,
+    fitted: dict[str, PipelineModel] | None = None,
 ) -> DataFrame:
     """Area under the curve and time of every method on the training and the test rows.
 
     ``data`` holds key, label, features and split, and is read many times: pass a staged table.
     ``train`` replaces the training rows, for example by balanced ones. A method that fails
-    becomes a row without a score. The result has two rows per method.
+    becomes a row without a score. The result has two rows per method, which are fitted side by side;
+    ``fitted`` receives the models, for comparing what they get wrong.
     """
     spark = data.sparkSession
     folds = folds or control.folds
     base = train if train is not None else data.where(F.col(split) == "traindata")
     base = with_folds(base, [key] if key in base.columns else columns, folds).persist()
     scored = data.where(F.col(split).isin("traindata", "testdata")).persist()
-    rows = []
+
+    def one(method: str) -> list[tuple]:
+        begin = time.monotonic()
+        try:
+            candidate = classifier(method, columns, label, length or control.length)
+            model = fit_candidate(base, candidate, label, folds=folds, parallelism=2)
+            areas = {
+                r[split]: r["auc"]
+                for r in roc_auc(model.transform(scored), SCORE, label, by=[split]).collect()
+            }
+            status = "ok"
+            if fitted is not None:
+                fitted[method] = model
+        except Exception as error:  # noqa: BLE001 - a failing method must not end the search
+            areas, status = {}, f"{type(error).__name__}: {str(error)[:120]}"
+        took = time.monotonic() - begin
+        return [(method, group, areas.get(f"{group}data"), took, status) for group in ("train", "test")]
+
     try:
-        for method in methods:
-            begin = time.monotonic()
-            try:
-                candidate = classifier(method, columns, label, length or control.length)
-                model = fit_candidate(
-                    base, candidate, label, folds=folds, parallelism=control.parallelism(spark)
-                )
-                areas = {
-                    r[split]: r["auc"]
-                    for r in roc_auc(model.transform(scored), SCORE, label, by=[split]).collect()
-                }
-                status = "ok"
-            except Exception as error:  # noqa: BLE001 - a failing method must not end the search
-                areas, status = {}, f"{type(error).__name__}"
-            took = time.monotonic() - begin
-            for group in ("train", "test"):
-                rows.append((method, group, areas.get(f"{group}data"), took, status))
+        found = together(spark, [partial(one, m) for m in methods], most=control.parallelism(spark))
+        rows = [row for part in found for row in part]
     finally:
         base.unpersist()
         scored.unpersist()

@@ -6,12 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilo.operators import balance, cleaning, evaluate, features, peers, ranking
 from vigilo.plans import ensemble, search
 from vigilo.plans.control import Control
+from vigilo.sources import artifacts
 from vigilo.sources.tables import stage
 
 ENSEMBLES = ("top_weighted", "top_stacked", "dissimilar_weighted", "dissimilar_stacked")
@@ -76,7 +77,10 @@ def choose_methods(
 
 @dataclass
 class Ensembles:
-    """Base models of both groups with their weights and stackers."""
+    """Base models of both groups with their weights and stackers.
+
+    :func:`save_bundle` writes them with the scaler and the validation rows that scoring needs.
+    """
 
     models: dict[str, PipelineModel]
     weights: dict[str, dict[str, float]] = field(default_factory=dict)
@@ -96,9 +100,32 @@ class Ensembles:
         return out.drop(*[f"p_{m}" for m in self.models])
 
 
+def save_bundle(built: Ensembles, path: str, *, scaler: DataFrame, valid: DataFrame) -> None:
+    """Ensembles, scaler and validation rows in one folder, so that another run can score with them."""
+    for part, models in (("models", built.models), ("stackers", built.stackers)):
+        for name, model in models.items():
+            artifacts.save_model(model, f"{path}/{part}/{name}")
+    rows = [("models", m, "", 0.0) for m in built.models] + [("stackers", m, "", 0.0) for m in built.stackers]
+    rows += [("weights", m, group, w) for group, weights in built.weights.items() for m, w in weights.items()]
+    parts = scaler.sparkSession.createDataFrame(rows, "part string, name string, grp string, weight double")
+    for name, table in (("parts", parts), ("scaler", scaler), ("valid", valid)):
+        artifacts.save_table(table, f"{path}/{name}", partition_by=())
+
+
+def load_bundle(spark: SparkSession, path: str) -> tuple[Ensembles, DataFrame, DataFrame]:
+    """Ensembles, scaler and validation rows that :func:`save_bundle` wrote."""
+    parts = artifacts.load_table(spark, f"{path}/parts").collect()
+    read = lambda part: {r["name"]: artifacts.load_model(f"{path}/{part}/{r['name']}") for r in parts if r["part"] == part}
+    built = Ensembles(read("models"), stackers=read("stackers"))
+    for r in parts:
+        if r["part"] == "weights":
+            built.weights.setdefault(r["grp"], {})[r["name"]] = r["weight"]
+    return built, artifacts.load_table(spark, f"{path}/scaler"), artifacts.load_table(spark, f"{path}/valid")
+
+
 def construct_models(
     train: DataFrame, columns: Sequence[str], label: str, *,
-    top: Sequence[str], dissimilar: Sequence[str], folds: int = 10, rounds: int = 20,
+    top: Sequence[str], dissimilar: Sequence[str], folds: int = 10, rounds: int = 20, length: int = 1,
 ) -> Ensembles:
     """Weighted and stacked ensembles of two groups of methods.
 
@@ -108,9 +135,9 @@ def construct_models(
     methods = list(dict.fromkeys([*top, *dissimilar]))
     folded = search.with_folds(train, columns, folds)
     held = stage(
-        ensemble.oof_predictions(folded, columns, label, methods, key=None, fold="fold", folds=folds), "held"
+        ensemble.oof_predictions(folded, columns, label, methods, key=None, fold="fold", folds=folds, length=length), "held"
     )
-    out = Ensembles(ensemble.fit_models(train, columns, label, methods))
+    out = Ensembles(ensemble.fit_models(train, columns, label, methods, length=length))
     for group, names, stacker in (("top", top, "rf"), ("dissimilar", dissimilar, "gbm")):
         scores = [f"p_{m}" for m in names]
         if not scores:
