@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 from datetime import date, datetime
@@ -23,6 +24,7 @@ def session(cores: int = 8) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]").appName("vigilo")
         .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
         .getOrCreate()
     )
 
