@@ -59,11 +59,13 @@ def swapped(words: set[str], groups) -> set[str]:
 def _word_lists(batches):
     import pyarrow as pa
 
-    for batch in batches:
-        lists = [sorted(words_of(t)) for t in batch.column(2).to_pylist()]
-        more = [sorted(features_of(set(w))) for w in lists]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(x, pa.list_(pa.string())) for x in (lists, more))],
-                                         names=["id", "y", "words", "features"])
+    for whole in batches:
+        for at in range(0, whole.num_rows, 256):
+            batch = whole.slice(at, 256)
+            lists = [sorted(words_of(t)) for t in batch.column(2).to_pylist()]
+            more = [sorted(features_of(set(w))) for w in lists]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(x, pa.list_(pa.string())) for x in (lists, more))],
+                                             names=["id", "y", "words", "features"])
 
 
 def fit_weights(y: np.ndarray, rows: list[np.ndarray], moves: list[tuple[np.ndarray, np.ndarray]], size: int, s: Settings) -> np.ndarray:
@@ -129,21 +131,35 @@ def fit(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str,
     vocabulary = terms + sorted(r[0] for r in best.select("word").collect())
     number = {w: k for k, w in enumerate(vocabulary)}
 
+    def number_words(batches):
+        import pyarrow as pa
+
+        def numbers(words):
+            return sorted(number[w] for w in words if w in number)
+
+        for batch in batches:
+            index, gone, come = [], [], []
+            for words in map(set, batch.column(2).to_pylist()):
+                before = features_of(words)
+                index.append(numbers(before))
+                after = before if words.isdisjoint(terms) else features_of(swapped(words, s.groups))
+                gone.append(numbers(before - after))
+                come.append(numbers(after - before))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(x, pa.list_(pa.int32())) for x in (index, gone, come))],
+                                             names=["id", "y", "index", "gone", "come"])
+
     def train(part):
         import pyarrow as pa
 
         part = part.sort_by([("id", "ascending"), ("y", "ascending")])
-        words = [set(w) for w in part.column("words").to_pylist()]
-        index = [np.array(sorted(number[w] for w in features_of(ws) if w in number), dtype=int) for ws in words]
-        moves = []
-        for ws in words:
-            if not ws.isdisjoint(terms):
-                before, after = features_of(ws), features_of(swapped(ws, s.groups))
-                moves.append(tuple(np.array(sorted(number[w] for w in x if w in number), dtype=int) for x in (before - after, after - before)))
+        index, gone, come = ([np.array(x, dtype=np.int32) for x in part.column(c).to_pylist()] for c in ("index", "gone", "come"))
+        moves = [(a, b) for a, b in zip(gone, come, strict=True) if len(a) or len(b)]
         got = fit_weights(np.asarray(part.column("y"), dtype=float), index, moves, len(vocabulary), s)
         return pa.table({"word": pa.array([*vocabulary, BIAS]), "weight": pa.array(got)})
 
-    learned = rows.select("id", "y", "words").withColumn("all", F.lit(0)).groupBy("all").applyInArrow(train, "word string, weight double")
+    # Only numbers of kept features reach the one task that fits.
+    numbered = rows.select("id", "y", "words").mapInArrow(number_words, "id long, y int, index array<int>, gone array<int>, come array<int>")
+    learned = numbered.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(train, "word string, weight double")
     return {r.word: r.weight for r in learned.collect()}
 
 
@@ -159,12 +175,13 @@ def with_score(docs: DataFrame, text: str, weights: dict[str, float], column: st
         import pyarrow as pa
 
         bias = weights.get(BIAS, 0.0)
-        for batch in batches:
-            out = []
-            for value in batch.column(at).to_pylist():
-                logit = bias + math.fsum(weights[w] for w in features_of(words_of(value)) & weights.keys())
-                out.append(1 / (1 + math.exp(-max(-40.0, min(40.0, logit)))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names=[*batch.schema.names, column])
+        for whole in batches:
+            for first in range(0, whole.num_rows, 256):
+                batch, out = whole.slice(first, 256), []
+                for value in batch.column(at).to_pylist():
+                    logit = bias + math.fsum(weights[w] for w in features_of(words_of(value)) & weights.keys())
+                    out.append(1 / (1 + math.exp(-max(-40.0, min(40.0, logit)))))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names=[*batch.schema.names, column])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(column, DoubleType())]))
 
