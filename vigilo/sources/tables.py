@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_LISTENING: list[list[str]] = []
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -64,6 +66,23 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def staged_paths() -> Iterator[list[str]]:
+    """Collect the folders that :func:`stage` writes inside the block, for :func:`discard` later on."""
+    _LISTENING.append([])
+    try:
+        yield _LISTENING[-1]
+    finally:
+        _LISTENING.pop()
+
+
+def discard(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete staged tables whose results have been written elsewhere; call it when nothing reads them any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -79,4 +98,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
+    for paths in _LISTENING[-1:]:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
