@@ -5,18 +5,39 @@ Columns of ``documents`` beyond the known ones pass through unchanged.
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilo.llm import bpe, minhash_dedup, mixing, suffix_dedup, toxicity
 from vigilo.llm.common import held_out, table
-from vigilo.sources.tables import stage
+from vigilo.sources.tables import discard, stage, staged_paths
+
+_LEFT: list[str] = []
+
+
+def _tidy(step):
+    """A stage that first deletes what the stage before it staged: that one's result is in its own Parquet by now."""
+
+    @wraps(step)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard(spark, _LEFT)
+        _LEFT.clear()
+        with staged_paths() as paths:
+            out = step(spark, docs, sf_dir)
+        _LEFT.extend(paths)
+        return out
+
+    return run_step
+
 
 #: Score from which a document counts as toxic.
 REJECT = 0.3
 
 
+@_tidy
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labelled ones outside the held-out fold, does not reject."""
     weights = toxicity.fit(docs, "doc_id", "text", table(spark, sf_dir, "labels"), "doc_id", "toxic", ~held_out("doc_id", 4))
@@ -24,6 +45,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("score of this stage") < REJECT).drop("score of this stage")
 
 
+@_tidy
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of the smallest id, of each group of near copies; rows without an id stay."""
     found = minhash_dedup.near_duplicates(docs, "doc_id", "text")
@@ -31,6 +53,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
+@_tidy
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the bytes that 50-byte strings of earlier documents cover; ``n_chars`` is counted anew."""
     carry = [c for c in docs.columns if c != "text"]
@@ -41,6 +64,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return done.select(*[place[c].alias(c) for c in docs.columns])
 
 
+@_tidy
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources brought to 97 % of the largest entropy, no row more than twice; repeated rows come out repeated."""
     mixed = mixing.mix(docs, "doc_id", "source", "text", carry=True)
@@ -48,6 +72,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return copies.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
+@_tidy
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of the bytes they decode to."""
     ranks = bpe.rank_file(public_tokenizers.path("byte_bpe_50k.tiktoken"))

@@ -8,6 +8,7 @@ from tests.llm.helpers import DOCS, clashing, documents, odd_documents
 from tests.llm.test_text_dedup import brute_components, brute_repeats
 from vigilo.llm import mixing, toxicity
 from vigilo.llm.common import held_out
+from vigilo.sources.tables import stage
 
 
 def words(text):
@@ -96,21 +97,21 @@ def test_pipeline_matches_its_stages_by_brute_force(spark, tmp_path):
     folder = write(spark, tmp_path, rows, labels)
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     columns = docs.columns
-    clean = corpus_pipeline.drop_toxic(spark, docs, folder)
+    clean = stage(corpus_pipeline.drop_toxic(spark, docs, folder), "clean")
     left = [tuple(r)[:5] for r in clean.collect()]
     assert clean.columns == columns
     assert Counter(r[0] for r in left) == Counter(r[0] for r in rows if not (r[0] and 300 <= r[0] < 400))
     low = brute_components(left)
-    once = corpus_pipeline.drop_near_copies(spark, clean, folder)
+    once = stage(corpus_pipeline.drop_near_copies(spark, clean, folder), "once")
     left = [r for r in left if r[0] is None or low[r[0]] == r[0]]
     assert once.columns == columns and Counter(r.doc_id for r in once.collect()) == Counter(r[0] for r in left)
-    cut = corpus_pipeline.cut_repeats(spark, once, folder)
+    cut = stage(corpus_pipeline.cut_repeats(spark, once, folder), "cut")
     want = brute_repeats(left)
     assert cut.columns == columns and cut.dtypes == docs.dtypes
     for r in cut.collect():
         assert r.n_chars == len(r.text) and r.score == "own"
         assert r.doc_id is None or r.text == want[r.doc_id][3].decode("utf-8", "ignore")
-    mixed = corpus_pipeline.mix_sources(spark, cut, folder)
+    mixed = stage(corpus_pipeline.mix_sources(spark, cut, folder), "mixed")
     assert mixed.columns == columns and max(Counter(r.doc_id for r in mixed.collect() if r.doc_id != 20).values()) <= 2
     final = corpus_pipeline.run(spark, folder)
     copies = Counter(r.doc_id for r in mixed.collect())

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from vigilo.llm.common import held_out, shuffle_parts, table
 from vigilo.llm.shingles import WordHasher, mix
-from vigilo.llm.units import Unit, pack_units, planes, unit_rows, unplanes
+from vigilo.llm.units import Unit, pack_units, planes, squeeze, unit_rows, unplanes, unsqueeze
 from vigilo.sources.tables import stage
 
 #: Sweeps over all seats of a restaurant, of which the first ones are not averaged.
@@ -137,19 +137,6 @@ def _dealt(keys: np.ndarray, buckets: int):
     return [(b, order[at[b]:at[b + 1]]) for b in range(buckets) if at[b] < at[b + 1]]
 
 
-def _squeeze(*blobs: bytes) -> bytes:
-    import pyarrow as pa
-
-    data = b"".join(blobs)
-    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
-
-
-def _open(blob: bytes) -> bytes:
-    import pyarrow as pa
-
-    return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
-
-
 def _split(data: bytes, *kinds) -> list[np.ndarray]:
     n = len(data) // sum(np.dtype(k).itemsize for k in kinds)
     out, at = [], 0
@@ -179,7 +166,7 @@ def _emit_words(buckets: int):
         for row in unit_rows(batches):
             t = _Tokens(Unit(row))
             if len(t.words):
-                yield _batch([(row["unit"], b, _squeeze(planes(_steps(t.words[k])), planes(t.word_count[k]))) for b, k in _dealt(t.words, buckets)])
+                yield _batch([(row["unit"], b, squeeze(planes(_steps(t.words[k])), planes(t.word_count[k]))) for b, k in _dealt(t.words, buckets)])
 
     return run
 
@@ -187,7 +174,7 @@ def _emit_words(buckets: int):
 def _read_groups(part, *kinds):
     """Per row of a bucket its keys and numbers, and the distinct keys of all with where each one is."""
     units = part.column("unit").to_pylist()
-    rows = [_split(_open(d), np.uint64, *kinds) for d in part.column("data").to_pylist()]
+    rows = [_split(unsqueeze(d), np.uint64, *kinds) for d in part.column("data").to_pylist()]
     keys = np.concatenate([np.cumsum(r[0], dtype=np.uint64) for r in rows])
     found, where = np.unique(keys, return_inverse=True)
     at = np.concatenate([[0], np.cumsum([len(r[0]) for r in rows])])
@@ -211,7 +198,7 @@ def _count_words(part):
     units, rows, found, where, at = _read_groups(part, np.uint32)
     counts = np.bincount(where, np.concatenate([r[1] for r in rows]), len(found))
     mine = counts[where].astype(np.uint64)
-    blobs = [_squeeze(planes(mine[a:b])) for a, b in zip(at[:-1], at[1:], strict=True)]
+    blobs = [squeeze(planes(mine[a:b])) for a, b in zip(at[:-1], at[1:], strict=True)]
     return _answer(part, units, blobs, counts.sum(), np.count_nonzero(counts))
 
 
@@ -221,7 +208,7 @@ def _gathered(answers, name: str, dealt, kinds, n: int) -> list[np.ndarray]:
     out = [np.zeros(n, dtype=k) for k in kinds]
     for a in answers:
         if a["name"] == name:
-            for whole, part in zip(out, _split(_open(a["data"]), *kinds), strict=True):
+            for whole, part in zip(out, _split(unsqueeze(a["data"]), *kinds), strict=True):
                 whole[numbers[a["bucket"]]] = part
     return out
 
@@ -236,7 +223,7 @@ def _emit_pairs(buckets: int, n: float, v: float):
                 continue
             (count,) = _gathered(row["answers"], "words", _dealt(t.words, buckets), [np.uint64], len(t.words))
             share = np.minimum(np.rint(-8 * np.log2((count + 1.0) / (n + v + 1))), 255).astype(np.uint8)[t.pair_word]
-            yield _batch([(row["unit"], b, _squeeze(planes(_steps(t.pairs[k])), planes(t.pair_count[k]), planes(share[k])))
+            yield _batch([(row["unit"], b, squeeze(planes(_steps(t.pairs[k])), planes(t.pair_count[k]), planes(share[k])))
                           for b, k in _dealt(t.pair_low, buckets)])
 
     return run
@@ -257,7 +244,7 @@ def _seat_contexts(part):
     code = np.where(own > 0, np.minimum(np.rint(-2048 * np.log2(np.maximum(own, 2.0 ** -31))), 65534), 65535).astype(np.uint16)[where]
     leave = np.minimum(np.rint(-2048 * np.log2(np.maximum(left, 2.0 ** -31))), 65534).astype(np.uint16)[context[where]]
     seats = np.where(first, np.rint(tables[where]), 0).astype(np.uint32)
-    blobs = [_squeeze(planes(code[a:b]), planes(leave[a:b]), planes(seats[a:b])) for a, b in zip(at[:-1], at[1:], strict=True)]
+    blobs = [squeeze(planes(code[a:b]), planes(leave[a:b]), planes(seats[a:b])) for a, b in zip(at[:-1], at[1:], strict=True)]
     return _answer(part, units, blobs)
 
 
@@ -271,7 +258,7 @@ def _emit_tables(buckets: int):
                 continue
             seats = _gathered(row["answers"], "pairs", _dealt(t.pair_low, buckets), [np.uint16, np.uint16, np.uint32], len(t.pairs))[2]
             tables = np.bincount(t.pair_word, seats, len(t.words)).astype(np.uint32)
-            yield _batch([(row["unit"], b, _squeeze(planes(_steps(t.words[k])), planes(tables[k]))) for b, k in _dealt(t.words, buckets)])
+            yield _batch([(row["unit"], b, squeeze(planes(_steps(t.words[k])), planes(tables[k]))) for b, k in _dealt(t.words, buckets)])
 
     return run
 
@@ -288,7 +275,7 @@ def _seat_parent(v: float):
             if sweep >= WARM:
                 total[here] += seat(customers[here], pull, d, rng) / (SWEEPS - WARM)
         mass = np.maximum(customers - d * total, 0)
-        blobs = [_squeeze(planes(mass[where[a:b]])) for a, b in zip(at[:-1], at[1:], strict=True)]
+        blobs = [squeeze(planes(mass[where[a:b]])) for a, b in zip(at[:-1], at[1:], strict=True)]
         return _answer(part, units, blobs, customers.sum(), spare=(d * total).sum())
 
     return run

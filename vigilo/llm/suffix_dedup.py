@@ -19,7 +19,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 
 from vigilo.llm.common import shuffle_parts, table
 from vigilo.llm.shingles import mix
-from vigilo.llm.units import Unit, pack_units, planes, unit_rows, unplanes
+from vigilo.llm.units import Unit, pack_units, planes, squeeze, unit_rows, unplanes, unsqueeze
 from vigilo.sources.tables import stage
 
 WINDOW, SEED = 50, 20
@@ -235,7 +235,7 @@ def _emit_segments(buckets: int):
                 out.append((b, np.array([len(t) for t, _ in members], dtype=np.int32).tobytes(), np.array([low[j] for _, j in members], dtype=np.int64).tobytes(),
                             np.array([j for _, j in members], dtype=np.int32).tobytes(), b"".join(t for t, _ in members)))
             yield pa.RecordBatch.from_arrays([pa.array([row["unit"]] * len(out), pa.int64()), pa.array([o[0] for o in out], pa.int32()),
-                                              *(pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3, 4))],
+                                              *(pa.array([squeeze(o[k]) for o in out], pa.binary()) for k in (1, 2, 3, 4))],
                                              names=["unit", "bucket", "first", "second", "third", "data"])
 
     return run
@@ -292,6 +292,7 @@ def _sort_bucket(part):
     low: list[int] = []
     rows = []
     for unit, first, second, third, data in zip(*(part.column(c).to_pylist() for c in ("unit", "first", "second", "third", "data")), strict=True):
+        first, second, third, data = map(unsqueeze, (first, second, third, data))
         which, at = [], 0
         for n, i in zip(np.frombuffer(first, dtype=np.int32).tolist(), np.frombuffer(second, dtype=np.int64).tolist(), strict=True):
             j = found.setdefault(data[at:at + n], len(found))
@@ -320,7 +321,7 @@ def _sort_bucket(part):
         n = n_spans[w]
         k = np.repeat(first_span[w] - np.cumsum(n) + n, n) + np.arange(n.sum())
         out.append((unit, np.repeat(numbers, n).astype(np.int32).tobytes(), np.stack([start[k], length[k]]).tobytes(), flat[span[k]].tobytes()))
-    return pa.table({"unit": pa.array([o[0] for o in out], pa.int64()), **{c: pa.array([o[k] for o in out], pa.binary()) for k, c in ((1, "number"), (2, "span"), (3, "low"))}})
+    return pa.table({"unit": pa.array([o[0] for o in out], pa.int64()), **{c: pa.array([squeeze(o[k]) for o in out], pa.binary()) for k, c in ((1, "number"), (2, "span"), (3, "low"))}})
 
 
 _RESULT = StructType([StructField(name, kind()) for name, kind in (
@@ -334,10 +335,10 @@ def _cut(batches):
         unit = Unit(row)
         edge = np.zeros(len(unit.raw) + 1, dtype=np.int32)
         if row["answers"]:
-            doc, first, which = (np.frombuffer(row[c], dtype=k) for c, k in (("first", np.int32), ("second", np.int64), ("third", np.int32)))
-            number = np.concatenate([np.frombuffer(a["number"], dtype=np.int32) for a in row["answers"]])
-            span = np.concatenate([np.frombuffer(a["span"], dtype=np.int32).reshape(2, -1) for a in row["answers"]], axis=1)
-            low = np.concatenate([np.frombuffer(a["low"], dtype=np.int64) for a in row["answers"]])
+            doc, first, which = (np.frombuffer(unsqueeze(row[c]), dtype=k) for c, k in (("first", np.int32), ("second", np.int64), ("third", np.int32)))
+            number = np.concatenate([np.frombuffer(unsqueeze(a["number"]), dtype=np.int32) for a in row["answers"]])
+            span = np.concatenate([np.frombuffer(unsqueeze(a["span"]), dtype=np.int32).reshape(2, -1) for a in row["answers"]], axis=1)
+            low = np.concatenate([np.frombuffer(unsqueeze(a["low"]), dtype=np.int64) for a in row["answers"]])
             order = np.argsort(number, kind="stable")
             number, span, low = number[order], span[:, order], low[order]
             a, b = np.searchsorted(number, which), np.searchsorted(number, which, side="right")
@@ -388,7 +389,8 @@ def remove_repeats(docs: DataFrame, key: str, text: str, carry: Sequence[str] =
     shared = keys.groupBy("bucket").applyInArrow(_find_shared, "unit long, bucket int, shared binary, hot binary")
     answers = shared.groupBy("unit").agg(F.collect_list(F.struct("bucket", "shared", "hot")).alias("answers"))
     segments = stage(bare.join(answers, "unit").mapInArrow(_emit_segments(buckets), _SEGMENTS), "segments")
-    spans = segments.where("bucket is not null").groupBy("bucket").applyInArrow(_sort_bucket, "unit long, number binary, span binary, low binary")
+    spans = stage(segments.where("bucket is not null").groupBy("bucket").applyInArrow(
+        _sort_bucket, "unit long, number binary, span binary, low binary"), "spans")
     answers = spans.groupBy("unit").agg(F.collect_list(F.struct("number", "span", "low")).alias("answers"))
     kinds = [StructField(f"carried{k}", docs.select(F.col(f"`{c}`")).schema[0].dataType) for k, c in enumerate(carry)]
     places = segments.where("bucket is null").select("unit", "first", "second", "third")

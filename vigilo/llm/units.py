@@ -85,6 +85,20 @@ def unplanes(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
 
 
+def squeeze(*blobs: bytes) -> bytes:
+    """Blobs one after the other, compressed, with their length in front."""
+    import pyarrow as pa
+
+    data = b"".join(blobs)
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unsqueeze(blob: bytes) -> bytes:
+    import pyarrow as pa
+
+    return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+
+
 def pack_units(docs: DataFrame, key: str, text: str, carry: Sequence[str] = ()) -> tuple[DataFrame, int]:
     """Units (``unit``, packed ids, lengths, texts and carried columns) in the shared folder, and the bytes of all texts.
 
