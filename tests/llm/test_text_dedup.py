@@ -120,6 +120,23 @@ def test_suffix_dedup_deals_hot_windows_one_by_one(spark, monkeypatch):
             assert (r.n_removed, r.n_spans, hashlib.sha256(r.kept).digest()) == (want[r.id][1], want[r.id][2], hashlib.sha256(want[r.id][3]).digest())
 
 
+def test_copies_that_end_or_begin_inside_a_hot_line_are_found(spark, monkeypatch):
+    # Equal windows in runs of which only one holds the hot surroundings: edited and truncated lines.
+    monkeypatch.setattr(suffix_dedup, "HOT", 30)
+    rng = random.Random(11)
+    rows = []
+    for _ in range(12):
+        line, n = prose(rng, 30)[:70], len(rows)
+        rows += [(n + k, f"{prose(rng, 20)}{line}{prose(rng, 20)}", "en", "s", 0) for k in range(40)]
+        for cut in range(20, 35):
+            before, after, n = prose(rng, 20), prose(rng, 20), len(rows)
+            rows += [(n, f"{before}{line}{prose(rng, 20)}", "en", "s", 0), (n + 1, f"{before}{line[:cut]}{prose(rng, 20)}", "en", "s", 0),
+                     (n + 2, f"{prose(rng, 20)}{line}{after}", "en", "s", 0), (n + 3, f"{prose(rng, 20)}{line[-cut:]}{after}", "en", "s", 0)]
+    want = brute_repeats(rows)
+    got = {r.id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(documents(spark, rows), "doc_id", "text").collect()}
+    assert {i for i in want if got[i] != want[i]} == set()
+
+
 def test_columns_sort_all_suffixes():
     rng = random.Random(2)
     strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 40))) for _ in range(30)]

@@ -4,7 +4,9 @@ Documents are packed into units. Every 50-byte window has a smallest 20-byte str
 windows that follow each other with the same one form a run. Equal windows have equal minimizers and share
 35 bytes around them, so runs whose surroundings occur in one document only are left aside. The others go,
 cut to the windows in question, to a bucket chosen by the minimizer, where all strings of the bucket are
-sorted together: each round prepends one symbol to every string and updates the order of all suffixes.
+sorted together. A frequent minimizer's runs are halved and dealt by their surroundings, frequent surroundings
+window by window; whatever decides is inside the window, so equal windows always meet. Each round of a bucket
+prepends one symbol to every string and updates the order of all suffixes.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ _SIDE = _RUN // 2
 BUCKET_BYTES = 8 << 20
 #: Bytes hashed in one go.
 _CHUNK = 1 << 18
-#: Occurrences of a key beyond which its windows are dealt one by one, by their own hash.
+#: Occurrences from which a minimizer's windows are dealt by the key they hold, and a key's one by one, by their own hash.
 HOT = 20_000
 _END = 255
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -128,9 +130,10 @@ def _cuts(sorted_keys: np.ndarray):
     return [(int(high[a]), int(a), int(b)) for a, b in zip(at[:-1], at[1:], strict=True) if b > a]
 
 
-def _unit_keys(left: np.ndarray, right: np.ndarray, buckets: int):
+def _unit_keys(h: np.ndarray, left: np.ndarray, right: np.ndarray, buckets: int):
+    """Distinct left and right keys and minimizers, and where those of the runs are among them."""
     has_left, has_right = np.flatnonzero(left), np.flatnonzero(right)
-    keys, where = _by_bucket(np.concatenate([left[has_left], right[has_right]]), buckets)
+    keys, where = _by_bucket(np.concatenate([left[has_left], right[has_right], mix(h ^ np.uint64(_BASE))]), buckets)
     return keys, where, has_left, has_right
 
 
@@ -139,9 +142,9 @@ def _emit_keys(buckets: int):
         import pyarrow as pa
 
         for row in unit_rows(batches):
-            _, _, _, _, doc, left, right = _runs_of(Unit(row))
-            keys, where, has_left, has_right = _unit_keys(left, right, buckets)
-            docs = np.concatenate([doc[has_left], doc[has_right]])
+            _, _, _, h, doc, left, right = _runs_of(Unit(row))
+            keys, where, has_left, has_right = _unit_keys(h, left, right, buckets)
+            docs = np.concatenate([doc[has_left], doc[has_right], doc])
             low, high = np.full(len(keys), _FAR), np.full(len(keys), -1)
             np.minimum.at(low, where, docs)
             np.maximum.at(high, where, docs)
@@ -156,26 +159,30 @@ def _emit_keys(buckets: int):
     return run
 
 
-def _find_shared(part):
-    """For each unit which of its keys in this bucket occur in two documents, and which occur very often."""
-    import pyarrow as pa
+def _find_shared(most: int):
+    """For each unit which of its keys in a bucket occur in two documents, and which occur ``most`` times or more."""
+
+    def run(part):
+        import pyarrow as pa
 
-    units = part.column("unit").to_pylist()
-    keys = [np.cumsum(unplanes(k, np.uint32), dtype=np.uint32) for k in part.column("keys").to_pylist()]
-    counts = np.concatenate([unplanes(c, np.uint16) for c in part.column("counts").to_pylist()])
-    _, where = np.unique(np.concatenate(keys), return_inverse=True)
-    docs = np.bincount(where, 1 + (counts & 1))
-    often = np.bincount(where, counts >> 1)
-    shared, hot = (docs >= 2)[where], (often >= HOT)[where]
-    out, at = [], 0
-    for unit, own in zip(units, keys, strict=True):
-        mine = shared[at:at + len(own)]
-        if mine.any():
-            out.append((unit, np.packbits(mine).tobytes(), np.packbits(hot[at:at + len(own)] & mine).tobytes()))
-        at += len(own)
-    bucket = part.column("bucket")[0].as_py()
-    return pa.table({"unit": pa.array([o[0] for o in out], pa.int64()), "bucket": pa.array([bucket] * len(out), pa.int32()),
-                     "shared": pa.array([o[1] for o in out], pa.binary()), "hot": pa.array([o[2] for o in out], pa.binary())})
+        units = part.column("unit").to_pylist()
+        keys = [np.cumsum(unplanes(k, np.uint32), dtype=np.uint32) for k in part.column("keys").to_pylist()]
+        counts = np.concatenate([unplanes(c, np.uint16) for c in part.column("counts").to_pylist()])
+        _, where = np.unique(np.concatenate(keys), return_inverse=True)
+        docs = np.bincount(where, 1 + (counts & 1))
+        often = np.bincount(where, counts >> 1)
+        shared, hot = (docs >= 2)[where], (often >= most)[where]
+        out, at = [], 0
+        for unit, own in zip(units, keys, strict=True):
+            mine = shared[at:at + len(own)]
+            if mine.any():
+                out.append((unit, np.packbits(mine).tobytes(), np.packbits(hot[at:at + len(own)] & mine).tobytes()))
+            at += len(own)
+        bucket = part.column("bucket")[0].as_py()
+        return pa.table({"unit": pa.array([o[0] for o in out], pa.int64()), "bucket": pa.array([bucket] * len(out), pa.int32()),
+                         "shared": pa.array([o[1] for o in out], pa.binary()), "hot": pa.array([o[2] for o in out], pa.binary())})
+
+    return run
 
 
 _SEGMENTS = "unit long, bucket int, first binary, second binary, third binary, data binary"
@@ -193,29 +200,37 @@ def _emit_segments(buckets: int):
         for row in unit_rows(batches):
             unit = Unit(row)
             s, e, p, h, doc, left, right = _runs_of(unit)
-            keys, where, has_left, has_right = _unit_keys(left, right, buckets)
+            keys, where, has_left, has_right = _unit_keys(h, left, right, buckets)
             shared, hot = np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=bool)
             cuts = {b: (x, y) for b, x, y in _cuts(keys)}
             for answer in row["answers"]:
                 x, y = cuts[answer["bucket"]]
                 for bits, name in ((shared, "shared"), (hot, "hot")):
                     bits[x:y] = np.unpackbits(np.frombuffer(answer[name], dtype=np.uint8), count=y - x)
-            flags = np.zeros((4, len(s)), dtype=bool)
-            n = len(has_left)
-            flags[0, has_left], flags[1, has_right] = shared[where[:n]], shared[where[n:]]
-            flags[2, has_left], flags[3, has_right] = hot[where[:n]], hot[where[n:]]
+            flags = np.zeros((5, len(s)), dtype=bool)
+            n, m = len(has_left), len(has_left) + len(has_right)
+            flags[0, has_left], flags[1, has_right] = shared[where[:n]], shared[where[n:m]]
+            flags[2, has_left], flags[3, has_right], flags[4] = hot[where[:n]], hot[where[n:m]], hot[where[m:]]
             keep = np.flatnonzero(flags[0] | flags[1])
             # Windows that the shared surroundings can belong to.
             first = np.where(flags[0, keep], s[keep], np.maximum(s[keep], p[keep] - _SIDE))
             last = np.where(flags[1, keep], e[keep], np.minimum(e[keep], p[keep] - _SIDE))
             deal, number = h[keep], doc[keep]
-            single = flags[2, keep] | flags[3, keep]
-            if single.any():
-                size = (last - first + 1)[single]
-                each = np.repeat(first[single], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-                first, last = np.concatenate([first[~single], each]), np.concatenate([last[~single], each])
-                own = np.array([int.from_bytes(hashlib.blake2b(unit.text[k:k + WINDOW], digest_size=8).digest(), "little") for k in each.tolist()], dtype=np.uint64)
-                deal, number = np.concatenate([deal[~single], own]), np.concatenate([number[~single], np.repeat(number[single], size)])
+            often = flags[4, keep]
+            if often.any():
+                # Equal windows can lie in unequal runs: each is dealt by what it holds itself, up to ``mid`` the left key.
+                mid, at = (p[keep] - _SIDE)[often], keep[often]
+                halves = ((first[often], np.minimum(last[often], mid), left[at], flags[2, at]),
+                          (np.maximum(first[often], mid + 1), last[often], right[at], flags[3, at]))
+                parts = [(first[~often], last[~often], deal[~often], number[~often])]
+                for a, b, key, single in halves:
+                    whole, single = (a <= b) & ~single, (a <= b) & single
+                    parts.append((a[whole], b[whole], key[whole], doc[at[whole]]))
+                    size = (b - a + 1)[single]
+                    each = np.repeat(a[single], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                    own = np.array([int.from_bytes(hashlib.blake2b(unit.text[k:k + WINDOW], digest_size=8).digest(), "little") for k in each.tolist()], dtype=np.uint64)
+                    parts.append((each, each, own, np.repeat(doc[at[single]], size)))
+                first, last, deal, number = (np.concatenate(x) for x in zip(*parts, strict=True))
             bucket = (deal >> np.uint64(40)) % np.uint64(buckets)
             found: dict[tuple[int, bytes], int] = {}
             which = np.empty(len(first), dtype=np.int32)
@@ -386,7 +401,7 @@ def remove_repeats(docs: DataFrame, key: str, text: str, carry: Sequence[str] =
 
     bare = units.drop("rest")
     keys = bare.mapInArrow(_emit_keys(buckets), "bucket int, unit long, keys binary, counts binary")
-    shared = keys.groupBy("bucket").applyInArrow(_find_shared, "unit long, bucket int, shared binary, hot binary")
+    shared = keys.groupBy("bucket").applyInArrow(_find_shared(HOT), "unit long, bucket int, shared binary, hot binary")
     answers = shared.groupBy("unit").agg(F.collect_list(F.struct("bucket", "shared", "hot")).alias("answers"))
     segments = stage(bare.join(answers, "unit").mapInArrow(_emit_segments(buckets), _SEGMENTS), "segments")
     spans = stage(segments.where("bucket is not null").groupBy("bucket").applyInArrow(
