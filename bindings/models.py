@@ -17,8 +17,9 @@ from vigilo.sources.tables import load, stage
 C = F.col
 QUERIES = {}
 ORACLE = {}
-BASE_MODELS = ["elastic_net", "decision_tree", "linear_discriminant"]
+BASE_MODELS = candidate_methods()
 FOLDS = 10
+LENGTH = control("DEV").length
 
 
 def query(name: str, sql: str | None = None):
@@ -45,7 +46,7 @@ def _folded(spark, d):
 def _oof(spark, d):
     rows = _folded(spark, d)
     train = rows.where("split = 'traindata'")
-    held = ensemble.oof_predictions(train, b.FEATURES, "y", BASE_MODELS, key="id", fold="fold", folds=FOLDS)
+    held = ensemble.oof_predictions(train, b.FEATURES, "y", BASE_MODELS, key="id", fold="fold", folds=FOLDS, length=LENGTH)
     return rows, stage(held, "held")
 
 
@@ -77,7 +78,7 @@ def _built(spark, d):
     rows = prepared(spark, d)
     train = workflow.training_rows(rows, b.FEATURES, "y", control("DEV"), key="id")
     methods = candidate_methods()
-    built = workflow.construct_models(train, b.FEATURES, "y", top=methods[:8], dissimilar=methods[-8:], folds=FOLDS)
+    built = workflow.construct_models(train, b.FEATURES, "y", top=methods[:8], dissimilar=methods[-8:], folds=FOLDS, length=LENGTH)
     return rows, built
 
 
@@ -100,7 +101,7 @@ def stacked_ensemble(spark, d):
     """Area under the curve of both stackers and every base model on the validation rows."""
     rows, held = _oof(spark, d)
     train = rows.where("split = 'traindata'")
-    models = ensemble.fit_models(train, b.FEATURES, "y", BASE_MODELS)
+    models = ensemble.fit_models(train, b.FEATURES, "y", BASE_MODELS, length=LENGTH, folds=FOLDS)
     valid = ensemble.apply_models(rows.where("split = 'validdata'"), models)
     for method in ("rf", "gbm"):
         top = ensemble.stacked_ensemble(held, "y", _SCORES, method=method)
@@ -114,7 +115,7 @@ def score_cohort(spark, d):
     """Score all customers by a weighted ensemble with a threshold from the validation rows."""
     rows, held = _oof(spark, d)
     weights = {r["model"]: r["weight"] for r in ensemble.greedy_ensemble(held, "y", _SCORES).collect()}
-    models = ensemble.fit_models(rows.where("split = 'traindata'"), b.FEATURES, "y", BASE_MODELS)
+    models = ensemble.fit_models(rows.where("split = 'traindata'"), b.FEATURES, "y", BASE_MODELS, length=LENGTH, folds=FOLDS)
     cohort = features.align_columns(rows, b.FEATURES, keep=["id", "y"])
     scored = stage(ensemble.score_cohort(cohort, models, weights, threshold=0.0).drop("bestThresh"), "scored")
     valid = scored.join(rows.where("split = 'validdata'").select("id"), "id", "left_semi")

@@ -10,6 +10,7 @@ from vigilo.functions import fixed, schoolyear
 from vigilo.operators import cleaning, peers, quality, risk
 from vigilo.plans import early_warning as run
 from vigilo.plans.control import control
+from vigilo.plans.methods import candidate_methods
 from vigilo.sources import exports
 from vigilo.sources.tables import load, stage, staging_path
 
@@ -219,7 +220,6 @@ def export_roundtrip(spark, d):
 
 # What the export holds whatever the models say, and whether the scores are in range.
 _FIXED_COLUMNS = ["X", "STUDENT_KEY", "GRADE_LEVEL", "SCHOOL_YEAR", "STUDENT_RISK_REPORT_TEXTAtt", "STUDENT_RISK_REPORT_TEXTMob", "STUDENT_RISK_REPORT_TEXTDisc"]
-METHODS = ["glmnet", "rpart", "lda", "nb", "rf"]
 
 
 @query("early_warning", f"SELECT {', '.join(_FIXED_COLUMNS)}, true AS fine FROM ({_export_sql('Final', 'CAST(NULL AS DOUBLE)')})")
@@ -232,7 +232,7 @@ def early_warning(spark, d):
     exclude = [c for c in pool.columns if "KEY" in c] + ["SCHOOL_YEAR", "grad_ind"]
     out = run.early_warning(
         pool, cohort, target="ontime_grad", key="STUDENT_KEY", year="SCHOOL_YEAR", grade="GRADE_KEY", exclude=exclude, control=control("DEV"),
-        methods=METHODS, budget_grade=8, n=3, run_time=F.lit(WHEN).cast("timestamp_ntz"),
+        methods=candidate_methods(), budget_grade=8, run_time=F.lit(WHEN).cast("timestamp_ntz"),
     )
     score, outcome = C("STUDENT_RISK_SEVERITY_SCORE"), C("STUDENT_RISK_OUTCOME")
     scored = score.between(0, 1) & outcome.isin("High", "Moderate", "Low", "None")

@@ -119,6 +119,27 @@ def test_importance_and_averaging(spark, data):
     assert abs(kept["a", "inclusion"] - terms["a", "inclusion"]) < 0.01
 
 
+def test_early_warning_tunes_its_base_learners(spark, data, monkeypatch):
+    from vigilo.plans import early_warning, workflow
+
+    asked = []
+
+    def build(train, columns, label, *, top, dissimilar, folds, length=1):
+        asked.append(length)
+        return workflow.Ensembles({})
+
+    monkeypatch.setattr(workflow, "construct_models", build)
+    monkeypatch.setattr(workflow, "save_bundle", lambda *a, **k: None)
+    for length, want in ((None, control("DEV").length), (2, 2)):
+        more = {} if length is None else {"length": length}
+        early_warning.train_models(data.drop("split"), "unused", target="y", key="id", exclude=[], control=control("DEV"), methods=["naive_bayes", "slda"],
+                                   grade=8, folds=2, **more)
+        assert asked.pop() == want
+    folded = search.with_folds(data, COLUMNS, 2)
+    one, model = ensemble.tune_models(folded, COLUMNS, "y", ["decision_tree"], length=3, fold="fold", folds=2)["decision_tree"]
+    assert len(one.grid) == 1 and model.stages[1].getMaxDepth() == list(one.grid[0].values())[0]
+
+
 def test_choose_methods_by_budget_and_distance(spark):
     from vigilo.plans import workflow
 

@@ -15,11 +15,12 @@ from vigilo.sources.tables import stage, staging_path
 
 def train_models(
     pool: DataFrame, path: str, *, target: str, key: str, exclude: Sequence[str], control: Control, methods: Sequence[str],
-    grade: int, n: int = 8, folds: int | None = None,
+    grade: int, n: int = 8, folds: int | None = None, length: int | None = None,
 ) -> tuple[list[str], list[str], dict[str, list[str]]]:
     """Search, choose and ensemble on a prepared pool, and save the bundle under ``path``.
 
-    A high score stands for the smaller class of the training rows. Returns the feature columns, those of
+    Search and base learners are tuned over ``length`` settings, by default as many as the mode has. A high
+    score stands for the smaller class of the training rows. Returns the feature columns, those of
     them that are binary, and the levels of the text columns.
     """
     levels = features.levels(pool, features.text_columns(pool, [*exclude, key, target]))
@@ -35,11 +36,11 @@ def train_models(
     train = workflow.training_rows(scaled, columns, "risk", control, key=key)
 
     fitted: dict = {}
-    results = stage(search.model_search(scaled, columns, "risk", methods=methods, control=control, train=train, key=key, folds=folds, fitted=fitted), "search")
+    results = stage(search.model_search(scaled, columns, "risk", methods=methods, control=control, train=train, key=key, length=length, folds=folds, fitted=fitted), "search")
     tested = stage(ensemble.apply_models(scaled.where("split = 'testdata'").select("risk", *columns), fitted), "tested")
     distances = search.model_dissimilarity(tested, "risk", [f"p_{m}" for m in fitted])
     top, apart = workflow.choose_methods(results, grade, n=n, distances=distances)
-    built = workflow.construct_models(train, columns, "risk", top=top, dissimilar=apart, folds=folds or control.folds)
+    built = workflow.construct_models(train, columns, "risk", top=top, dissimilar=apart, folds=folds or control.folds, length=length or control.length)
     workflow.save_bundle(built, path, scaler=scaler, valid=scaled.where("split = 'validdata'"))
     return columns, binary, levels
 
@@ -57,7 +58,8 @@ def score_pool(
 
 def early_warning(
     pool: DataFrame, cohort: DataFrame, *, target: str, key: str, year: str, grade: str, exclude: Sequence[str], control: Control,
-    methods: Sequence[str], budget_grade: int, n: int = 8, folds: int | None = None, run_time: Column | None = None, path: str | None = None,
+    methods: Sequence[str], budget_grade: int, n: int = 8, folds: int | None = None, length: int | None = None,
+    run_time: Column | None = None, path: str | None = None,
 ) -> DataFrame:
     """Export of a cleaned cohort scored by models of a prepared pool, each grade and year on its own.
 
@@ -67,7 +69,7 @@ def early_warning(
     """
     path = path or staging_path(pool.sparkSession, "bundle")
     columns, binary, levels = train_models(
-        pool, path, target=target, key=key, exclude=exclude, control=control, methods=methods, grade=budget_grade, n=n, folds=folds)
+        pool, path, target=target, key=key, exclude=exclude, control=control, methods=methods, grade=budget_grade, n=n, folds=folds, length=length)
     rows = cohort.withColumn("__row", F.concat_ws("|", year, F.col(key).cast("string")))
     described = [c for c in pool.columns if c in rows.columns and c not in (*exclude, key, target)]
     found = score_pool(rows.select("__row", *described), path, columns, binary, levels, row="__row")

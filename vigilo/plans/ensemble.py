@@ -20,8 +20,8 @@ from vigilo.operators.features import gram
 from vigilo.operators.groups import table_stats
 from vigilo.operators.ordering import hash_ranks
 from vigilo.plans.concurrent import together
-from vigilo.plans.methods import SEED, classifier, regressors
-from vigilo.plans.search import fit_candidate, with_folds
+from vigilo.plans.methods import SEED, Candidate, classifier, regressors
+from vigilo.plans.search import fit_candidate, tune_candidate, with_folds
 from vigilo.plans.stages import SCORE, PositiveScore
 
 _SCRATCH = ("raw", "features", "rawPrediction", "probability", "prediction")
@@ -35,28 +35,45 @@ def apply_models(df: DataFrame, models: Mapping[str, PipelineModel]) -> DataFram
     return out
 
 
+def tune_models(
+    df: DataFrame, columns: Sequence[str], label: str, methods: Sequence[str], *, length: int, fold: str, folds: int
+) -> dict[str, tuple[Candidate, PipelineModel]]:
+    """Per method the best of ``length`` settings over the given folds, and its fit on all rows."""
+    def one(method: str) -> tuple[Candidate, PipelineModel]:
+        return tune_candidate(dealt, classifier(method, columns, label, length), label, folds=folds, parallelism=1)
+
+    dealt = df.withColumn("fold", F.col(fold))
+    return dict(zip(methods, together(df.sparkSession, [partial(one, m) for m in methods])))
+
+
 def fit_models(
     df: DataFrame, columns: Sequence[str], label: str, methods: Sequence[str], *, length: int = 1, folds: int = 10
 ) -> dict[str, PipelineModel]:
     """One model per method. With a ``length`` above 1 each is tuned over its grid by ``folds`` folds first."""
-    def one(method: str) -> PipelineModel:
-        candidate = classifier(method, columns, label, length)
-        return fit_candidate(tuned, candidate, label, folds=folds, parallelism=1)
-
-    tuned = with_folds(df, columns, folds, seed="tune") if length > 1 else df
-    return dict(zip(methods, together(df.sparkSession, [partial(one, m) for m in methods])))
+    tuned = with_folds(df, columns, folds, seed="tune", name="__tune") if length > 1 else df.withColumn("__tune", F.lit(0))
+    found = tune_models(tuned, columns, label, methods, length=length, fold="__tune", folds=folds)
+    return {m: model for m, (_, model) in found.items()}
 
 
 def oof_predictions(
     df: DataFrame, columns: Sequence[str], label: str, methods: Sequence[str], *, key: str | None, fold: str, folds: int,
-    length: int = 1,
+    length: int = 1, candidates: Mapping[str, Candidate] | None = None,
 ) -> DataFrame:
     """Score of every row by models that never saw its fold: ``(key, fold, label, p_...)``.
 
-    Synthetic rows have no key; pass ``key=None`` for them. The folds are fitted side by side.
+    Synthetic rows have no key; pass ``key=None`` for them. The folds are fitted side by side. With a
+    ``length`` above 1 each method gets its best setting over the same folds (or that of ``candidates``) first.
     """
+    if candidates is None:
+        candidates = {m: classifier(m, columns, label) for m in methods}
+        if length > 1:
+            tuned = tune_models(df, columns, label, methods, length=length, fold=fold, folds=folds)
+            candidates = {m: found for m, (found, _) in tuned.items()}
+
     def one(f: int) -> DataFrame:
-        models = fit_models(df.where(F.col(fold) != f), columns, label, methods, length=length)
+        rest = df.where(F.col(fold) != f)
+        fits = [partial(fit_candidate, rest, candidates[m], label, folds=folds, parallelism=1) for m in methods]
+        models = dict(zip(methods, together(df.sparkSession, fits)))
         held = apply_models(df.where(F.col(fold) == f), models)
         return held.select(*([key] if key else []), fold, label, *[f"p_{m}" for m in methods])
 

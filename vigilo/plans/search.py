@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import partial
 
 from pyspark.ml import PipelineModel
@@ -34,8 +35,15 @@ def fit_candidate(
     train: DataFrame, candidate: Candidate, label: str, *, folds: int, parallelism: int
 ) -> PipelineModel:
     """Tune over the grid by cross-validation, then fit on all rows."""
+    return tune_candidate(train, candidate, label, folds=folds, parallelism=parallelism)[1]
+
+
+def tune_candidate(
+    train: DataFrame, candidate: Candidate, label: str, *, folds: int, parallelism: int
+) -> tuple[Candidate, PipelineModel]:
+    """The candidate with only its best setting over the folds in ``fold``, and its fit on all rows."""
     if len(candidate.grid) < 2:
-        return candidate.pipeline.fit(train, candidate.grid[0])
+        return candidate, candidate.pipeline.fit(train, candidate.grid[0])
     tuner = CrossValidator(
         estimator=candidate.pipeline,
         estimatorParamMaps=candidate.grid,
@@ -44,7 +52,9 @@ def fit_candidate(
         foldCol="fold",
         parallelism=parallelism,
     )
-    return tuner.fit(train).bestModel
+    found = tuner.fit(train)
+    areas = found.avgMetrics
+    return replace(candidate, grid=[candidate.grid[areas.index(max(areas))]]), found.bestModel
 
 
 def model_search(

@@ -129,15 +129,17 @@ def construct_models(
 ) -> Ensembles:
     """Weighted and stacked ensembles of two groups of methods.
 
-    Each method is fitted once per fold and once on all rows even if both groups use it. Weights
-    and stackers learn from held-out scores only.
+    Each method is tuned over ``length`` settings on the folds, then fitted once per fold and once on all rows,
+    even if both groups use it. Weights and stackers learn from held-out scores only.
     """
     methods = list(dict.fromkeys([*top, *dissimilar]))
     folded = search.with_folds(train, columns, folds)
+    tuned = ensemble.tune_models(folded, columns, label, methods, length=length, fold="fold", folds=folds)
+    chosen = {m: candidate for m, (candidate, _) in tuned.items()}
     held = stage(
-        ensemble.oof_predictions(folded, columns, label, methods, key=None, fold="fold", folds=folds, length=length), "held"
+        ensemble.oof_predictions(folded, columns, label, methods, key=None, fold="fold", folds=folds, candidates=chosen), "held"
     )
-    out = Ensembles(ensemble.fit_models(train, columns, label, methods, length=length))
+    out = Ensembles({m: model for m, (_, model) in tuned.items()})
     for group, names, stacker in (("top", top, "rf"), ("dissimilar", dissimilar, "gbm")):
         scores = [f"p_{m}" for m in names]
         if not scores:
