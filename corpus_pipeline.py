@@ -39,7 +39,7 @@ REJECT = 0.3
 
 @_tidy
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labelled ones outside the held-out fold, does not reject."""
+    """Documents that the classifier, fitted on the labelled ones outside the held-out fold, does not reject; all where no label can be used."""
     weights = toxicity.fit(docs, "doc_id", "text", table(spark, sf_dir, "labels"), "doc_id", "toxic", ~held_out("doc_id", 4))
     scored = toxicity.with_score(docs, "text", weights, "score of this stage")
     return scored.where(F.col("score of this stage") < REJECT).drop("score of this stage")

@@ -122,6 +122,13 @@ def test_pipeline_of_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, write(spark, tmp_path, [], [])).count() == 0
 
 
+def test_nothing_is_toxic_without_a_usable_label(spark, tmp_path):
+    rows = odd_documents()
+    for k, labels in enumerate(([], [(9999, 1, 1)])):
+        folder = write(spark, tmp_path / str(k), rows, labels)
+        assert corpus_pipeline.drop_toxic(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder).count() == len(rows)
+
+
 def test_labels_of_the_held_out_fold_are_not_used(spark):
     marks = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), held_out("id", 4).cast("int").alias("toxic"))
     docs = documents(spark, [(k, "same words everywhere", None, None, 0) for k in range(1000)])

@@ -25,6 +25,8 @@ IDENTITY_TERMS = (
 )
 WORD = re.compile(r"[^\W\d_]+")
 BIAS = ""
+#: Bias where no label could be used: nothing is rejected then.
+NOTHING_LEARNED = -20.0
 
 
 @dataclass(frozen=True)
@@ -109,12 +111,13 @@ def fit(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str,
     id takes about ``sample`` of them at most. Words that at least ``least_docs`` of these texts hold are
     ranked by how many standard deviations their number of texts with label 1 is from the expected one;
     those ``least_far`` or more away are kept, up to ``features``, and identity terms always. The fit itself is one task over that bounded sample.
+    Without any such row, or any text of one, there is only a bias so low that every text scores nearly 0.
     """
     known = labels.where(allowed & F.col(label).isin(0, 1)).groupBy(F.col(label_key).alias("id")).agg(F.max(F.col(label).cast("int")).alias("y"))
     known = known.where("id is not null")
     count = known.count()
     if not count:
-        return {BIAS: 0.0}
+        return {BIAS: NOTHING_LEARNED}
     share = min(1.0, s.sample / count)
     chosen = known.where(F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1_000_000)) < share * 1_000_000)
     # About ``sample`` ids of 12 bytes: a bound that does not grow with the tables.
@@ -122,7 +125,7 @@ def fit(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str,
     rows = stage(texts.mapInArrow(_word_lists, "id long, y int, words array<string>, features array<string>"), "labelled")
     base = rows.agg(F.count("*").alias("n"), F.sum("y").alias("p")).first()
     if not base.n:
-        return {BIAS: 0.0}
+        return {BIAS: NOTHING_LEARNED}
     rate = (base.p + 0.5) / (base.n + 1)
     seen = rows.select("y", F.explode("features").alias("word")).groupBy("word").agg(F.count("*").alias("n"), F.sum("y").alias("p"))
     far = F.abs(F.col("p") - F.col("n") * rate) / F.sqrt(F.col("n") * (rate * (1 - rate)) + 1)
