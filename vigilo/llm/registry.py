@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from vigilo.llm import bpe, chat, embedding_dedup, hnsw, language_model, minhash_dedup, mixing, suffix_dedup, toxicity, url_filter
+from vigilo.llm import (
+    bpe, chat, embedding_dedup, hnsw, language_model, lexical, minhash_dedup, mixing, quality, spelling, suffix_dedup, toxicity, url_filter,
+)
 
 QUERIES = {
     "op1_embedding_dedup": embedding_dedup.op1_embedding_dedup,
     "op10_nearest": hnsw.op10_nearest,
+    "op11_quality": quality.op11_quality,
+    "op12_spelling": spelling.op12_spelling,
+    "op13_lexical": lexical.op13_lexical,
     "op2_minhash_dedup": minhash_dedup.op2_minhash_dedup,
     "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op4_mix_sources": mixing.op4_mix_sources,
@@ -18,6 +23,8 @@ QUERIES = {
 }
 ORACLE = {
     "op1_embedding_dedup": embedding_dedup.OP1_SQL,
+    "op12_spelling": spelling.OP12_SQL,
+    "op13_lexical": lexical.OP13_SQL,
     "op6_chat_format": chat.OP6_SQL,
     "op9_url_filter": url_filter.OP9_SQL,
 }
