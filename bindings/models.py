@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from bindings import base as b
 from vigilo.operators import balance, evaluate, features, robust
-from vigilo.plans import ensemble, search, workflow
+from vigilo.plans import averaging, ensemble, search, workflow
 from vigilo.plans.control import control
-from vigilo.plans.methods import candidate_methods, classifier
+from vigilo.plans.methods import candidate_methods
 from vigilo.sources.tables import load, stage
 
 C = F.col
@@ -43,11 +43,13 @@ def _folded(spark, d):
     return search.with_folds(prepared(spark, d), "id", FOLDS)
 
 
-def _oof(spark, d):
+def _members(spark, d):
+    """All base models tuned and fitted once, with their held-out scores."""
     rows = _folded(spark, d)
     train = rows.where("split = 'traindata'")
-    held = ensemble.oof_predictions(train, b.FEATURES, "y", BASE_MODELS, key="id", fold="fold", folds=FOLDS, length=LENGTH)
-    return rows, stage(held, "held")
+    fits = ensemble.tune_members(train, b.FEATURES, "y", BASE_MODELS, fold="fold", folds=FOLDS, length=LENGTH)
+    held = stage(ensemble.held_scores(fits, train, BASE_MODELS, key="id", fold="fold"), "held")
+    return rows, fits.final(), held
 
 
 _SCORES = [f"p_{m}" for m in BASE_MODELS]
@@ -66,12 +68,12 @@ def model_search(spark, d):
 
 @query("oof_predictions")
 def oof_predictions(spark, d):
-    return _oof(spark, d)[1]
+    return _members(spark, d)[2]
 
 
 @query("greedy_ensemble")
 def greedy_ensemble(spark, d):
-    return ensemble.greedy_ensemble(_oof(spark, d)[1], "y", _SCORES)
+    return ensemble.greedy_ensemble(_members(spark, d)[2], "y", _SCORES)
 
 
 def _built(spark, d):
@@ -99,12 +101,10 @@ def raw_predictions(spark, d):
 @query("stacked_ensemble")
 def stacked_ensemble(spark, d):
     """Area under the curve of both stackers and every base model on the validation rows."""
-    rows, held = _oof(spark, d)
-    train = rows.where("split = 'traindata'")
-    models = ensemble.fit_models(train, b.FEATURES, "y", BASE_MODELS, length=LENGTH, folds=FOLDS)
+    rows, models, held = _members(spark, d)
     valid = ensemble.apply_models(rows.where("split = 'validdata'"), models)
     for method in ("rf", "gbm"):
-        top = ensemble.stacked_ensemble(held, "y", _SCORES, method=method)
+        top = ensemble.stacked_ensemble(held, "y", _SCORES, method=method, fold="fold", folds=FOLDS, length=workflow.STACK_DEPTHS)
         valid = ensemble.apply_models(valid, {method: top})
     scores = F.array(*[F.struct(F.lit(s).alias("model"), C(s).alias("score")) for s in [*_SCORES, "p_rf", "p_gbm"]])
     return evaluate.roc_auc(valid.select("y", F.inline(scores)), "score", "y", by=["model"])
@@ -113,9 +113,8 @@ def stacked_ensemble(spark, d):
 @query("score_cohort")
 def score_cohort(spark, d):
     """Score all customers by a weighted ensemble with a threshold from the validation rows."""
-    rows, held = _oof(spark, d)
+    rows, models, held = _members(spark, d)
     weights = {r["model"]: r["weight"] for r in ensemble.greedy_ensemble(held, "y", _SCORES).collect()}
-    models = ensemble.fit_models(rows.where("split = 'traindata'"), b.FEATURES, "y", BASE_MODELS, length=LENGTH, folds=FOLDS)
     cohort = features.align_columns(rows, b.FEATURES, keep=["id", "y"])
     scored = stage(ensemble.score_cohort(cohort, models, weights, threshold=0.0).drop("bestThresh"), "scored")
     valid = scored.join(rows.where("split = 'validdata'").select("id"), "id", "left_semi")
@@ -146,7 +145,7 @@ def model_impute(spark, d):
 @query("var_importance")
 def var_importance(spark, d):
     rows = prepared(spark, d)
-    model = classifier("rf", b.FEATURES, "y").pipeline.fit(rows.where("split = 'traindata'"))
+    model = ensemble.fit_models(rows.where("split = 'traindata'"), b.FEATURES, "y", ["rf"])["rf"]
     return ensemble.var_importance(rows.where("split = 'validdata'"), model, b.FEATURES, "y", key="id")
 
 
@@ -154,7 +153,7 @@ def var_importance(spark, d):
 def bic_average(spark, d):
     rows = features.poly_terms(prepared(spark, d), {"urgent": 2})
     groups = {"urgent": ["urgent", "urgent_2"], "orders": ["n_orders"], "balance": ["acctbal", "flagged"]}
-    return ensemble.bic_average(rows, "y", groups)
+    return averaging.bic_average(rows, "y", groups)
 
 
 # Scores and products of a logistic predictor with one column and given coefficients, in closed form.

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vigilo.plans import ensemble, methods, search
+from vigilo.plans import averaging, ensemble, methods, search
 from vigilo.plans.control import control
 from vigilo.sources import artifacts
 
@@ -30,11 +30,11 @@ def test_control_modes():
 
 
 def test_candidates():
-    assert set(methods.candidate_methods(full=True)) == set(methods.CLASSIFIERS)
+    assert set(methods.candidate_methods(full=True)) == {*methods.CLASSIFIERS, "radial_svm"}
     assert len(methods.candidate_methods(3)) == 3
 
 
-@pytest.mark.parametrize("method", list(methods.CLASSIFIERS))
+@pytest.mark.parametrize("method", methods.METHODS)
 def test_every_method_finds_the_planted_signal(spark, data, method):
     out = search.model_search(data, COLUMNS, "y", methods=[method], control=control("DEV"), length=1)
     rows = {r["grp"]: r for r in out.collect()}
@@ -59,7 +59,8 @@ def test_ensemble_chain(spark, data, tmp_path):
     for kind in ("rf", "gbm"):
         top = ensemble.stacked_ensemble(held, "y", ["p_logistic", "p_decision_tree"], method=kind)
         assert top.transform(held).where("p BETWEEN 0 AND 1").count() == 600
-    models = ensemble.fit_models(data, COLUMNS, "y", names)
+    models = dict(ensemble.fit_models(data, COLUMNS, "y", names))
+    models["logistic"] = methods.classifier("logistic", COLUMNS, "y").pipeline.fit(data)
     artifacts.save_model(models["logistic"], str(tmp_path / "m"))
     models["logistic"] = artifacts.load_model(str(tmp_path / "m"))
     scored = ensemble.score_cohort(data, models, {"p_logistic": 0.5, "p_decision_tree": 0.5}, threshold=0.4)
@@ -113,9 +114,9 @@ def test_importance_and_averaging(spark, data):
     assert drop["a"] > drop["b"] > drop["c"]
     tree = {r["column"]: r["weight"] for r in ensemble.tree_importance(model, COLUMNS).collect()}
     assert abs(sum(tree.values()) - 100) < 1e-6 and tree["a"] > tree["c"]
-    terms = {(r["term"], r["kind"]): r["value"] for r in ensemble.bic_average(data, "y", {c: [c] for c in COLUMNS}).collect()}
+    terms = {(r["term"], r["kind"]): r["value"] for r in averaging.bic_average(data, "y", {c: [c] for c in COLUMNS}).collect()}
     assert terms["a", "inclusion"] > 0.99 > 0.5 > terms["c", "inclusion"]
-    kept = {(r["term"], r["kind"]): r["value"] for r in ensemble.bic_average(data, "y", {c: [c] for c in COLUMNS}, window=20).collect()}
+    kept = {(r["term"], r["kind"]): r["value"] for r in averaging.bic_average(data, "y", {c: [c] for c in COLUMNS}, window=20).collect()}
     assert abs(kept["a", "inclusion"] - terms["a", "inclusion"]) < 0.01
 
 
@@ -124,7 +125,7 @@ def test_early_warning_tunes_its_base_learners(spark, data, monkeypatch):
 
     asked = []
 
-    def build(train, columns, label, *, top, dissimilar, folds, length=1):
+    def build(train, columns, label, *, top, dissimilar, folds, length=1, by=None):
         asked.append(length)
         return workflow.Ensembles({})
 
@@ -136,8 +137,10 @@ def test_early_warning_tunes_its_base_learners(spark, data, monkeypatch):
                                    grade=8, folds=2, **more)
         assert asked.pop() == want
     folded = search.with_folds(data, COLUMNS, 2)
-    one, model = ensemble.tune_models(folded, COLUMNS, "y", ["decision_tree"], length=3, fold="fold", folds=2)["decision_tree"]
-    assert len(one.grid) == 1 and model.stages[1].getMaxDepth() == list(one.grid[0].values())[0]
+    fits = ensemble.tune_members(folded, COLUMNS, "y", ["decision_tree"], length=3, fold="fold", folds=2)
+    chosen = fits.best["", "decision_tree"]
+    assert [s[-1].setting["maxDepth"] for s in fits.models["", "decision_tree"]] == [3, 4, 5]
+    assert fits.final()["decision_tree"].setting["maxDepth"] == 3 + chosen
 
 
 def test_choose_methods_by_budget_and_distance(spark):

@@ -6,16 +6,15 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from vigilo.operators import balance, cohort, evaluate, features, groups, ordering, peers
+from vigilo.operators import balance, cohort, evaluate, features, ordering, peers
 from vigilo.functions import fixed
 
 C = F.col
 
 
 @pytest.fixture(params=[False, True], ids=["broadcast", "shuffled"])
-def joins(request, monkeypatch, spark):
+def joins(request, spark):
     if request.param:
-        monkeypatch.setattr(groups, "SMALL_ROWS", 0)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield request.param
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

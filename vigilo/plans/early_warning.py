@@ -9,51 +9,74 @@ from pyspark.sql import functions as F
 
 from vigilo.operators import cleaning, features, risk
 from vigilo.plans import ensemble, search, workflow
+from vigilo.plans.blocks import group_column
 from vigilo.plans.control import Control
 from vigilo.sources.tables import stage, staging_path
 
 
 def train_models(
     pool: DataFrame, path: str, *, target: str, key: str, exclude: Sequence[str], control: Control, methods: Sequence[str],
-    grade: int, n: int = 8, folds: int | None = None, length: int | None = None,
-) -> tuple[list[str], list[str], dict[str, list[str]]]:
+    grade: int, n: int = 8, folds: int | None = None, length: int | None = None, by: str | None = None,
+) -> workflow.Ensembles:
     """Search, choose and ensemble on a prepared pool, and save the bundle under ``path``.
 
     Search and base learners are tuned over ``length`` settings, by default as many as the mode has. A high
-    score stands for the smaller class of the training rows. Returns the feature columns, those of
-    them that are binary, and the levels of the text columns.
+    score stands for the smaller class of the training rows. With ``by`` (the grade) every group has a search, methods, weights,
+    stackers and a threshold of its own, all fitted together; its time budget is that of the grade its value names,
+    that of ``grade`` where it names none.
     """
-    levels = features.levels(pool, features.text_columns(pool, [*exclude, key, target]))
-    matrix = features.model_matrix(pool, target=target, keep=[key], exclude=[*exclude, key], known_levels=levels)
+    extra = [by] if by else []
+    levels = features.levels(pool, features.text_columns(pool, [*exclude, key, target, *extra]))
+    matrix = features.model_matrix(pool, target=target, keep=[key, *extra], exclude=[*exclude, key, *extra], known_levels=levels)
     data = stage(features.three_way_split(matrix, [key], mode=control.mode), "matrix")
     data = workflow.smaller_class_target(data, target, "risk")
     train = data.where("split = 'traindata'")
-    columns = features.independent_columns(train, [c for c in matrix.columns if c not in (key, target)])
+    columns = features.independent_columns(train, [c for c in matrix.columns if c not in (key, target, *extra)])
     binary = features.binary_columns(train, columns)
     continuous = [c for c in columns if c not in binary]
     scaler = stage(features.fit_scaler(data, continuous, binary, split="split"), "scaler")
-    scaled = stage(features.standardize(data, scaler, continuous, binary=binary).select(key, "risk", "split", *columns), "scaled")
-    train = workflow.training_rows(scaled, columns, "risk", control, key=key)
+    scaled = stage(features.standardize(data, scaler, continuous, binary=binary).select(key, *extra, "risk", "split", *columns), "scaled")
+    train = workflow.training_rows(scaled, columns, "risk", control, key=key, by=by)
 
     fitted: dict = {}
-    results = stage(search.model_search(scaled, columns, "risk", methods=methods, control=control, train=train, key=key, length=length, folds=folds, fitted=fitted), "search")
-    tested = stage(ensemble.apply_models(scaled.where("split = 'testdata'").select("risk", *columns), fitted), "tested")
-    distances = search.model_dissimilarity(tested, "risk", [f"p_{m}" for m in fitted])
-    top, apart = workflow.choose_methods(results, grade, n=n, distances=distances)
-    built = workflow.construct_models(train, columns, "risk", top=top, dissimilar=apart, folds=folds or control.folds, length=length or control.length)
-    workflow.save_bundle(built, path, scaler=scaler, valid=scaled.where("split = 'validdata'"))
-    return columns, binary, levels
+    results = stage(search.model_search(
+        scaled, columns, "risk", methods=methods, control=control, train=train, key=key, length=length, folds=folds, fitted=fitted, group=by), "search")
+    tested = scaled.where("split = 'testdata'")
+    groups = sorted({g for g, _ in fitted}) if by else [""]
+    top, apart = {}, {}
+    for g in groups:
+        models = {m: f for (k, m), f in fitted.items() if k == g} if by else fitted
+        mine = tested.where(group_column(by) == g).select("risk", *columns)
+        distances = search.model_dissimilarity(stage(ensemble.apply_models(mine, models), "tested"), "risk", [f"p_{m}" for m in models])
+        own = results.where(F.col("group") == g) if by else results
+        top[g], apart[g] = workflow.choose_methods(own, _budget_grade(g, grade), n=n, distances=distances)
+    built = workflow.construct_models(
+        train, columns, "risk", top=top if by else top[""], dissimilar=apart if by else apart[""], folds=folds or control.folds, length=length or control.length, by=by)
+    valid = scaled.where("split = 'validdata'")
+    workflow.save_bundle(
+        built, path, scaler=scaler, valid=valid, columns=columns, binary=binary, levels=levels, label="risk",
+        chosen=workflow.choose_ensembles(built, valid, "risk"))
+    return built
 
 
-def score_pool(
-    cohort: DataFrame, path: str, columns: Sequence[str], binary: Sequence[str], levels: dict[str, list[str]], *, row: str,
-) -> DataFrame:
-    """``row``, ``pred``, ``se``, ``bestThresh`` and ``model`` of the complete rows of a cleaned cohort, by a saved bundle."""
-    built, scaler, valid = workflow.load_bundle(cohort.sparkSession, path)
-    matrix = features.model_matrix(cleaning.complete_cases(cohort), keep=[row], exclude=[row], known_levels=levels)
-    aligned = features.align_columns(matrix, columns, keep=[row])
-    scaled = features.standardize(aligned, scaler, [c for c in columns if c not in binary], binary=list(binary))
-    return workflow.raw_predictions(built, valid, scaled, columns, "risk", key=row).select(row, "pred", "se", "bestThresh", "model")
+def _budget_grade(group: str, otherwise: int) -> int:
+    try:
+        return int(float(group))
+    except ValueError:
+        return otherwise
+
+
+def score_pool(cohort: DataFrame, path: str, *, row: str) -> DataFrame:
+    """``row``, ``pred``, ``se``, ``bestThresh`` and ``model`` of the complete rows of a cleaned cohort, by a saved bundle.
+
+    Everything comes from the bundle: columns and their order, levels, scaling, models and thresholds.
+    """
+    bundle = workflow.load_bundle(cohort.sparkSession, path)
+    group = [bundle.built.group] if bundle.built.group else []
+    matrix = features.model_matrix(cleaning.complete_cases(cohort), keep=[row, *group], exclude=[row, *group], known_levels=bundle.levels)
+    aligned = features.align_columns(matrix, bundle.columns, keep=[row, *group])
+    scaled = features.standardize(aligned, bundle.scaler, [c for c in bundle.columns if c not in bundle.binary], binary=bundle.binary)
+    return workflow.best_scores(bundle.built, bundle.chosen, scaled, [row])
 
 
 def early_warning(
@@ -61,20 +84,18 @@ def early_warning(
     methods: Sequence[str], budget_grade: int, n: int = 8, folds: int | None = None, length: int | None = None,
     run_time: Column | None = None, path: str | None = None,
 ) -> DataFrame:
-    """Export of a cleaned cohort scored by models of a prepared pool, each grade and year on its own.
+    """Export of a cleaned cohort scored by models of a prepared pool, each grade by models and a threshold of its own.
 
-    ``cohort`` holds the columns of ``pool`` but the outcome, and ``WSN``. Rows with missing values get no
-    score and are exported as Missing. The bundle is saved under ``path`` (a new staging folder by default)
-    and scoring reads it back.
+    ``cohort`` holds the columns of ``pool`` but the outcome, and ``WSN``. Rows with missing values, and those of a grade
+    the pool does not hold, get no score and are exported as Missing. The bundle is saved under ``path`` (a new staging folder by
+    default) and scoring reads it back.
     """
     path = path or staging_path(pool.sparkSession, "bundle")
-    columns, binary, levels = train_models(
-        pool, path, target=target, key=key, exclude=exclude, control=control, methods=methods, grade=budget_grade, n=n, folds=folds, length=length)
+    train_models(pool, path, target=target, key=key, exclude=[c for c in exclude if c != grade], control=control, methods=methods, grade=budget_grade, n=n, folds=folds,
+                 length=length, by=grade)
     rows = cohort.withColumn("__row", F.concat_ws("|", year, F.col(key).cast("string")))
-    described = [c for c in pool.columns if c in rows.columns and c not in (*exclude, key, target)]
-    found = score_pool(rows.select("__row", *described), path, columns, binary, levels, row="__row")
-    found = stage(found.drop("model"), "predicted")
-    threshold = found.agg(F.max("bestThresh")).first()[0]
-    scored = stage(rows.join(found.drop("bestThresh"), "__row", "left").drop("__row"), "scored")
-    banded = risk.risk_bands(scored, F.lit(threshold).cast("double"), by=[grade, year])
+    described = [c for c in pool.columns if c in rows.columns and (c == grade or c not in (*exclude, key, target))]
+    found = stage(score_pool(rows.select("__row", *described), path, row="__row").drop("model"), "predicted")
+    scored = stage(rows.join(found, "__row", "left").drop("__row"), "scored")
+    banded = risk.risk_bands(scored, F.col("bestThresh"), by=[grade, year])
     return risk.risk_export(banded, grade=F.col(grade).cast("int"), year=F.col(year), run_time=run_time)

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from functools import partial
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,110 +15,135 @@ from vigilo.operators.evaluate import roc_auc
 from vigilo.operators.features import gram
 from vigilo.operators.groups import table_stats
 from vigilo.operators.ordering import hash_ranks
+from vigilo.plans.batched import Fits, fit_all, known_method
+from vigilo.plans.blocks import Block, pack, totals
 from vigilo.plans.concurrent import together
-from vigilo.plans.methods import SEED, Candidate, classifier, regressors
-from vigilo.plans.search import fit_candidate, tune_candidate, with_folds
-from vigilo.plans.stages import SCORE, PositiveScore
+from vigilo.plans.fitted import SCORE, Fitted, with_scores
+from vigilo.plans.methods import regressors
+from vigilo.plans.search import with_folds
+from vigilo.sources.tables import stage
 
 _SCRATCH = ("raw", "features", "rawPrediction", "probability", "prediction")
 
 
-def apply_models(df: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
+def apply_models(df: DataFrame, models: Mapping[str, Fitted | PipelineModel]) -> DataFrame:
     """Add the score of each model as ``p_<name>``; one narrow pass, no join."""
-    out = df
+    out = with_scores(df, {f"p_{n}": m for n, m in models.items() if isinstance(m, Fitted)})
     for name, model in models.items():
-        out = model.transform(out).withColumnRenamed(SCORE, f"p_{name}").drop(*_SCRATCH)
+        if not isinstance(model, Fitted):
+            out = model.transform(out).withColumnRenamed(SCORE, f"p_{name}").drop(*_SCRATCH)
     return out
 
 
-def tune_models(
-    df: DataFrame, columns: Sequence[str], label: str, methods: Sequence[str], *, length: int, fold: str, folds: int
-) -> dict[str, tuple[Candidate, PipelineModel]]:
-    """Per method the best of ``length`` settings over the given folds, and its fit on all rows."""
-    def one(method: str) -> tuple[Candidate, PipelineModel]:
-        return tune_candidate(dealt, classifier(method, columns, label, length), label, folds=folds, parallelism=1)
-
-    dealt = df.withColumn("fold", F.col(fold))
-    return dict(zip(methods, together(df.sparkSession, [partial(one, m) for m in methods])))
+def tune_members(
+    df: DataFrame, columns: Sequence[str], label: str, methods: Sequence[str], *, fold: str, folds: int, length: int = 1, group: str | None = None, metric: str = "ROC",
+) -> Fits:
+    """All methods fitted for every fold and on all rows, each at the best of ``length`` settings over those folds."""
+    fits = fit_all(df, columns, label, methods, folds=[fold], count=folds, length=length, group=group)
+    if length > 1:
+        fits.tune(df, metric)
+    return fits
 
 
 def fit_models(
     df: DataFrame, columns: Sequence[str], label: str, methods: Sequence[str], *, length: int = 1, folds: int = 10
-) -> dict[str, PipelineModel]:
-    """One model per method. With a ``length`` above 1 each is tuned over its grid by ``folds`` folds first."""
-    tuned = with_folds(df, columns, folds, seed="tune", name="__tune") if length > 1 else df.withColumn("__tune", F.lit(0))
-    found = tune_models(tuned, columns, label, methods, length=length, fold="__tune", folds=folds)
-    return {m: model for m, (_, model) in found.items()}
+) -> dict[str, Fitted]:
+    """One model per method. With a ``length`` above 1 each is tuned over its settings by ``folds`` folds first."""
+    if length > 1:
+        fits = tune_members(stage(with_folds(df, columns, folds, seed="tune", name="__tune"), "folds"), columns, label, methods, fold="__tune", folds=folds, length=length)
+    else:
+        fits = fit_all(df, columns, label, methods, folds=[], count=0)
+    found = fits.final()
+    return {m: found[known_method(m)] for m in methods}
 
 
 def oof_predictions(
-    df: DataFrame, columns: Sequence[str], label: str, methods: Sequence[str], *, key: str | None, fold: str, folds: int,
-    length: int = 1, candidates: Mapping[str, Candidate] | None = None,
+    df: DataFrame, columns: Sequence[str], label: str, methods: Sequence[str], *, key: str | None, fold: str, folds: int, length: int = 1,
 ) -> DataFrame:
     """Score of every row by models that never saw its fold: ``(key, fold, label, p_...)``.
 
-    Synthetic rows have no key; pass ``key=None`` for them. The folds are fitted side by side. With a
-    ``length`` above 1 each method gets its best setting over the same folds (or that of ``candidates``) first.
+    Synthetic rows have no key; pass ``key=None`` for them. With a ``length`` above 1 each method gets its best
+    setting over the same folds first.
     """
-    if candidates is None:
-        candidates = {m: classifier(m, columns, label) for m in methods}
-        if length > 1:
-            tuned = tune_models(df, columns, label, methods, length=length, fold=fold, folds=folds)
-            candidates = {m: found for m, (found, _) in tuned.items()}
+    return held_scores(tune_members(df, columns, label, methods, fold=fold, folds=folds, length=length), df, methods, key=key, fold=fold)
 
-    def one(f: int) -> DataFrame:
-        rest = df.where(F.col(fold) != f)
-        fits = [partial(fit_candidate, rest, candidates[m], label, folds=folds, parallelism=1) for m in methods]
-        models = dict(zip(methods, together(df.sparkSession, fits)))
-        held = apply_models(df.where(F.col(fold) == f), models)
-        return held.select(*([key] if key else []), fold, label, *[f"p_{m}" for m in methods])
 
-    parts = together(df.sparkSession, [partial(one, f) for f in range(folds)])
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def held_scores(fits: Fits, df: DataFrame, methods: Sequence[str], *, key: str | None, fold: str) -> DataFrame:
+    """Held-out scores of fitted members as ``(key, fold, label, p_...)``, with the group if there is one."""
+    held = fits.held_out(df, keep=[*([key] if key else []), fold])
+    group = [fits.group] if fits.group else []
+    return held.select(*([key] if key else []), fold, *group, fits.label, *[F.col(f"p_{known_method(m)}").alias(f"p_{m}") for m in methods])
+
+
+#: Steps of a score when areas are measured for the choice of weights: scores are rounded to one part in so many.
+AREA_STEPS = 1 << 14
 
 
-def greedy_ensemble(oof: DataFrame, label: str, scores: Sequence[str], *, rounds: int = 20) -> DataFrame:
+def greedy_ensemble(
+    oof: DataFrame, label: str, scores: Sequence[str], *, rounds: int = 20, group: str | None = None, allowed: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
     """Weights ``(model, weight, auc)`` by repeatedly adding the model that helps most.
 
-    A model may be added again. All candidates of a round are scored in one job. Stops early when
-    nothing improves. ``auc`` is that of the final ensemble.
+    A model may be added again. Each round is one job that counts, for every candidate of every group, rows of either
+    label per rounded score; the areas come from those counts, ties counting half. A group stops when nothing improves.
+    ``auc`` is that of the final ensemble. With ``group`` the column of that name says whose weights they are, and
+    ``allowed`` may name the scores a group can use.
     """
     scores = list(scores)
-    spark = oof.sparkSession
-    taken: list[str] = []
-    best = -1.0
+    blocks = pack(oof, scores, label, [], group)
+    names = sorted({r["g"] for r in blocks.table.select("g").distinct().collect()})
+    usable = {g: [scores.index(s) for s in (allowed[g] if allowed is not None else scores)] for g in names}
+    taken: dict[str, list[int]] = {g: [] for g in names}
+    best = dict.fromkeys(names, -1.0)
+    open_ = {g for g in names if usable[g]}
     for _ in range(rounds):
-        rows = [
-            F.struct(
-                F.lit(s).alias("model"),
-                (sum((F.col(t) for t in taken), F.col(s)) / F.lit(float(len(taken) + 1))).alias("score"),
-            )
-            for s in scores
-        ]
-        tried = oof.select(label, F.inline(F.array(*rows)))
-        areas = {r["model"]: r["auc"] for r in roc_auc(tried, "score", label, by=["model"]).collect()}
-        pick = max(scores, key=lambda s: (areas.get(s) or -1.0, -scores.index(s)))
-        gained = areas.get(pick) or -1.0
-        if gained <= best:
+        if not open_:
             break
-        best, taken = gained, [*taken, pick]
-    weights = [(s, taken.count(s) / max(1, len(taken)), best) for s in scores]
-    return spark.createDataFrame(weights, "model string, weight double, auc double")
-
-
-def stacked_ensemble(oof: DataFrame, label: str, scores: Sequence[str], *, method: str = "rf") -> PipelineModel:
-    """A forest (``rf``) or boosted trees (``gbm``) over the held-out scores."""
-    if method == "rf":
-        top = RandomForestClassifier(labelCol=label, numTrees=20, seed=SEED)
-    elif method == "gbm":
-        top = GBTClassifier(labelCol=label, maxIter=10, maxDepth=3, seed=SEED)
-    else:
+        plan = {g: (usable[g], list(taken[g])) for g in open_}
+
+        def count(block: Block, plan=plan) -> dict[str, np.ndarray]:
+            if block.group not in plan or block.lane:
+                return {}
+            tried, before = plan[block.group]
+            base = block.x[:, before].sum(axis=1)
+            out = np.zeros((len(tried), 2, AREA_STEPS + 1))
+            for k, j in enumerate(tried):
+                at = np.rint(np.clip((base + block.x[:, j]) / (len(before) + 1), 0, 1) * AREA_STEPS).astype(np.int64)
+                for c in (0, 1):
+                    out[k, c] = np.bincount(at[block.y == c], minlength=AREA_STEPS + 1)
+            return {block.group: out}
+
+        counts = totals(blocks, count)
+        for g in sorted(open_):
+            neg, pos = counts[g][:, 0], counts[g][:, 1]
+            pairs = neg.sum(axis=1) * pos.sum(axis=1)
+            won = (pos * (neg.cumsum(axis=1) - neg / 2)).sum(axis=1)
+            areas = np.where(pairs > 0, won / np.maximum(pairs, 1), -1.0)
+            pick = int(areas.argmax())
+            if areas[pick] <= best[g]:
+                open_ = open_ - {g}
+            else:
+                best[g] = float(areas[pick])
+                taken[g].append(usable[g][pick])
+    blocks.release()
+    weights = [(g, scores[j], taken[g].count(j) / max(1, len(taken[g])), best[g]) for g in names for j in usable[g]]
+    out = oof.sparkSession.createDataFrame(weights, f"{group or 'g'} string, model string, weight double, auc double")
+    return out if group is not None else out.drop("g")
+
+
+def stacked_ensemble(
+    oof: DataFrame, label: str, scores: Sequence[str], *, method: str = "rf", fold: str | None = None, folds: int = 5, length: int = 1
+) -> Fitted:
+    """A forest (``rf``) or boosted trees (``gbm``) over the held-out scores, tuned over ``length`` depths by the folds."""
+    if method not in ("rf", "gbm"):
         raise ValueError(f"unknown stacker {method}")
-    assembler = VectorAssembler(inputCols=list(scores), outputCol="features")
-    return Pipeline(stages=[assembler, top, PositiveScore()]).fit(oof.where(F.col(label).isNotNull()))
+    name = known_method(method)
+    rows = oof if fold or length == 1 else stage(with_folds(oof, list(scores), folds, seed="stack", name="__stack"), "folds")
+    fits = fit_all(rows, list(scores), label, [name], folds=[] if length == 1 else [fold or "__stack"], count=0 if length == 1 else folds, length=length)
+    if length > 1:
+        fits.tune(rows)
+    found = fits.final()
+    return found[name] if found else Fitted(name, "constant", list(scores), {}, {"value": np.array(0.5)})
 
 
 def weighted_score(weights: Mapping[str, float]) -> tuple[Column, Column]:
@@ -134,7 +155,7 @@ def weighted_score(weights: Mapping[str, float]) -> tuple[Column, Column]:
 
 
 def score_cohort(
-    df: DataFrame, models: Mapping[str, PipelineModel], weights: Mapping[str, float], *, threshold: float
+    df: DataFrame, models: Mapping[str, Fitted | PipelineModel], weights: Mapping[str, float], *, threshold: float
 ) -> DataFrame:
     """Score a cohort that has the training columns: ``pred``, ``se`` and ``bestThresh`` per row."""
     used = {m: models[m] for m in models if weights.get(f"p_{m}", 0) > 0}
@@ -201,7 +222,7 @@ def _complete(columns: Sequence[str]) -> Column:
 
 
 def var_importance(
-    df: DataFrame, model: PipelineModel, columns: Sequence[str], label: str, *, key: str
+    df: DataFrame, model: Fitted | PipelineModel, columns: Sequence[str], label: str, *, key: str
 ) -> DataFrame:
     """Loss of area under the curve when one column is taken from another row.
 
@@ -226,54 +247,14 @@ def var_importance(
     return areas.where("column <> ''").select("column", (reference - F.col("auc")).alias("drop"), "auc")
 
 
-def tree_importance(model: PipelineModel, columns: Sequence[str]) -> DataFrame:
-    """Impurity importance of a fitted tree pipeline, in percent."""
+def tree_importance(model: Fitted | PipelineModel, columns: Sequence[str]) -> DataFrame:
+    """Impurity importance of a fitted tree model, in percent."""
     from pyspark.sql import SparkSession
 
-    fitted = next(s for s in model.stages if hasattr(s, "featureImportances"))
-    rows = [(c, float(v) * 100) for c, v in zip(columns, fitted.featureImportances.toArray())]
+    if isinstance(model, Fitted):
+        shares = dict(zip(model.columns, model.feature_gain, strict=True))
+        rows = [(c, float(shares.get(c, 0.0)) * 100) for c in columns]
+    else:
+        found = next(s for s in model.stages if hasattr(s, "featureImportances"))
+        rows = [(c, float(v) * 100) for c, v in zip(columns, found.featureImportances.toArray())]
     return SparkSession.active().createDataFrame(rows, "column string, weight double")
-
-
-def bic_average(
-    df: DataFrame, label: str, groups: Mapping[str, Sequence[str]], *, window: float | None = None
-) -> DataFrame:
-    """Bayesian model averaging of logistic fits over subsets of column groups.
-
-    All subsets by default. With ``window`` (Occam's window, as 20) subsets grow by one group at a time,
-    and only from those whose weight is at least 1/``window`` of the best one of their size; what the
-    window leaves out are supersets of models that the data disfavour by more than that.
-
-    Weights are proportional to exp(-BIC/2). One row per group: probability of inclusion; one row
-    per column: averaged coefficient. ``(term, kind, value)``.
-    """
-    names = list(groups)
-    columns = [c for g in groups.values() for c in g]
-    rows = df.select(label, *columns).dropna("any").persist()
-    n = rows.count()
-    fits = []
-
-    def one(subset: tuple[str, ...]):
-        used = [c for g in subset for c in groups[g]]
-        glm = GeneralizedLinearRegression(family="binomial", labelCol=label, maxIter=15)
-        model = glm.fit(VectorAssembler(inputCols=used, outputCol="features").transform(rows))
-        bic = model.summary.deviance + math.log(n) * (len(used) + 1)
-        return subset, bic, dict(zip(used, model.coefficients.toArray())), model.intercept
-
-    try:
-        parents = [()]
-        while parents:
-            grown = sorted({tuple(g for g in names if g in (*p, new)) for p in parents for new in names if new not in p})
-            level = together(df.sparkSession, [partial(one, subset) for subset in grown])
-            fits += level
-            best = min((f[1] for f in level), default=0.0)
-            parents = [f[0] for f in level if window is None or f[1] - best <= 2 * math.log(window)]
-    finally:
-        rows.unpersist()
-    low = min(b for _, b, _, _ in fits)
-    raw = [math.exp(-(b - low) / 2) for _, b, _, _ in fits]
-    weights = [w / sum(raw) for w in raw]
-    out = [(g, "inclusion", sum(w for w, f in zip(weights, fits) if g in f[0])) for g in names]
-    out += [(c, "coefficient", float(sum(w * f[2].get(c, 0.0) for w, f in zip(weights, fits)))) for c in columns]
-    out.append(("(Intercept)", "coefficient", float(sum(w * f[3] for w, f in zip(weights, fits)))))
-    return df.sparkSession.createDataFrame(out, "term string, kind string, value double")

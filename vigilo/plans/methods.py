@@ -29,7 +29,7 @@ def _assembler(columns: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(columns), outputCol="features")
 
 
-def _spread(low: float, high: float, length: int) -> list[float]:
+def spread_values(low: float, high: float, length: int) -> list[float]:
     """``length`` values between two limits on a log scale."""
     if length <= 1:
         return [low]
@@ -73,17 +73,17 @@ def _logistic(columns, label, length):
 
 def _elastic(columns, label, length):
     e = C.LogisticRegression(labelCol=label, elasticNetParam=0.5, maxIter=25)
-    return _candidate(columns, e, e.regParam, _spread(0.001, 0.1, length))
+    return _candidate(columns, e, e.regParam, spread_values(0.001, 0.1, length))
 
 
 def _ridge(columns, label, length):
     e = C.LogisticRegression(labelCol=label, elasticNetParam=0.0, maxIter=25)
-    return _candidate(columns, e, e.regParam, _spread(0.001, 0.1, length))
+    return _candidate(columns, e, e.regParam, spread_values(0.001, 0.1, length))
 
 
 def _svm(columns, label, length):
     e = C.LinearSVC(labelCol=label, maxIter=20)
-    return _candidate(columns, e, e.regParam, _spread(0.001, 0.1, length), source="rawPrediction")
+    return _candidate(columns, e, e.regParam, spread_values(0.001, 0.1, length), source="rawPrediction")
 
 
 def _bayes(columns, label, length):
@@ -112,7 +112,7 @@ def _partial(columns, label, length):
 def _hinge(columns, label, length):
     e = C.LogisticRegression(labelCol=label, regParam=0.01, elasticNetParam=0.5, maxIter=25)
     before = [HingeBasis(columns, knots=3), HingeAssembler()]
-    return _candidate(columns, e, e.regParam, _spread(0.001, 0.1, length), before=before)
+    return _candidate(columns, e, e.regParam, spread_values(0.001, 0.1, length), before=before)
 
 
 def _discriminant(columns, label, length):
@@ -145,6 +145,9 @@ CLASSIFIERS: dict[str, Callable] = {
     "shrunken_centroid": _centroid,
 }
 
+#: All methods; the radial machine has no pipeline of its own, only the batched fit.
+METHODS = [*CLASSIFIERS, "radial_svm"]
+
 # The method names of a search request and the pipeline that does their work.
 ALIASES = {
     "rf": "random_forest", "ORFlog": "random_forest", "ORFpls": "random_forest",
@@ -153,7 +156,7 @@ ALIASES = {
     "gbm": "boosted_trees",
     "glm": "logistic",
     "glmnet": "elastic_net", "plr": "ridge_logistic",
-    "svmLinear": "linear_svm", "svmRadialCost": "linear_svm",
+    "svmLinear": "linear_svm", "svmRadialCost": "radial_svm",
     "nb": "naive_bayes",
     "pcaNNet": "component_net",
     "pls": "component_logistic", "kernelpls": "component_logistic", "spls": "component_logistic",
@@ -165,8 +168,8 @@ ALIASES = {
 
 
 def candidate_methods(n: int | None = None, *, full: bool = False, seed: int = 0) -> list[str]:
-    """The pipelines that stand for the usual candidate list, or all of them; ``n`` samples."""
-    names = list(CLASSIFIERS) if full else [m for m in CLASSIFIERS if m in set(ALIASES.values()) - {"boosted_trees"}]
+    """The methods that stand for the usual candidate list, or all of them; ``n`` samples."""
+    names = list(METHODS) if full else [m for m in METHODS if m in set(ALIASES.values()) - {"boosted_trees"}]
     return names if n is None else random.Random(seed).sample(names, n)
 
 

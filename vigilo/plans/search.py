@@ -4,21 +4,17 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
-from dataclasses import replace
-from functools import partial
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilo.functions.hashing import unit_hash
 from vigilo.operators.evaluate import roc_auc
-from vigilo.plans.concurrent import together
+from vigilo.plans.batched import fit_all, known_method
+from vigilo.plans.blocks import group_column
 from vigilo.plans.control import Control
-from vigilo.plans.methods import Candidate, classifier
-from vigilo.plans.stages import SCORE
+from vigilo.plans.fitted import long_scores
+from vigilo.sources.tables import stage
 
 RESULT_SCHEMA = "method string, grp string, auc double, elapsedTime double, status string"
 
@@ -31,30 +27,12 @@ def with_folds(
     return df.withColumn(name, F.floor(unit_hash(*parts, str(seed)) * folds).cast("int"))
 
 
-def fit_candidate(
-    train: DataFrame, candidate: Candidate, label: str, *, folds: int, parallelism: int
-) -> PipelineModel:
-    """Tune over the grid by cross-validation, then fit on all rows."""
-    return tune_candidate(train, candidate, label, folds=folds, parallelism=parallelism)[1]
-
-
-def tune_candidate(
-    train: DataFrame, candidate: Candidate, label: str, *, folds: int, parallelism: int
-) -> tuple[Candidate, PipelineModel]:
-    """The candidate with only its best setting over the folds in ``fold``, and its fit on all rows."""
-    if len(candidate.grid) < 2:
-        return candidate, candidate.pipeline.fit(train, candidate.grid[0])
-    tuner = CrossValidator(
-        estimator=candidate.pipeline,
-        estimatorParamMaps=candidate.grid,
-        evaluator=BinaryClassificationEvaluator(rawPredictionCol=SCORE, labelCol=label),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    found = tuner.fit(train)
-    areas = found.avgMetrics
-    return replace(candidate, grid=[candidate.grid[areas.index(max(areas))]]), found.bestModel
+def with_repeated_folds(df: DataFrame, key: str | Sequence[str], folds: int, reps: int) -> tuple[DataFrame, list[str]]:
+    """A fold column for each repetition: ``fold``, then ``fold_2``, ``fold_3``... dealt anew."""
+    names = ["fold", *[f"fold_{r}" for r in range(2, reps + 1)]]
+    for r, name in enumerate(names):
+        df = with_folds(df, key, folds, seed="fold" if not r else f"fold {r + 1}", name=name)
+    return df, names
 
 
 def model_search(
@@ -69,45 +47,56 @@ def model_search(
     split: str = "split",
     length: int | None = None,
     folds: int | None = None,
-    fitted: dict[str, PipelineModel] | None = None,
+    reps: int | None = None,
+    metric: str | None = None,
+    group: str | None = None,
+    fitted: dict | None = None,
 ) -> DataFrame:
     """Area under the curve and time of every method on the training and the test rows.
 
     ``data`` holds key, label, features and split, and is read many times: pass a staged table.
-    ``train`` replaces the training rows, for example by balanced ones. A method that fails
-    becomes a row without a score. The result has two rows per method, which are fitted side by side;
-    ``fitted`` receives the models, for comparing what they get wrong.
+    ``train`` replaces the training rows, for example by balanced ones. All methods are tuned together over the
+    folds, each repetition of them, by the metric of ``control``. A method that is not known becomes a row without a score.
+    ``elapsedTime`` is the time tasks spent on the method and an equal share of the rest. The result has two rows
+    per method, and with ``group`` for each group (column ``group``); ``fitted`` receives the models,
+    then keyed by (group, method).
     """
+    begin = time.monotonic()
     spark = data.sparkSession
-    folds = folds or control.folds
     base = train if train is not None else data.where(F.col(split) == "traindata")
-    base = with_folds(base, [key] if key in base.columns else columns, folds).persist()
-    scored = data.where(F.col(split).isin("traindata", "testdata")).persist()
-
-    def one(method: str) -> list[tuple]:
-        begin = time.monotonic()
+    base, names = with_repeated_folds(base, [key] if key in base.columns else columns, folds or control.folds, reps or control.reps)
+    # Written down: a fold hashed from many columns must not travel through the plans of what reads it.
+    base = stage(base, "folds")
+    status = {}
+    for method in methods:
         try:
-            candidate = classifier(method, columns, label, length or control.length)
-            model = fit_candidate(base, candidate, label, folds=folds, parallelism=2)
-            areas = {
-                r[split]: r["auc"]
-                for r in roc_auc(model.transform(scored), SCORE, label, by=[split]).collect()
-            }
-            status = "ok"
+            status[method] = known_method(method)
+        except KeyError as error:
+            status[method] = error
+    known = {m: name for m, name in status.items() if isinstance(name, str)}
+    rows = []
+    if known:
+        fits = fit_all(base, columns, label, list(known.values()), folds=names, count=folds or control.folds, length=length or control.length, group=group)
+        fits.tune(base, metric or control.metric)
+        scored = data.where(F.col(split).isin("traindata", "testdata"))
+        areas = {}
+        for g in fits.groups:
+            models = {f"p_{m}": model for m, model in fits.final(g).items()}
+            long = long_scores(scored.where(group_column(group) == g), [split, label], models)
+            for r in roc_auc(long, "score", label, by=[split, "model"]).collect():
+                areas[g, r["model"].removeprefix("p_"), r[split]] = r["auc"]
             if fitted is not None:
-                fitted[method] = model
-        except Exception as error:  # noqa: BLE001 - a failing method must not end the search
-            areas, status = {}, f"{type(error).__name__}: {str(error)[:120]}"
-        took = time.monotonic() - begin
-        return [(method, group, areas.get(f"{group}data"), took, status) for group in ("train", "test")]
-
-    try:
-        found = together(spark, [partial(one, m) for m in methods], most=control.parallelism(spark))
-        rows = [row for part in found for row in part]
-    finally:
-        base.unpersist()
-        scored.unpersist()
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
+                fitted.update({m if group is None else (g, m): fits.final(g)[name] for m, name in known.items()})
+        rest = max(time.monotonic() - begin - sum(fits.elapsed.values()), 0.0) / max(1, len(known) * len(fits.groups))
+        for g in fits.groups:
+            for m, name in known.items():
+                took = fits.elapsed.get((g, name), 0.0) + rest
+                rows += [(g, m, part, areas.get((g, name, f"{part}data")), took, "ok") for part in ("train", "test")]
+    for m, error in status.items():
+        if m not in known:
+            rows += [("", m, part, None, 0.0, f"{type(error).__name__}: {error}"[:140]) for part in ("train", "test")]
+    out = spark.createDataFrame(rows, "group string, " + RESULT_SCHEMA)
+    return out if group is not None else out.drop("group")
 
 
 def model_dissimilarity(df: DataFrame, label: str, scores: Sequence[str], *, cut: float = 0.5) -> DataFrame:

@@ -40,6 +40,27 @@ def _linear_sql(columns: Sequence[str], weights: Sequence[float], intercept: flo
     return " + ".join([f"({float(intercept)!r}D)", *terms])
 
 
+def discriminant(n0: float, n1: float, m0: np.ndarray, m1: np.ndarray, pooled: np.ndarray, shrink: float = -1.0, ridge: float = 1e-6) -> tuple[np.ndarray, float]:
+    """Weights and intercept from the class sizes, class means and pooled covariance."""
+    if shrink >= 0:
+        total = n0 + n1
+        centre = (n0 * m0 + n1 * m1) / total
+        var = np.maximum(np.diag(pooled), 1e-12)
+        sd = np.sqrt(var) + np.median(np.sqrt(var))
+        drawn = []
+        for n, m in ((n0, m0), (n1, m1)):
+            size = np.sqrt(1 / n - 1 / total)
+            d = (m - centre) / (size * sd)
+            d = np.sign(d) * np.maximum(np.abs(d) - shrink, 0)
+            drawn.append(centre + size * sd * d)
+        m0, m1 = drawn
+        weights = (m1 - m0) / sd**2
+    else:
+        add = ridge * max(np.trace(pooled) / len(m0), 1e-12)
+        weights = np.linalg.solve(pooled + add * np.eye(len(m0)), m1 - m0)
+    return weights, float(-0.5 * (m0 + m1) @ weights + np.log(n1 / n0))
+
+
 class LinearDiscriminant(Estimator):
     """Two-class discriminant from class means and the pooled covariance.
 
@@ -67,22 +88,7 @@ class LinearDiscriminant(Estimator):
         centre = (n0 * m0 + n1 * m1) / total
         scatter = gram(df, columns, centre=centre) - n0 * np.outer(m0 - centre, m0 - centre) - n1 * np.outer(m1 - centre, m1 - centre)
         pooled = scatter / max(1, total - 2)
-        shrink = self.getOrDefault(self.shrink)
-        if shrink >= 0:
-            var = np.maximum(np.diag(pooled), 1e-12)
-            sd = np.sqrt(var) + np.median(np.sqrt(var))
-            drawn = []
-            for n, m in ((n0, m0), (n1, m1)):
-                size = np.sqrt(1 / n - 1 / total)
-                d = (m - centre) / (size * sd)
-                d = np.sign(d) * np.maximum(np.abs(d) - shrink, 0)
-                drawn.append(centre + size * sd * d)
-            m0, m1 = drawn
-            weights = (m1 - m0) / sd**2
-        else:
-            add = self.getOrDefault(self.ridge) * max(np.trace(pooled) / len(columns), 1e-12)
-            weights = np.linalg.solve(pooled + add * np.eye(len(columns)), m1 - m0)
-        intercept = -0.5 * (m0 + m1) @ weights + np.log(n1 / n0)
+        weights, intercept = discriminant(n0, n1, m0, m1, pooled, self.getOrDefault(self.shrink), self.getOrDefault(self.ridge))
         linear = _linear_sql(columns, weights, intercept)
         return SQLTransformer(statement=f"SELECT *, 1D / (1D + exp(-({linear}))) AS {SCORE} FROM __THIS__")
 
