@@ -156,6 +156,30 @@ def bic_average(spark, d):
     return averaging.bic_average(rows, "y", groups)
 
 
+# Models that split the rows by nothing, one or two conditions; their fits are the shares of each cell.
+_CELLS = [("none", 1, []), ("flagged", 2, ["flagged"]), ("urgent", 2, ["often"]), ("both", 4, ["flagged", "often"])]
+
+
+@query("bic_weights_given", "WITH " + b.FEAT + ", r AS (SELECT y, flagged, CAST(urgent > 2 AS INT) AS often FROM feat), g AS (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS model, {k} AS k, count(*) AS n, sum(y) AS n1 FROM r {'GROUP BY ' + ', '.join(by) if by else ''}" for name, k, by in _CELLS) + f"""),
+v AS (SELECT model, k, sum(n) AS n, -2 * sum(CASE WHEN n1 > 0 THEN n1 * ln(n1 / n) ELSE 0 END + CASE WHEN n1 < n THEN (n - n1) * ln((n - n1) / n) ELSE 0 END) AS deviance
+  FROM g GROUP BY model, k),
+e AS (SELECT model, exp(((SELECT min(deviance + ln(n) * k) FROM v) - deviance - ln(n) * k) / 2) AS w FROM v)
+SELECT model, {b.r("w / (SELECT sum(w) FROM e)")} AS weight FROM e
+""")
+def bic_weights_given(spark, d):
+    """Weights of models whose deviances have a closed form."""
+    rows = b.features(spark, d).select("y", "flagged", (C("urgent") > 2).cast("int").alias("often"))
+    parts = []
+    for name, k, by in _CELLS:
+        cells = rows.groupBy(*by).agg(F.count("*").alias("n"), F.sum("y").alias("n1"))
+        some = lambda c: F.when(c > 0, c * F.log(c / C("n"))).otherwise(0.0)
+        deviance = -2 * F.sum(some(C("n1")) + some(C("n") - C("n1")))
+        parts.append(cells.agg(deviance.alias("deviance"), F.sum("n").alias("n")).select(F.lit(name).alias("model"), F.lit(k).alias("k"), "deviance", "n"))
+    models = stage(parts[0].union(parts[1]).union(parts[2]).union(parts[3]), "deviances")
+    return b.rounded(averaging.bic_weights(models, C("deviance"), C("k"), C("n")).select("model", "weight"))
+
+
 # Scores and products of a logistic predictor with one column and given coefficients, in closed form.
 _FIXED = b.FEAT + """,
 q AS (SELECT urgent AS x, c_nationkey AS g, 1 / (1 + exp(-(CAST(-2.5 AS DOUBLE) + CAST(0.8 AS DOUBLE) * urgent))) AS m, y

@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from vigilo.operators.evaluate import roc_auc
-from vigilo.plans import batched, ensemble, search, workflow
+from vigilo.plans import averaging, batched, ensemble, search, workflow
 from vigilo.plans.blocks import MISSING_GROUP
 from vigilo.plans.fitted import Fitted, fourier_terms, with_scores
 from vigilo.plans.methods import METHODS, classifier
@@ -219,3 +219,35 @@ def test_a_bundle_is_read_back_by_its_path(spark, data, tmp_path):
     unknown = workflow.best_scores(built, chosen, data.withColumn("grade", F.lit("99")), ["id"])
     assert unknown.where("pred is null and bestThresh is null").count() == 900
     assert math.isclose(roc_auc(first.join(data.select("id", "y"), "id"), "pred", "y").first()["auc"], 0.9, abs_tol=0.1)
+
+
+def test_leaps_find_what_all_subsets_find():
+    rng = np.random.default_rng(2)
+    n, m = 400, 9
+    x = rng.normal(size=(n, m)) @ (np.eye(m) + 0.3 * rng.normal(size=(m, m)))
+    y = x[:, 0] - 0.5 * x[:, 3] + 0.2 * x[:, 5] + rng.normal(size=n)
+    rows = np.column_stack([np.ones(n), x, y])
+    products, groups, penalty, slack = rows.T @ rows, [[0], [1, 2], [3], [4], [5, 6], [7], [8]], math.log(n), 6.0
+
+    def value(kept):
+        at = [0, *[1 + c for g in kept for c in groups[g]]]
+        beta = np.linalg.solve(products[np.ix_(at, at)], products[at, -1])
+        return products[-1, -1] - beta @ products[at, -1] + penalty * len(at)
+
+    every = [tuple(g for g in range(7) if mask >> g & 1) for mask in range(1, 128)]
+    whole = value(tuple(range(7))) - penalty * (m + 1)
+    low = min(map(value, every))
+    found, _ = averaging.leaps(products, groups, whole, penalty, slack)
+    assert sorted(found) == sorted(k for k in every if value(k) <= low + slack + 1e-9)
+    wide = rng.normal(size=(2000, 16))
+    rows = np.column_stack([np.ones(2000), wide, wide[:, :4] @ [1, 1, 1, 1] + rng.normal(size=2000)])
+    found, solved = averaging.leaps(rows.T @ rows, [[k] for k in range(16)], 0.0, math.log(2000), 4 * math.log(20))
+    assert solved < 8000 and (0, 1, 2, 3) in found
+
+
+def test_window_keeps_the_weights_that_matter(spark, data):
+    groups = {c: [c] for c in COLUMNS}
+    whole = {(r["term"], r["kind"]): r["value"] for r in averaging.bic_average(data, "y", groups).collect()}
+    kept = {(r["term"], r["kind"]): r["value"] for r in averaging.bic_average(data, "y", groups, window=1000).collect()}
+    assert all(abs(whole[k] - kept[k]) < 0.01 * (1 + abs(whole[k])) for k in whole)
+    assert whole["a", "inclusion"] > 0.99 and averaging.bic_average(data.where("y = 1"), "y", groups).count() == 0

@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from vigilo.operators import cleaning, cohort, evaluate, risk
+from vigilo.operators import cleaning, cohort, evaluate, risk, robust
 from vigilo.plans import workflow
 
 
@@ -50,3 +50,18 @@ def test_target_is_the_smaller_training_class(spark):
     df = spark.createDataFrame([(1, "traindata")] * 8 + [(0, "traindata")] * 3 + [(0, "testdata")] * 9, "y int, split string")
     assert workflow.smaller_class(df.where("split = 'traindata'"), "y") == 0
     assert workflow.smaller_class_target(df, "y").where(F.col("target") != 1 - F.col("y")).count() == 0
+
+
+def test_discipline_of_the_whole_table_and_of_odd_groups(spark):
+    rows = [("a", 0, 0.0), ("a", 2, 1.0), ("a", 3, 5.0), ("a", None, None), ("b", 4, 0.0), (None, 1, 0.0), (None, 2, 0.0), ("c", None, 2.0)]
+    df = spark.createDataFrame(rows, "g string, incCount int, daysRemoved double")
+    grouped = {(r["g"], r["incCount"]): r["discipline"] for r in risk.discipline_band(df, by=["g"]).collect()}
+    assert grouped == {("a", 0): "Low", ("a", 2): "Moderate", ("a", 3): "High", ("a", None): "Low", ("b", 4): "Low", (None, 1): "Low", (None, 2): "Moderate", ("c", None): "Low"}
+    whole = {(r["g"], r["incCount"]): r["discipline"] for r in risk.discipline_band(df).collect()}
+    assert whole[("a", 0)] == "Low" and whole[(None, 1)] == "Moderate" and whole[("b", 4)] == "High"
+
+
+def test_one_cluster_has_no_robust_variance(spark):
+    df = spark.createDataFrame([(float(k), k % 2, 1) for k in range(9)], "x double, y int, g int")
+    out = robust.robust_vcov(df, ["x"], "y", "g", coefficients=[0.1], intercept=0.0).collect()
+    assert len(out) == 4 and all(r["value"] is None for r in out)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilo.functions import fixed, recode
@@ -97,15 +97,15 @@ def discipline_band(
 ) -> DataFrame:
     """Moderate above the group's smallest count or days, High above its second smallest count."""
     by = list(by)
-    seen = df.groupBy(*[F.col(c).alias(f"__b_{c}") for c in by], F.col(count).alias("__c")).agg(F.min(days).alias("__d"))
-    place = F.row_number().over(Window.partitionBy(*(f"__b_{c}" for c in by)).orderBy(F.col("__c").asc_nulls_last()))
-    # Distinct counts of a group, of which the lowest two matter.
-    lows = seen.withColumn("__place", place).groupBy(*[F.col(f"__b_{c}").alias(c) for c in by]).agg(
-        F.min("__c").alias("__count"), F.min("__d").alias("__days"), F.min(F.when(F.col("__place") == 2, F.col("__c"))).alias("__second"))
     if by:
-        wide = join_groups(df, lows, by, "left")
+        # Distinct counts of a group; its second smallest is the least one above the least.
+        seen = df.groupBy(*by, F.col(count).alias("__c")).agg(F.min(days).alias("__d"))
+        low = seen.groupBy(*by).agg(F.min("__c").alias("__count"), F.min("__d").alias("__days"))
+        above = join_groups(seen, low, by).where(F.col("__c") > F.col("__count")).groupBy(*by).agg(F.min("__c").alias("__second"))
+        wide = join_groups(df, join_groups(low, above, by, "left"), by, "left")
     else:
-        wide = df.withColumns(table_stats(lows, {c: F.max(c) for c in ("__count", "__days", "__second")}))
+        low = table_stats(df, {"__count": F.min(count), "__days": F.min(days)})
+        wide = df.withColumns(low | table_stats(df.where(F.col(count) > low["__count"]), {"__second": F.min(count)}))
     more = (F.col(count) > F.col("__count")) | (F.col(days) > F.col("__days"))
     return wide.withColumn(
         name, F.when(F.col(count) > F.col("__second"), "High").when(more, "Moderate").otherwise("Low")

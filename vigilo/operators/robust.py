@@ -27,7 +27,7 @@ def robust_vcov(
     The rows are used twice: for the weighted products of columns and for the score sums of each
     cluster, which are combined before the shuffle. Both end in one number per pair of columns;
     only the final inversion happens on the driver. ``family`` is ``binomial`` (logit) or
-    ``gaussian``.
+    ``gaussian``. With fewer than two clusters, or no more rows than parameters, all values are missing.
     """
     columns = list(columns)
     names = ["(Intercept)", *columns]
@@ -44,7 +44,6 @@ def robust_vcov(
     residual = F.col(label) - mean
     rows = used.withColumns({"__w": weight, "__r": residual})
 
-    bread = np.linalg.inv(gram(rows, columns, weight="__w", intercept=True))
     scale = 1.0 if dispersion is None else dispersion
     scores = rows.groupBy(cluster).agg(
         F.count(F.lit(1)).alias("__n"),
@@ -53,6 +52,9 @@ def robust_vcov(
     )
     sizes = scores.agg(F.count(F.lit(1)).alias("m"), F.sum("__n").alias("n")).first()
     m, n, k = sizes["m"], sizes["n"], len(names)
+    if m < 2 or n <= k + 1:
+        return df.sparkSession.createDataFrame([(a, b, None) for a in names for b in names], "row string, col string, value double")
+    bread = np.linalg.inv(gram(rows, columns, weight="__w", intercept=True))
     correction = (m / (m - 1)) * ((n - 1) / (n - k - 1))
     meat = gram(scores, [f"__u{i}" for i in range(k)])
     unscaled = bread * scale

@@ -235,8 +235,13 @@ def fit_all(
     for g, q in marks.items():
         for m in names:
             if m == "hinge_logistic":
-                knots = [(k, v) for k in range(d) for v in sorted({q[k, (i + 1) * BINS // (KNOTS + 1) - 1] for i in range(KNOTS)})]
-                bases[g, m] = smooth.Basis("hinges", {"at": np.array([k for k, _ in knots]), "knots": np.array([v for _, v in knots])})
+                knots = []
+                for k in range(d):
+                    seen = np.unique(q[k])
+                    # Of a column with two values one line says all.
+                    marks_of = sorted({q[k, (i + 1) * BINS // (KNOTS + 1) - 1] for i in range(KNOTS)}) if len(seen) > 2 else []
+                    knots += [(k, v, side) for v in marks_of for side in (1.0, -1.0)] or [(k, seen[0], 1.0)]
+                bases[g, m] = smooth.Basis("hinges", dict(zip(("at", "knots", "sides"), (np.array(x) for x in zip(*knots, strict=True)), strict=True)))
             elif m in ("logistic", "elastic_net", "ridge_logistic", "linear_svm"):
                 bases[g, m] = smooth.Basis("raw")
             elif m in ("component_net", "component_logistic"):

@@ -19,10 +19,9 @@ def logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def hinge_terms(x: np.ndarray, at: np.ndarray, knots: np.ndarray) -> np.ndarray:
-    """Both sides of every knot of the columns ``at``."""
-    away = x[:, at] - knots
-    return np.concatenate([np.maximum(away, 0), np.maximum(-away, 0)], axis=1)
+def hinge_terms(x: np.ndarray, at: np.ndarray, knots: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """How far the columns ``at`` lie beyond their knots, above (side 1) or below (side -1)."""
+    return np.maximum((x[:, at] - knots) * sides, 0)
 
 
 def fourier_terms(x: np.ndarray, centre: np.ndarray, scale: np.ndarray, directions: np.ndarray, phases: np.ndarray) -> np.ndarray:
@@ -55,7 +54,7 @@ class Fitted:
         return logistic(x @ self.arrays["weights"] + self.arrays["intercept"])
 
     def _hinges(self, x):
-        return logistic(hinge_terms(x, self.arrays["at"], self.arrays["knots"]) @ self.arrays["weights"] + self.arrays["intercept"])
+        return logistic(hinge_terms(x, self.arrays["at"], self.arrays["knots"], self.arrays["sides"]) @ self.arrays["weights"] + self.arrays["intercept"])
 
     def _fourier(self, x):
         a = self.arrays

@@ -32,7 +32,7 @@ class Basis:
     def terms(self, x: np.ndarray) -> np.ndarray:
         a = self.arrays
         if self.kind == "hinges":
-            return hinge_terms(x, a["at"], a["knots"])
+            return hinge_terms(x, a["at"], a["knots"], a["sides"])
         if self.kind == "fourier":
             return fourier_terms(x, a["centre"], a["scale"], a["directions"], a["phases"])
         return x
@@ -114,7 +114,9 @@ def _sparse_steps(fits: Sequence[Fit]) -> None:
                 wanted = new[:, j] - pull[:, j] / diagonal[:, j]
                 wanted = np.sign(wanted) * np.maximum(np.abs(wanted) - least[:, j], 0)
                 move = wanted - new[:, j]
-                pull += curve[:, :, j] * move[:, None]
+                if not move.any():
+                    continue
+                pull += curve[:, j] * move[:, None]
                 new[:, j] = wanted
                 most = max(most, np.abs(move).max())
             if most < 1e-9:
@@ -137,7 +139,7 @@ def _losses(kind: str, z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _shared(block: Block, basis: Basis, fits: Sequence[tuple[int, str, np.ndarray]], masks: np.ndarray) -> np.ndarray:
-    """Per fit its loss, slope and curvature over a block; all fits see the same terms."""
+    """Per fit its loss, slope and the upper half of its curvature over a block; all fits see the same terms."""
     terms = np.column_stack([np.ones(len(block.y)), basis.terms(block.x)])
     m, out = terms.shape[1], []
     z = terms @ np.column_stack([w for _, _, w in fits])
@@ -145,8 +147,7 @@ def _shared(block: Block, basis: Basis, fits: Sequence[tuple[int, str, np.ndarra
     loss, slope, curve = _losses(fits[0][1], z, block.y)
     sums, slopes, curve = (loss * rows).sum(axis=0), terms.T @ (slope * rows), curve * rows
     for k in range(len(fits)):
-        out.append(np.concatenate([[sums[k]], slopes[:, k], (terms.T @ (terms * curve[:, k, None])).ravel()]))
-    assert len(out[0]) == 1 + m + m * m
+        out.append(np.concatenate([[sums[k]], slopes[:, k], (terms.T @ (terms * curve[:, k, None]))[np.triu_indices(m)]]))
     return np.stack(out)
 
 
@@ -157,7 +158,7 @@ def _net(x: np.ndarray, y: np.ndarray, theta: np.ndarray, k: int) -> np.ndarray:
     loss, slope, curve = (a[:, 0] for a in _losses("logistic", z[:, None], y))
     back = outer * hidden * (1 - hidden)
     moves = np.concatenate([(x[:, :, None] * back[:, None, :]).reshape(len(x), k * HIDDEN), back, hidden, np.ones((len(x), 1))], axis=1)
-    return np.concatenate([[loss.sum()], moves.T @ slope, (moves.T @ (moves * curve[:, None])).ravel()])
+    return np.concatenate([[loss.sum()], moves.T @ slope, (moves.T @ (moves * curve[:, None]))[np.triu_indices(moves.shape[1])]])
 
 
 def _projected(block: Block, fits: Sequence[tuple[int, str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]], masks: np.ndarray) -> list[np.ndarray]:
@@ -212,7 +213,9 @@ def solve(blocks: Blocks, work: Mapping[tuple[str, str], tuple[Basis, list[Fit]]
             for at, k in enumerate(found):
                 fit = work[group, method][1][k]
                 flat, size = sums[f"{group}|{method}|{at}"], len(fit.trial)
-                fit.accept(flat[0], flat[1:1 + size], flat[1 + size:].reshape(size, size))
+                half = np.zeros((size, size))
+                half[np.triu_indices(size)] = flat[1 + size:]
+                fit.accept(flat[0], flat[1:1 + size], half + np.triu(half, 1).T)
         _sparse_steps([f for _, fits in work.values() for f in fits if f.l1 and not f.done])
 
 
