@@ -1,4 +1,5 @@
 import math
+import re
 from collections import Counter
 
 import corpus_pipeline
@@ -76,6 +77,22 @@ def test_positions_number_the_words_before(spark):
         at += n
 
 
+def test_no_source_meets_in_one_task(spark):
+    rows = [(k, "w " * (k % 9), None, "hot" if k % 3 else f"s{k % 5}", 0) for k in range(900)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for carry in (False, True):
+            mixed = mixing.mix(documents(spark, rows), "doc_id", "source", "text", entropy=None, most_passes=None, block_rows=50, carry=carry)
+            plan = mixed._jdf.queryExecution().executedPlan().toString()
+            # Rows meet their limits by source and salt, and their windows by source and block.
+            assert len(re.findall(r"Exchange hashpartitioning\(src#\d+, (?:block|salt)#", plan)) >= 2
+            assert len(mixed.collect()) == len(rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_mix_of_odd_tables(spark):
     assert mixing.mix(spark.createDataFrame([], DOCS), "doc_id", "source", "text").count() == 0
     blank = documents(spark, [(1, None, None, None, 0), (1, None, None, None, 0), (None, "", None, "a", 0)])

@@ -12,6 +12,8 @@ from vigilo.sources.tables import stage
 
 #: Bisection steps that one pass over the shares answers, and passes: 45 halvings of the exponent.
 STEPS, PASSES = 5, 9
+#: Parts into which the rows of a source are dealt when they meet its limits.
+SALTS = 64
 #: Decimals of the exponent; weights then come out alike however the sums were added.
 EXPONENT_DECIMALS = 9
 
@@ -97,17 +99,20 @@ def mix(
     before the row in its source's order. Rows without any copy are left out: they are over budget.
 
     Running sums are taken inside a block and over block totals, so a source with a third of all rows is
-    many small windows. Nulls: a null source is a source of its own, a null or empty text has no words; such
+    many small windows. Rows meet the limits of their source by source and salt, then go to their blocks, and
+    carry nothing but numbers on the way; what ``carry`` asks for is joined by row once positions are known. Nulls: a null source is a source of its own, a null or empty text has no words; such
     rows cost nothing and go with every whole pass, and the last pass if it reaches them. Equal keys, and
     repeated rows, are ordered by hash of their text as well and may swap only with identical rows. An empty
     table gives no rows. Without ``carry`` other columns are not read.
     """
     none = F.lit("without a source")
     name = F.col(source).cast("string")
-    rows = stage(docs.select(
+    held = stage(docs.select(
+        F.monotonically_increasing_id().alias("row_id"),
         F.col(key).alias("k"), name.alias("name"), F.coalesce(F.concat(F.lit("s"), name), none).alias("src"), word_count(F.col(text)).alias("n"),
         F.xxhash64(F.lit(seed), F.col(key), F.coalesce(F.col(text), F.lit(""))).alias("h"),
         *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else [])), "mix")
+    rows = held.select("row_id", "k", "name", "src", "n", "h")
     totals = rows.groupBy("src").agg(F.sum("n").alias("tokens"), F.count("*").alias("rows"))
     words = totals.agg(F.sum("tokens")).first()[0] or 0
     spend = float(words if budget is None else budget)
@@ -123,7 +128,9 @@ def mix(
         "src", F.coalesce("whole", F.lit(1).cast("long")).alias("whole"), F.coalesce("rest", F.lit(0).cast("long")).alias("rest"),
         F.ceil(F.col("rows") / block_rows).alias("blocks"))
 
-    dealt = rows.join(limits, "src").withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "h"), F.col("blocks")))
+    salted = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), "h"), F.lit(SALTS)).cast("int")).join(salted, ["src", "salt"])
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "h"), F.col("blocks")))
     blocks = dealt.groupBy("src", "block").agg(F.sum("n").alias("held"))
     before = Window.partitionBy("src").orderBy(F.xxhash64(F.lit(seed), "src", "block"), "block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select("src", "block", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("start"))
@@ -131,9 +138,12 @@ def mix(
     placed = dealt.withColumn("inner", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(starts, ["src", "block"])
     at = F.col("start") + F.col("inner")
     last = (F.col("rest") > 0) & (2 * at + F.col("n") <= 2 * F.col("rest"))
-    return placed.select(
-        F.col("k").alias(key), F.col("name").alias(source), F.col("n").alias("n_tokens"),
-        (F.col("whole") + last.cast("long")).alias("copies"), at.alias("position"), *(["row"] if carry else [])).where("copies > 0")
+    mixed = placed.select(
+        "row_id", F.col("k").alias(key), F.col("name").alias(source), F.col("n").alias("n_tokens"),
+        (F.col("whole") + last.cast("long")).alias("copies"), at.alias("position")).where("copies > 0")
+    if not carry:
+        return mixed.drop("row_id")
+    return mixed.join(held.select("row_id", "row"), "row_id").drop("row_id")
 
 
 def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
