@@ -47,7 +47,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_tidy
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the smallest id, of each group of near copies; rows without an id stay."""
+    """One document, the one of the smallest id, of each group of near copies; rows without an id stay.
+
+    An id is one document: rows that share it stay or go together, whatever their texts.
+    """
     found = minhash_dedup.near_duplicates(docs, "doc_id", "text")
     gone = found.where("not kept and doc_id is not null").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
