@@ -6,6 +6,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,7 +23,9 @@ SENT_TERMS, SENT_BYTES = 1 << 16, 1 << 21
 #: Those bits; their number is fixed.
 BITS = 1 << 20
 #: A shard is closed at so many documents, or so many pairs of terms inside documents, which bounds its summaries.
-SHARD_DOCS, SHARD_PAIRS = 8192, 1 << 28
+SHARD_DOCS, SHARD_PAIRS = 1024, 1 << 25
+#: Lists that a search takes together: few at first, to find a threshold, then more.
+FIRST_LISTS, NEXT_LISTS = 2, 8
 #: Lists whose blocks are summed up together; their tables hold that many rows of all terms at most.
 LISTS = 64
 #: Documents of a block, about.
@@ -31,12 +34,28 @@ BLOCK = 128
 DIRECTIONS = 32
 #: Terms of the items searched in one job, about; they travel with the job.
 ASKED_TERMS = 1 << 16
+#: Shards that one task builds and one file holds, about.
+TOGETHER = 4
+#: Documents that go to Python at a time.
+READ_DOCS = 256
 #: A null id sorts behind all others.
 _NO_ID = np.iinfo(np.int64).max
 #: Bytes of a text that are split into terms at a time.
 PART = 1 << 22
 
 
+@contextmanager
+def _batches_of(spark: SparkSession, rows: int):
+    """So many rows go to Python at a time: a shard is some megabytes, and a default batch would hold all those of a file."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def terms_of(text: bytes) -> Iterator[list[bytes]]:
     """The terms of a text, a part of it at a time; parts end between terms."""
     clean, at = text.translate(_TERM_BYTES), 0
@@ -134,6 +153,7 @@ def _pack_shards(asked: set[bytes] | np.ndarray | None):
                         ids, sizes, lengths, terms, counts, pairs, held, words = [], [], [], [], [], 0, 0, 0
         if ids or held:
             yield row()
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -272,8 +292,8 @@ class Shard:
     def search(self, asked: list[tuple[bytes, int]], best: tuple[np.ndarray, np.ndarray], k: int, tally: Counter | None = None) -> tuple[np.ndarray, np.ndarray]:
         """``best`` (scores and ids, best first) with the documents of this shard that belong among the first ``k``.
 
-        Lists are taken by their largest possible share of a score. Once all lists that are left cannot reach
-        the k-th best score together, no unseen document can. In a list a block is passed over only when
+        Lists are taken by their largest possible share of a score, a few together. Once all lists that are left cannot
+        reach the k-th best score together, no unseen document can. A block is passed over only when
         the product of its summary with the weights stays below that score.
         """
         here = [(self.number[t], w) for t, w in asked if t in self.number and w > 0]
@@ -283,42 +303,40 @@ class Shard:
         for t, w in here:
             weight[t] = w
         here.sort(key=lambda x: (-x[1] * int(self.list_max[x[0]]), x[0]))
-        left = np.cumsum([w * int(self.list_max[t]) for t, w in here][::-1])[::-1]
+        lists = np.array([t for t, _ in here])
+        share = np.array([w * int(self.list_max[t]) for t, w in here])
+        left = np.append(np.cumsum(share[::-1])[::-1], 0)
         seen = np.zeros(len(self.ids), dtype=bool)
         least = int(best[0][k - 1]) if len(best[0]) >= k else 1
-        for rest, (t, _) in zip(left, here, strict=True):
-            if rest < least:
-                break
-            blocks = np.arange(self.list_ptr[t], self.list_ptr[t + 1])
-            begin, end = self.sum_ptr[blocks], self.sum_ptr[blocks + 1]
+        at = 0
+        while at < len(lists) and left[at] >= least:
+            now = lists[at:at + (NEXT_LISTS if at else FIRST_LISTS)]
+            at += len(now)
+            blocks = _ranges(self.list_ptr[now], self.list_ptr[now + 1] - self.list_ptr[now])
+            begin, size = self.sum_ptr[blocks], self.sum_ptr[blocks + 1] - self.sum_ptr[blocks]
+            # A block of one document is its own summary: its bound is its score, which is worked out below.
             bound = np.full(len(blocks), np.iinfo(np.int64).max)
-            wide = end > begin
-            if wide.any():
-                part = slice(begin[wide][0], end[wide][-1])
-                bound[wide] = np.add.reduceat(weight[self.sum_at[part]] * self.sum_max[part], begin[wide] - begin[wide][0])
-            order = np.argsort(-bound, kind="stable")
-            done = 0
-            while done < len(order):
-                # Single documents first, all at once: their bound is their score. Then a few blocks at a time.
-                now = order[done:done + max(int((bound == np.iinfo(np.int64).max).sum()), 4)]
-                now = now[bound[now] >= least]
-                if not len(now):
-                    break
-                done += len(now)
-                first, size = self.block_ptr[blocks[now]], self.block_ptr[blocks[now] + 1] - self.block_ptr[blocks[now]]
-                docs = self.block_docs[_ranges(first, size)].astype(np.int64)
-                docs = docs[~seen[docs]]
-                if len(docs):
-                    seen[docs] = True
-                    found = self.scores(docs, weight)
-                    fine = found >= least
-                    all_scores, all_ids = np.concatenate([best[0], found[fine]]), np.concatenate([best[1], self.ids[docs[fine]]])
-                    top = np.lexsort((all_ids, -all_scores))[:k]
-                    best = all_scores[top], all_ids[top]
-                    least = int(best[0][k - 1]) if len(best[0]) >= k else 1
+            wide = np.flatnonzero(size)
+            if len(wide):
+                entry = _ranges(begin[wide], size[wide])
+                bound[wide] = np.add.reduceat(weight[self.sum_at[entry]] * self.sum_max[entry], np.cumsum(size[wide]) - size[wide])
+            kept = blocks[bound >= least]
             if tally is not None:
-                tally["blocks"] += len(order)
-                tally["read"] += done
+                tally["blocks"] += len(blocks)
+                tally["read"] += len(kept)
+            if not len(kept):
+                continue
+            fresh = np.zeros(len(seen), dtype=bool)
+            fresh[self.block_docs[_ranges(self.block_ptr[kept], self.block_ptr[kept + 1] - self.block_ptr[kept])]] = True
+            docs = np.flatnonzero(fresh & ~seen)
+            if len(docs):
+                seen[docs] = True
+                found = self.scores(docs, weight)
+                fine = np.flatnonzero(found >= least)
+                all_scores, all_ids = np.concatenate([best[0], found[fine]]), np.concatenate([best[1], self.ids[docs[fine]]])
+                top = np.lexsort((all_ids, -all_scores))[:k]
+                best = all_scores[top], all_ids[top]
+                least = int(best[0][k - 1]) if len(best[0]) >= k else 1
         if tally is not None:
             tally["docs"] += int(seen.sum())
         return best
@@ -339,9 +357,10 @@ def build_index(docs: DataFrame, key: str, text: str, asked: set[bytes] | np.nda
     one place. Without ``asked`` all terms are indexed; with it (see :func:`asked_filter`) those that may be asked for. Lengths and totals count all terms always.
     """
     base = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    shards = stage(base.mapInArrow(_pack_shards(asked), _SHARD), "shards")
-    total = shards.agg(F.sum("docs"), F.sum("words")).first()
-    held, words = int(total[0] or 0), int(total[1] or 0)
+    with _batches_of(docs.sparkSession, READ_DOCS):
+        shards = stage(base.mapInArrow(_pack_shards(asked), _SHARD), "shards")
+    total = shards.agg(F.sum("docs"), F.sum("words"), F.count("*")).first()
+    held, words, parts = int(total[0] or 0), int(total[1] or 0), max(1, -(-total[2] // TOGETHER))
     frequency = shards.select(F.explode(F.arrays_zip("terms", "df")).alias("x")).groupBy(F.col("x.terms").alias("term")).agg(F.sum("x.df").alias("df"))
 
     def build(batches):
@@ -352,8 +371,12 @@ def build_index(docs: DataFrame, key: str, text: str, asked: set[bytes] | np.nda
             if len(arrays[0]):
                 shard = Shard.build(terms, *arrays, held, words)
                 yield pa.RecordBatch.from_arrays([pa.array([terms], pa.list_(pa.binary())), pa.array([shard.pack()], pa.binary())], names=["terms", "shard"])
+            del arrays
+            pa.default_memory_pool().release_unused()
 
-    return stage(shards.mapInArrow(build, "terms array<binary>, shard binary"), "index"), frequency, held, words
+    with _batches_of(docs.sparkSession, 1):
+        index = stage(shards.repartition(parts).mapInArrow(build, "terms array<binary>, shard binary"), "index")
+    return index, frequency, held, words
 
 
 def search_index(index: DataFrame, weighted: DataFrame, k: int) -> DataFrame:
@@ -380,12 +403,15 @@ def search_index(index: DataFrame, weighted: DataFrame, k: int) -> DataFrame:
                 shard = Shard.unpack(row["terms"], row["shard"])
                 for item, asked in items.items():
                     best[item] = shard.search(asked, best[item], k)
+                del shard, row
+                pa.default_memory_pool().release_unused()
             for item, (score, ids) in best.items():
                 if len(ids):
                     yield pa.RecordBatch.from_arrays([
                         pa.array([item] * len(ids), pa.int64()), pa.array([None if x == _NO_ID else int(x) for x in ids], pa.int64()), pa.array(score, pa.int64())], names=["item", "doc", "score"])
 
-        out = out.unionByName(index.mapInArrow(run, "item long, doc long, score long"))
+        with _batches_of(spark, 1):
+            out = out.unionByName(stage(index.mapInArrow(run, "item long, doc long, score long"), "found"))
     return out
 
 
