@@ -6,13 +6,12 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigilo.llm.common import table, text_bytes
+from vigilo.llm.common import batches_of, table, text_bytes
 from vigilo.llm.units import planes, squeeze, unit_rows, unplanes, unsqueeze
 from vigilo.sources.tables import stage
 
@@ -23,7 +22,7 @@ SENT_TERMS, SENT_BYTES = 1 << 16, 1 << 21
 #: Those bits; their number is fixed.
 BITS = 1 << 20
 #: A shard is closed at so many documents, or so many pairs of terms inside documents, which bounds its summaries.
-SHARD_DOCS, SHARD_PAIRS = 1024, 1 << 25
+SHARD_DOCS, SHARD_PAIRS = 512, 1 << 24
 #: Lists that a search takes together: few at first, to find a threshold, then more.
 FIRST_LISTS, NEXT_LISTS = 2, 8
 #: Lists whose blocks are summed up together; their tables hold that many rows of all terms at most.
@@ -35,27 +34,15 @@ DIRECTIONS = 32
 #: Terms of the items searched in one job, about; they travel with the job.
 ASKED_TERMS = 1 << 16
 #: Shards that one task builds and one file holds, about.
-TOGETHER = 4
+TOGETHER = 8
 #: Documents that go to Python at a time.
-READ_DOCS = 256
+READ_DOCS = 64
 #: A null id sorts behind all others.
 _NO_ID = np.iinfo(np.int64).max
 #: Bytes of a text that are split into terms at a time.
 PART = 1 << 22
 
 
-@contextmanager
-def _batches_of(spark: SparkSession, rows: int):
-    """So many rows go to Python at a time: a shard is some megabytes, and a default batch would hold all those of a file."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def terms_of(text: bytes) -> Iterator[list[bytes]]:
     """The terms of a text, a part of it at a time; parts end between terms."""
     clean, at = text.translate(_TERM_BYTES), 0
@@ -357,7 +344,7 @@ def build_index(docs: DataFrame, key: str, text: str, asked: set[bytes] | np.nda
     one place. Without ``asked`` all terms are indexed; with it (see :func:`asked_filter`) those that may be asked for. Lengths and totals count all terms always.
     """
     base = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    with _batches_of(docs.sparkSession, READ_DOCS):
+    with batches_of(docs.sparkSession, READ_DOCS):
         shards = stage(base.mapInArrow(_pack_shards(asked), _SHARD), "shards")
     total = shards.agg(F.sum("docs"), F.sum("words"), F.count("*")).first()
     held, words, parts = int(total[0] or 0), int(total[1] or 0), max(1, -(-total[2] // TOGETHER))
@@ -374,7 +361,7 @@ def build_index(docs: DataFrame, key: str, text: str, asked: set[bytes] | np.nda
             del arrays
             pa.default_memory_pool().release_unused()
 
-    with _batches_of(docs.sparkSession, 1):
+    with batches_of(docs.sparkSession, 1):
         index = stage(shards.repartition(parts).mapInArrow(build, "terms array<binary>, shard binary"), "index")
     return index, frequency, held, words
 
@@ -410,7 +397,7 @@ def search_index(index: DataFrame, weighted: DataFrame, k: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([
                         pa.array([item] * len(ids), pa.int64()), pa.array([None if x == _NO_ID else int(x) for x in ids], pa.int64()), pa.array(score, pa.int64())], names=["item", "doc", "score"])
 
-        with _batches_of(spark, 1):
+        with batches_of(spark, 1):
             out = out.unionByName(stage(index.mapInArrow(run, "item long, doc long, score long"), "found"))
     return out
 
