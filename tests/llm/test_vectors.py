@@ -103,6 +103,58 @@ def test_search_recall_and_order(spark):
     assert hits / total >= 0.95
 
 
+def brute_nearest(points, q, k):
+    """``points``: id to vector; ties by id."""
+    ids = np.array(sorted(i for i in points if i != q))
+    apart = np.array([points[i] for i in ids]) - points[q]
+    dist = np.sqrt(np.einsum("nd,nd->n", apart, apart))
+    order = np.lexsort((ids, dist))[:k]
+    return [(int(i), float(d)) for i, d in zip(ids[order], dist[order], strict=True)]
+
+
+def found_by(spark, points, asked, k=10):
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in points.items()], "vec_id long, embedding array<double>")
+    index = hnsw.build_index(df, "vec_id", "embedding", k + 1)
+    by = {}
+    for r in hnsw.nearest(df.where(asked), index, "vec_id", "embedding", k).orderBy("query_id", "rank").collect():
+        by.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    return by
+
+
+def recall(points, by, k=10):
+    return np.mean([len({i for i, _ in brute_nearest(points, q, k)} & {i for i, _ in found}) / k for q, found in by.items()])
+
+
+def test_near_copies_in_several_shards(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "SHARD", 512)
+    monkeypatch.setattr(hnsw, "QUERIES", 64)
+    rng = np.random.default_rng(11)
+    for spread in (1e-4, 1e-7):
+        base = rng.standard_normal((10, 24))
+        points = {g * 200 + j: base[g] * (1 + g) + rng.standard_normal(24) * spread for g in range(10) for j in range(200)}
+        by = found_by(spark, points, "vec_id % 10 = 0")
+        assert len(by) == 200 and all(len(v) == 10 for v in by.values())
+        assert recall(points, by) >= 0.95
+
+
+def test_ties_across_the_cut_go_to_smaller_ids(spark):
+    # Unit vectors around the origin's neighbour: 40 points at exactly the same distance of the query.
+    points = {1000: np.full(40, 4.0)}
+    for k in range(40):
+        v = np.full(40, 4.0)
+        v[k] += 2.0
+        points[900 - 7 * k] = v
+    by = found_by(spark, points, "vec_id = 1000")
+    assert by[1000] == brute_nearest(points, 1000, 10) and {d for _, d in by[1000]} == {2.0}
+
+
+def test_query_far_longer_than_a_shard(spark):
+    rng = np.random.default_rng(2)
+    points = {k: rng.standard_normal(8) for k in range(50)} | {99: rng.standard_normal(8) * 1e30}
+    by = found_by(spark, points, "vec_id = 99")
+    assert len(by[99]) == 10
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], ROWS)
     assert embedding_dedup.near_duplicates(none, "vec_id", "embedding", "label").count() == 0

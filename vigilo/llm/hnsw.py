@@ -6,12 +6,15 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigilo.llm.common import table
+from vigilo.llm.common import batches_of, table
+from vigilo.llm.units import unit_rows
 from vigilo.llm.vectors import matrix, rows_with_vectors
 from vigilo.sources.tables import stage
 
-#: Vectors in a shard, and queries that one task searches together.
+#: Vectors in a shard, and queries that are searched together.
 SHARD, QUERIES = 4096, 512
+#: Tasks that shards are dealt to: some for each shard, so that few meet in one, and so many at most.
+TASKS_A_SHARD, MOST_TASKS = 4, 100_000
 #: Neighbours kept above the lowest layer (twice as many on it), and beams for building and searching.
 LINKS, BUILD_BEAM, SEARCH_BEAM = 16, 96, 192
 _WAVE = 256
@@ -28,7 +31,6 @@ class Graph:
 
     def __init__(self, x: np.ndarray, links: list[np.ndarray], entry: int):
         self.x, self.links, self.entry = x, links, entry
-        self.sq = np.einsum("nd,nd->n", x, x)
 
     @classmethod
     def build(cls, x: np.ndarray, seed: int = 0) -> Graph:
@@ -65,7 +67,10 @@ class Graph:
         ids, dist = np.take_along_axis(ids, near, 1), np.take_along_axis(dist, near, 1)
         alive = np.isfinite(dist)
         v = self.x[np.maximum(ids, 0)]
-        between = self.sq[ids][:, :, None] + self.sq[ids][:, None, :] - 2 * (v @ v.transpose(0, 2, 1))
+        # Relative to the nearest candidate: squares of near copies would lose what tells them apart.
+        v -= v[:, :1].copy()
+        sq = np.einsum("nmd,nmd->nm", v, v)
+        between = sq[:, :, None] + sq[:, None, :] - 2 * (v @ v.transpose(0, 2, 1))
         taken = np.zeros(ids.shape, dtype=bool)
         count = np.zeros(len(ids), dtype=int)
         for k in range(width):
@@ -104,9 +109,10 @@ class Graph:
             flat[rows[r]] = self._choose(both[r], far, most)
 
     def distances(self, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Squared distances of each query to its own row of ids."""
-        dots = np.matmul(self.x[ids], q[:, :, None])[:, :, 0]
-        return np.maximum(self.sq[ids] - 2 * dots + np.einsum("nd,nd->n", q, q)[:, None], 0)
+        """Squared distances of each query to its own row of ids, from differences."""
+        apart = self.x[ids]
+        apart -= q[:, None, :]
+        return np.einsum("nmd,nmd->nm", apart, apart)
 
     def beam(self, q: np.ndarray, start: np.ndarray, layer: int, width: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``width`` nearest rows found for each query, nearest first (-1 and inf where fewer)."""
@@ -157,14 +163,14 @@ class Graph:
         return self.beam(q, start, 0, width)[0]
 
 
-def _scaled(x: np.ndarray) -> np.ndarray:
-    """Vectors by a common factor, in single precision unless their lengths are too far apart for it.
+def _scaled(x: np.ndarray, by: float) -> np.ndarray:
+    """Vectors by a common factor, those of a query so far out that squares would overflow drawn in along their direction."""
+    x = x / by
+    return x / np.maximum(np.abs(x).max(axis=1, keepdims=True, initial=0) / 1e150, 1)
 
-    Distances that are returned come from the original vectors in any case.
-    """
-    x = x / np.abs(x).max()
-    length = np.linalg.norm(x, axis=1)
-    return x.astype(np.float32) if length.min() > 1e-9 * length.max() else x
+
+def _tasks(shards: int) -> int:
+    return min(max(1, TASKS_A_SHARD * shards), MOST_TASKS)
 
 
 _INDEX = "grp int, shard long, n int, dim int, layers int, entry int, vectors binary, links binary, ids array<array<bigint>>"
@@ -183,13 +189,15 @@ def build_index(vectors: DataFrame, key: str, vector: str, keep: int) -> DataFra
     points = stage(points, "points")
     shards = points.groupBy("grp").agg(F.ceil(F.count("*") / SHARD).alias("shards"))
     dealt = points.join(shards, "grp").select("grp", F.pmod(F.xxhash64("vec"), F.col("shards")).alias("shard"), "vec", "ids")
+    # Building is costly and its input small: with a set number of tasks, adaptive execution does not put shards together.
+    dealt = dealt.repartition(_tasks(int(shards.agg(F.sum("shards")).first()[0] or 0)), "grp", "shard")
 
     def build(part):
         import pyarrow as pa
 
         part = part.combine_chunks()
         x = matrix(part.column("vec").chunk(0))
-        graph = Graph.build(_scaled(x))
+        graph = Graph.build(_scaled(x, np.abs(x).max()))
         return pa.table({
             "grp": part.column("grp").slice(0, 1), "shard": part.column("shard").slice(0, 1), "n": pa.array([len(x)], pa.int32()),
             "dim": pa.array([x.shape[1]], pa.int32()), "layers": pa.array([len(graph.links)], pa.int32()), "entry": pa.array([graph.entry], pa.int32()),
@@ -207,15 +215,16 @@ def read_graph(row: dict) -> tuple[Graph, np.ndarray]:
         size = n * LINKS * (1 if layer else 2)
         links.append(np.frombuffer(row["links"], np.int32, size, 4 * at).reshape(n, -1))
         at += size
-    return Graph(_scaled(x), links, row["entry"]), x
+    return Graph(_scaled(x, np.abs(x).max()), links, row["entry"]), x
 
 
 def nearest(queries: DataFrame, index: DataFrame, key: str, vector: str, k: int = 10) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` (Euclidean distance) of the k nearest found.
 
-    Blocks of ``QUERIES`` queries meet every shard; a task loads one shard's graph, searches its block and
-    returns at most k + 1 rows a query, which a ranking per query merges. Scores come from the original
-    vectors in double precision, ties go to the smaller id, and a query never finds its own id.
+    Blocks of ``QUERIES`` queries go to every shard. A task holds the graph of one shard and reads the blocks one after the
+    other, so a graph is moved once and queries of any number fit. Each block returns at most k rows a query, which a ranking per query
+    merges. Distances are double precision throughout, scores those of the original vectors. All points as
+    near as the last one taken are kept until ids break the tie; a query never finds its own id.
 
     Nulls: queries that are null, empty, zero or hold null or non-finite components, or whose id is null,
     get no row; nor do queries of a length that no candidate has. Repeated queries count once.
@@ -225,28 +234,36 @@ def nearest(queries: DataFrame, index: DataFrame, key: str, vector: str, k: int
     cuts = asked.groupBy("grp").agg(F.ceil(F.count("*") / QUERIES).alias("cuts"))
     dealt = asked.join(cuts, "grp").withColumn("cut", F.pmod(F.xxhash64("id"), F.col("cuts")))
     packs = dealt.groupBy("grp", "cut").agg(F.collect_list(F.struct("id", "vec")).alias("asked"))
-    # A pair is one shard and one block of queries of the same length.
-    pairs = index.join(packs, "grp")
+    # The row of a shard lies in front of the blocks that search it.
+    sent = packs.join(index.select("grp", "shard"), "grp")
+    rows = index.withColumn("cut", F.lit(-1).cast("long")).unionByName(sent, allowMissingColumns=True)
+    rows = rows.repartition(_tasks(index.count()), "grp", "shard").sortWithinPartitions("grp", "shard", "cut")
 
-    def search(part):
+    def search(batches):
         import pyarrow as pa
 
-        row = part.to_pylist()[0]
-        graph, x = read_graph(row)
-        q = np.array([a["vec"] for a in row["asked"]], dtype=np.float64)
-        found = graph.search((q / np.abs(x).max()).astype(graph.x.dtype), max(SEARCH_BEAM, 2 * k))
-        out = ([], [], [])
-        for a, own, cand in zip(row["asked"], q, found, strict=True):
-            cand = cand[cand >= 0]
-            dist = np.sqrt(np.einsum("nd,nd->n", x[cand] - own, x[cand] - own))
-            near = [(d, i) for c, d in zip(cand[np.argsort(dist)[:k + 1]], np.sort(dist)[:k + 1], strict=True) for i in row["ids"][c] if i != a["id"]]
-            for d, i in sorted(near)[:k]:
-                out[0].append(a["id"])
-                out[1].append(i)
-                out[2].append(float(d))
-        return pa.table({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
-
-    found = pairs.groupBy("grp", "shard", "cut").applyInArrow(search, "query_id long, vec_id long, score double")
+        graph = x = ids = None
+        for row in unit_rows(batches):
+            if row["cut"] < 0:
+                (graph, x), ids = read_graph(row), row["ids"]
+                continue
+            q = np.array([a["vec"] for a in row["asked"]], dtype=np.float64)
+            found = graph.search(_scaled(q, np.abs(x).max()), max(SEARCH_BEAM, 2 * k))
+            out = ([], [], [])
+            for a, own, cand in zip(row["asked"], q, found, strict=True):
+                cand = cand[cand >= 0]
+                dist = np.sqrt(np.einsum("nd,nd->n", x[cand] - own, x[cand] - own))
+                # One more than k, as one may be the query itself, and all that are as near as that one.
+                last = np.partition(dist, k)[k] if len(dist) > k else np.inf
+                near = sorted((d, i) for c, d in zip(cand, dist, strict=True) if d <= last for i in ids[c] if i != a["id"])
+                for d, i in near[:k]:
+                    out[0].append(a["id"])
+                    out[1].append(i)
+                    out[2].append(float(d))
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "score"])
+
+    with batches_of(index.sparkSession, 1):
+        found = stage(rows.mapInArrow(search, "query_id long, vec_id long, score double"), "nearest")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
