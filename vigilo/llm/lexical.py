@@ -162,6 +162,9 @@ class Shard:
 
     NAMES = ("ids", "ptr", "at", "impact", "list_ptr", "list_max", "block_ptr", "block_docs", "sum_ptr", "sum_at", "sum_max")
     KINDS = dict.fromkeys(NAMES, np.int64) | {"at": np.int32, "impact": np.int32, "block_docs": np.int32, "sum_at": np.int32, "sum_max": np.int32}
+    #: Arrays that rise along a row, list or summary, and those of impacts.
+    RISING = ("ptr", "at", "list_ptr", "block_ptr", "sum_ptr", "sum_at")
+    IMPACTS = ("impact", "sum_max")
 
     def __init__(self, terms: list[bytes], arrays: dict[str, np.ndarray]):
         self.terms, self.number = terms, {t: k for k, t in enumerate(terms)}
@@ -258,16 +261,32 @@ class Shard:
         return docs_of[order], np.repeat(begin, pieces) + inner * block
 
     def pack(self) -> bytes:
-        blobs = [planes(np.ascontiguousarray(getattr(self, n), dtype=self.KINDS[n])) if len(getattr(self, n)) else b"" for n in self.NAMES]
-        return squeeze(b"".join(len(b).to_bytes(8, "little") for b in blobs), *blobs)
+        """The arrays, each compressed by itself: rising numbers as steps, impacts as places among the shard's distinct impacts."""
+        values = np.unique(self.impact)
+        parts = [squeeze(planes(values) if len(values) else b"")]
+        for name, kind in self.KINDS.items():
+            numbers = np.ascontiguousarray(getattr(self, name), dtype=kind)
+            if name in self.RISING:
+                numbers = np.diff(numbers, prepend=numbers.dtype.type(0))
+            elif name in self.IMPACTS:
+                numbers = np.searchsorted(values, numbers).astype(kind)
+            parts.append(squeeze(planes(numbers) if len(numbers) else b""))
+        return b"".join([*(len(p).to_bytes(8, "little") for p in parts), *parts])
 
     @classmethod
     def unpack(cls, terms: list[bytes], blob: bytes) -> Shard:
-        data, arrays = unsqueeze(blob), {}
-        at = 8 * len(cls.NAMES)
-        for k, name in enumerate(cls.NAMES):
-            size = int.from_bytes(data[8 * k:8 * k + 8], "little")
-            arrays[name] = unplanes(data[at:at + size], cls.KINDS[name]) if size else np.empty(0, dtype=cls.KINDS[name])
+        whole, arrays, values = memoryview(blob), {}, None
+        at = 8 * (len(cls.KINDS) + 1)
+        for k, (name, kind) in enumerate([("", np.int32), *cls.KINDS.items()]):
+            size = int.from_bytes(whole[8 * k:8 * k + 8], "little")
+            data = unsqueeze(whole[at:at + size])
+            numbers = unplanes(data, kind) if data else np.empty(0, dtype=kind)
+            if not name:
+                values = numbers
+            elif name in cls.RISING:
+                arrays[name] = np.cumsum(numbers, dtype=kind)
+            else:
+                arrays[name] = values[numbers] if name in cls.IMPACTS else numbers
             at += size
         return cls(terms, arrays)
 
