@@ -79,3 +79,21 @@ def test_up_and_downsample_are_exact(spark):
 def test_move_class(spark):
     df = spark.createDataFrame([(2,), (3,)], "m int")
     assert [r["class"] for r in balance.move_class(df, "m").orderBy("m").collect()] == ["NoMove", "Move"]
+
+
+def test_a_vector_is_sent_to_the_cells_it_can_reach_only(spark, monkeypatch):
+    from vigilo.operators import nearest
+
+    rng = np.random.default_rng(11)
+    points = sorted({tuple(p) for p in rng.random((800, 2))})
+    sizes, real = {}, nearest.stage
+
+    def counted(df, label):
+        out = real(df, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(nearest, "stage", counted)
+    check_nearest(spark, points, 4, cell_rows=20)
+    # 40 cells: the balls of four neighbours reach a few each.
+    assert sizes["sent"] < 3 * len(points)
