@@ -9,7 +9,7 @@ from vigilo.functions import recode, schoolyear
 from vigilo.operators import cleaning, cohort, features, peers
 from vigilo.plans import workflow
 from vigilo.sources import tables
-from vigilo.sources.tables import load
+from vigilo.sources.tables import load, row_parts
 
 C = F.col
 QUERIES = {}
@@ -280,9 +280,10 @@ SELECT CAST(year(o_orderdate) AS INT) AS year, o_custkey AS STUDENT_KEY, count(D
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2
 """)
 def mobility_counts(spark, d):
-    moves = load(spark, d, "lineitem").join(load(spark, d, "orders"), C("l_orderkey") == C("o_orderkey")).select(
-        F.year("o_orderdate").alias("year"), C("o_custkey").alias("STUDENT_KEY"), "l_suppkey", "l_partkey"
-    )
+    lines, orders = load(spark, d, "lineitem"), load(spark, d, "orders")
+    n = row_parts(lines)  # the join's tasks hold a set number of rows, as each counts its own places before the shuffle
+    joined = lines.repartition(n, "l_orderkey").join(orders.repartition(n, "o_orderkey"), C("l_orderkey") == C("o_orderkey"))
+    moves = joined.select(F.year("o_orderdate").alias("year"), C("o_custkey").alias("STUDENT_KEY"), "l_suppkey", "l_partkey")
     return cohort.mobility_counts(moves, ["year", "STUDENT_KEY"], district="l_suppkey", school="l_partkey")
 
 

@@ -65,3 +65,13 @@ def test_one_cluster_has_no_robust_variance(spark):
     df = spark.createDataFrame([(float(k), k % 2, 1) for k in range(9)], "x double, y int, g int")
     out = robust.robust_vcov(df, ["x"], "y", "g", coefficients=[0.1], intercept=0.0).collect()
     assert len(out) == 4 and all(r["value"] is None for r in out)
+
+
+def test_mobility_counts_in_one_grouping(spark):
+    """Each place is counted in the pass that reads the enrolments; missing places and keys stay apart from the sets' own gaps."""
+    rows = [(k, d, s) for k in (1, 2, None) for d in ("a", "b", None) for s in (7, None) for _ in range(2)] + [(3, None, None)]
+    df = spark.createDataFrame(rows, "k int, d string, s int")
+    out = cohort.mobility_counts(df, ["k"], district="d", school="s")
+    assert sorted(map(tuple, out.collect()), key=str) == [(1, 2, 1, 12), (2, 2, 1, 12), (3, 0, 0, 1), (None, 2, 1, 12)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2

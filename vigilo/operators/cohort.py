@@ -95,15 +95,16 @@ def mobility_counts(
 ) -> DataFrame:
     """Distinct districts, distinct schools and enrolments per key.
 
-    Enrolments are counted per district and school before the distinct counts, which then read that much
-    smaller table.
+    Enrolments are counted once per district and once per school of a key, in one pass and combined before
+    they are shuffled by key and place; each key then adds up its places.
     """
-    per_place = enrolments.groupBy(*key, F.col(district).alias("__d"), F.col(school).alias("__s")).agg(
-        F.count(F.lit(1)).alias("__n"))
+    places = enrolments.select(*key, F.col(district).alias("__d"), F.col(school).alias("__s"))
+    per_place = places.groupingSets([[*key, "__d"], [*key, "__s"]], *key, "__d", "__s").agg(
+        (F.grouping("__s") == 1).alias("__district"), F.count(F.lit(1)).alias("__n"))
     return per_place.groupBy(*key).agg(
-        F.count_distinct("__d").alias("DISTRICT_COUNT"),
-        F.count_distinct("__s").alias("SCHOOL_COUNT"),
-        F.sum("__n").alias("ENROLLMENTS_COUNT"),
+        F.count(F.when(F.col("__district"), F.col("__d"))).alias("DISTRICT_COUNT"),
+        F.count(F.when(~F.col("__district"), F.col("__s"))).alias("SCHOOL_COUNT"),
+        F.sum(F.when(F.col("__district"), F.col("__n"))).alias("ENROLLMENTS_COUNT"),
     )
 
 

@@ -53,6 +53,11 @@ def table_columns(table: DataFrame) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+def row_parts(table: DataFrame, rows: int = 500_000) -> int:
+    """Partitions of at most about ``rows`` rows of a stored table, whose files tell its number of rows."""
+    return max(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-table.count() // rows))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``, else one inside the warehouse.
 
