@@ -78,3 +78,27 @@ def test_group_stats_join_by_key(spark):
     assert {(r["g"], r["n"]) for r in out.collect()} == {(0, 4), (1, 3), (2, 3)}
     with pytest.raises(Exception):
         with_group_stats(df, ["missing"], {"n": F.count(F.lit(1))}).count()
+
+
+def test_group_tables_do_not_move_the_rows(spark):
+    df = spark.range(5000).select("id", (C("id") % 3).alias("g"))
+    plan = with_group_stats(df, ["g"], {"n": F.count(F.lit(1))})._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_row_numbers_shuffle_the_rows_once(spark):
+    df = spark.range(5000).select((C("id") * 7919 % 5000).alias("k"), (C("id") % 3).alias("g"))
+    out = ordering.row_numbers(df, "k", "r", by=["g"])
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    got = {g: sorted((r["k"], r["r"]) for r in out.where(C("g") == g).collect()) for g in (0, 1, 2)}
+    assert all([r for _, r in x] == list(range(1, len(x) + 1)) for x in got.values()) and sum(map(len, got.values())) == 5000
+
+
+def test_row_numbers_of_missing_and_of_very_near_keys(spark):
+    big = 2**60  # as doubles these keys are one; the middle one fills a third of the rows
+    rows = [(big + i, 0) for i in range(3)] + [(big + 1, i) for i in range(100)] + [(i, i) for i in range(190)] + [(None, i) for i in range(7)]
+    got = sorted(((r["n"], r["key"]) for r in ordering.row_numbers(spark.createDataFrame(rows, "key long, v int"), "key", "n").collect()), key=lambda x: x[0])
+    keys = [None] * 7 + sorted(k for k, _ in rows if k is not None)
+    assert got == [(i + 1, k) for i, k in enumerate(keys)]
+    odd = spark.createDataFrame([(float("nan"),), (None,), (2.0,), (1.0,), (None,)], "key double")
+    assert [r["key"] for r in ordering.row_numbers(odd, "key", "n").orderBy("n").limit(4).collect()] == [None, None, 1.0, 2.0]

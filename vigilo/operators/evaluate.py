@@ -150,11 +150,16 @@ def ecdf_rank(df: DataFrame, columns: dict[str, str], *, by: Sequence[str] = ())
         table = found.groupBy(*[F.col(f"__b_{c}").alias(c) for c in by]).agg(
             *[F.array_sort(F.collect_list(F.when(F.col("column") == c, step))).alias(f"__s_{c}") for c in columns]
         )
-        below = lambda c: F.filter(f"__s_{c}", lambda s: s["start"] <= F.col(c).cast("double"))
-        ranked = join_groups(df, table, by, "left").withColumns(
-            {name: F.when(F.col(c).isNotNull(), F.try_element_at(below(c), F.lit(-1))["rank"]) for c, name in columns.items()}
+        parts = {f"__{x}_{c}": F.col(f"__s_{c}.{field}") for c in columns for x, field in (("s", "start"), ("r", "rank"))}
+        steps = stage(table.select(*by, *[v.alias(k) for k, v in parts.items()]), "steps")
+        ranked = join_groups(df, steps, by, "left").withColumns({f"__at_{c}": F.lit(0) for c in columns})
+        for width in (64, 32, 16, 8, 4, 2, 1):  # halving finds how many of the at most 101 steps begin at or below the value
+            reached = lambda c: F.get(f"__s_{c}", F.col(f"__at_{c}") + (width - 1)) <= F.col(c).cast("double")
+            ranked = ranked.withColumns({f"__at_{c}": F.col(f"__at_{c}") + F.when(reached(c), width).otherwise(0) for c in columns})
+        ranked = ranked.withColumns(
+            {name: F.when(F.col(c).isNotNull(), F.get(f"__r_{c}", F.col(f"__at_{c}") - 1)) for c, name in columns.items()}
         )
-        return ranked.drop(*[f"__s_{c}" for c in columns])
+        return ranked.drop(*[f"__{x}_{c}" for c in columns for x in ("s", "r", "at")])
     found = found.collect()
     out = df
     for column, name in columns.items():

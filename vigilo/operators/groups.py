@@ -1,4 +1,9 @@
-"""Adding group statistics to rows without moving the rows."""
+"""Adding group statistics to rows without moving the rows.
+
+Tables of groups are written down before they join: Spark then knows their bytes when it plans the join and
+broadcasts them if they are few. Of an aggregate it assumes the size of its input, and would shuffle the rows
+by a handful of groups first.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigilo.sources.tables import stage
+
 
 def table_stats(df: DataFrame, stats: dict[str, Column]) -> dict[str, Column]:
     """Aggregates of the whole table as constants.
@@ -34,10 +41,10 @@ def join_groups(df: DataFrame, table: DataFrame, by: Sequence[str], how: str = "
 def with_group_stats(df: DataFrame, by: Sequence[str], stats: dict[str, Column]) -> DataFrame:
     """Add aggregates of the row's group; without ``by`` of the whole table.
 
-    Table-wide values enter as constants. Group values join on their keys (adaptive execution
-    broadcasts them when their measured bytes are few); a missing group value is a group of its own.
+    Table-wide values enter as constants. Group values are written down and join on their keys; a missing
+    group value is a group of its own.
     """
     if not by:
         return df.withColumns(table_stats(df, stats))
     table = df.groupBy(*by).agg(*[c.alias(n) for n, c in stats.items()])
-    return join_groups(df, table, by, "left")
+    return join_groups(df, stage(table, "groups"), by, "left")

@@ -7,6 +7,7 @@ buckets, of which there are only as many as buckets.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -106,16 +107,36 @@ def value_counts(df: DataFrame, value: str, *, by: Sequence[str] = ()) -> DataFr
 def row_numbers(df: DataFrame, key: str, name: str, *, by: Sequence[str] = ()) -> DataFrame:
     """1-based position in ascending order of a numeric ``key`` within ``by``.
 
-    Rows of equal keys follow each other in the order of a hash of the whole row. They are counted by
-    key and part of that hash, so a key with a large share of the rows is numbered in many parts.
+    Rows of equal keys follow each other in the order of a hash of the whole row; missing keys come first, NaN last.
+    Rows are shuffled once, by group and bucket of the key, and numbered there; a bucket's first number comes
+    from the small table of bucket sizes. A key that fills several buckets has places of its own, one for each
+    part of the hash, and so have missing keys.
     """
-    by = list(by)
-    hashed = df.withColumn("__tie", F.xxhash64(*df.columns)).withColumn("__part", F.pmod("__tie", F.lit(bucket_count(df))))
-    counts = hashed.groupBy(*by, key, "__part").agg(F.count(F.lit(1)).alias("__n"))
-    upto = prefix_sums(with_value_buckets(counts, key), [key, "__part"], {"__n": "__upto"}, by=by)
-    starts = upto.select(*by, key, "__part", (F.col("__upto") - F.col("__n")).alias("__start"))
-    own = F.row_number().over(Window.partitionBy(*by, key, "__part").orderBy("__tie"))
-    return join_groups(hashed.withColumn("__own", own), starts, [*by, key, "__part"]).select(
+    by, n = list(by), bucket_count(df)
+    value = F.col(key)
+    missing = value.isNull() | F.isnan(value.cast("double"))
+    gaps, cuts = df.agg(
+        F.count_if(missing), F.percentile_approx(F.when(~missing, value), [i / n for i in range(1, n)], 4 * n)
+    ).first()
+    hot = sorted(v for v, seen in Counter(cuts or []).items() if seen > 1)
+    tie = F.xxhash64(*df.columns)
+    part = F.pmod(tie, F.lit(n))
+    inner = sorted({float(c) for c in cuts or []})
+    bucket = Bucketizer(splits=[-float("inf"), *(inner or [0.0]), float("inf")], inputCol="__key", outputCol=_BUCKET, handleInvalid="keep")
+    side = sum((F.when(value > h, 2).when(value == h, 1).otherwise(0) for h in hot), F.when(F.isnan(value.cast("double")), 1).otherwise(0))
+    spread = F.lit(False)
+    if hot:
+        spread = spread | F.coalesce(value.isin(hot), F.lit(False))
+    if gaps:
+        spread = spread | missing
+    placed = bucket.transform(df.withColumn("__key", value.cast("double"))).drop("__key").withColumns(
+        {"__side": side, "__part": F.when(spread, part).otherwise(0)})
+    place = [_BUCKET, "__side", "__part"]
+    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy(*by, *place).agg(F.count(F.lit(1)).alias("__n")).select(
+        *by, *place, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    own = F.row_number().over(Window.partitionBy(*by, *place).orderBy(key, part, tie))
+    return join_groups(placed.withColumn("__own", own), stage(starts, "starts"), [*by, *place]).select(
         *df.columns, (F.col("__start") + F.col("__own")).alias(name))
 
 

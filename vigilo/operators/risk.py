@@ -11,6 +11,7 @@ from vigilo.functions import fixed, recode
 from vigilo.operators.evaluate import ecdf_rank
 from vigilo.operators.groups import join_groups, table_stats, with_group_stats
 from vigilo.operators.ordering import median_exceeds, row_numbers
+from vigilo.sources.tables import stage
 
 
 def risk_interval(df: DataFrame, pred: str, se: str, *, by: Sequence[str] = ()) -> DataFrame:
@@ -102,7 +103,7 @@ def discipline_band(
         seen = df.groupBy(*by, F.col(count).alias("__c")).agg(F.min(days).alias("__d"))
         low = seen.groupBy(*by).agg(F.min("__c").alias("__count"), F.min("__d").alias("__days"))
         above = join_groups(seen, low, by).where(F.col("__c") > F.col("__count")).groupBy(*by).agg(F.min("__c").alias("__second"))
-        wide = join_groups(df, join_groups(low, above, by, "left"), by, "left")
+        wide = join_groups(df, stage(join_groups(low, above, by, "left"), "groups"), by, "left")
     else:
         low = table_stats(df, {"__count": F.min(count), "__days": F.min(days)})
         wide = df.withColumns(low | table_stats(df.where(F.col(count) > low["__count"]), {"__second": F.min(count)}))
@@ -120,7 +121,8 @@ def risk_bands(
     out = assessment_band(out, by=by)
     out = attendance_band(out)
     out = mobility_band(out, given="mobility_flag" if "mobility_flag" in out.columns else None)
-    out = discipline_band(out, by=by)
+    # The ranks' counts read the bands' columns again, and one generated method for bands and ranks would be too long to be compiled.
+    out = stage(discipline_band(out, by=by), "bands")
     return ecdf_rank(out, {"MATH_SS": "mathrank", "READ_SS": "readrank", "ATT_RATE": "attrank"}, by=by)
 
 
