@@ -151,3 +151,34 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], DOCS)
     assert minhash_dedup.near_duplicates(none, "doc_id", "text").count() == 0
     assert suffix_dedup.remove_repeats(none, "doc_id", "text").count() == 0
+
+
+def test_small_staged_rows_are_few_files_however_many_shuffle_partitions(spark, monkeypatch):
+    from vigilo.llm import common
+
+    files = {}
+
+    def counting(df, label):
+        files.setdefault(label, []).append(len((out := staged(df, label)).inputFiles()))
+        return out
+
+    staged = common.stage
+    monkeypatch.setattr(common, "stage", counting)
+    monkeypatch.setattr(minhash_dedup, "stage", counting)
+    rng = random.Random(11)
+    texts = [prose(rng, 40) for _ in range(60)]
+    rows = [(1000 * c + k, f"{t} {prose(rng, 2)}", "en", "s0", 0) for k, t in enumerate(texts) for c in range(4)]
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(documents(spark, rows), "doc_id", "text").collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == brute_components(rows)
+    assert len(set(got.values())) == 60
+    most = 2 * spark.sparkContext.defaultParallelism
+    assert {"points", "buckets", "pairs", "links", "edges"} <= set(files)
+    assert all(n <= most for label in ("points", "buckets", "pairs", "links", "edges") for n in files[label])

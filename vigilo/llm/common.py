@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilo.sources.tables import stage
+from vigilo.sources.tables import packed, stage
 
 EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 
@@ -70,11 +70,12 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
 
     Alternating large and small stars: every round hangs the larger neighbours of a node, then the
     smaller ones, on its smallest neighbour. Each round is written to the shared folder, so its
-    lineage is short and survives lost executors. Links of one batch are contracted beforehand.
+    lineage is short and survives lost executors; its files are as many as the links need. Links of one
+    batch are contracted beforehand. ``links`` are counted first, so they should be staged.
     """
     pairs = links.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-    edges = stage(pairs.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v"))
-                  .mapInArrow(_contract, "u long, v long").distinct(), "edges")
+    edges = pairs.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v"))
+    edges = stage(packed(edges.mapInArrow(_contract, "u long, v long").distinct(), pairs.count()), "edges")
     mark = None
     while True:
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
@@ -88,7 +89,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         met = large.join(low, "u")
         small = met.select("u", F.col("m").alias("v")).union(
             met.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
-        edges = stage(small, "edges")
+        edges = stage(packed(small, now[0]), "edges")
 
 
 def text_bytes(column) -> list[bytes]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vigilo.llm.common import components, table, text_bytes
 from vigilo.llm.shingles import WordHasher, mix
-from vigilo.sources.tables import stage
+from vigilo.sources.tables import packed, stage
 
 WORDS = 5
 #: Samples in bands of rows: at a similarity of 0.75 two sets share no band once in 200,000.
@@ -21,6 +21,8 @@ SAMPLES, SKETCH_BITS = 512, 4096
 LEAST_ESTIMATE = 0.67
 #: Members of a bucket that one tile compares.
 TILE = 2048
+#: Points (sketch and bands) and pairs (with both texts) of one task.
+TASK_POINTS, TASK_PAIRS = 20_000, 2_000
 
 _RNG = np.random.default_rng(7)
 _MULTIPLIERS = _RNG.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -105,10 +107,10 @@ def _confirm(batches):
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links among ``pairs`` (a, b); ``texts`` has id and text of every member."""
+    """Links among ``pairs`` (a, b), which should be staged; ``texts`` has id and text of every member."""
     left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
     both = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
-    return both.select("a", "b", "left", "right").mapInArrow(_confirm, "a long, b long")
+    return packed(both.select("a", "b", "left", "right"), pairs.count(), TASK_PAIRS).mapInArrow(_confirm, "a long, b long")
 
 
 def _sketched(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -207,22 +209,24 @@ def near_duplicates(docs: DataFrame, key: str, text: str) -> DataFrame:
     prepared = stage(base.mapInArrow(_prepare, _PREPARED), "signatures")
     reps = prepared.where("same is not null and id is not null").groupBy("same").agg(
         F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    reps = stage(reps, "points")
+    rows = prepared.count()
+    reps = stage(packed(reps, rows, TASK_POINTS), "points")
     placed = reps.select("id", F.explode("bands").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    members = stage(placed.join(shared, "bucket").select("bucket", "id", "first"), "buckets")
+    members = stage(packed(placed.join(shared, "bucket").select("bucket", "id", "first"), BANDS * rows), "buckets")
+    many = members.count()
     some = members.select("id").distinct()
     texts = stage(base.where("id is not null").join(some, "id"), "texts")
     sketches = reps.select("id", "sketch", "bands").join(some, "id", "left_semi")
 
     first = members.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    tested = stage(_sketched(first, sketches), "pairs")
+    tested = stage(packed(_sketched(first, sketches), many), "pairs")
     links = stage(confirmed(tested, texts), "links")
     members = members.select("bucket", "id")
     reach = components(links, "a", "b")
     best_only = True
     while True:
-        pairs = stage(_open_pairs(members, reach, sketches, best_only, tested), "pairs")
+        pairs = stage(packed(_open_pairs(members, reach, sketches, best_only, tested), many), "pairs")
         found = stage(confirmed(pairs, texts), "links")
         joined = not found.isEmpty()
         if joined:

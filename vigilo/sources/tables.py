@@ -58,6 +58,15 @@ def row_parts(table: DataFrame, rows: int = 500_000) -> int:
     return max(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-table.count() // rows))
 
 
+def packed(df: DataFrame, rows: int, each: int = 500_000) -> DataFrame:
+    """``df`` in partitions of about ``each`` of its ``rows`` rows, two a core at least, and no more than it has.
+
+    For small rows that are staged: each partition becomes a file, and where Hadoop has no native library every
+    file on a local disk starts two processes from the executor, which weigh as much as itself while they start.
+    """
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // each)))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``, else one inside the warehouse.
 
