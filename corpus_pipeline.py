@@ -79,7 +79,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of the bytes they decode to."""
     ranks = bpe.rank_file(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    coded = bpe.decode(bpe.encode(docs, "doc_id", "text", ranks, public_tokenizers.PATTERN), "doc_id", "ids", ranks)
+    coded = bpe.encode_and_decode(docs, "doc_id", "text", ranks, public_tokenizers.PATTERN)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

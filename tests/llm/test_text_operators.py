@@ -215,3 +215,47 @@ def test_swaps_are_closed():
     groups = toxicity.IDENTITY_TERMS
     every = {t for g in groups for t in g}
     assert toxicity.swapped(every, groups) == every and toxicity.swapped({"stone"}, groups) == {"stone"}
+
+
+def test_the_border_check_agrees_with_merging_by_definition():
+    rng = random.Random(12)
+    # Ranks in any order, so that a merge can make a pair of a lower rank, and that some tokens never come out.
+    words = {bytes(rng.choice(b"ab") for _ in range(rng.randint(2, 6))) for _ in range(40)}
+    tokens = [b"a", b"b", *sorted(words)]
+    for _ in range(30):
+        rng.shuffle(tokens)
+        ranks = {t: k for k, t in enumerate(tokens)}
+        coder = bpe.PrefixBpe(ranks)
+        for a in range(len(tokens)):
+            for b in range(len(tokens)):
+                assert coder.may_follow(a, b) == (coder.merged(tokens[a] + tokens[b]) == [a, b])
+    coder = bpe.PrefixBpe(bpe.read_ranks(RANKS))
+    coder.merged = None  # Pairs are judged without merging both together.
+    assert isinstance(coder.may_follow(300, 400), bool)
+
+
+def test_pieces_keep_the_last_tokens_of_what_they_share():
+    coder = bpe.PrefixBpe(bpe.read_ranks(RANKS))
+    made, extend = [], coder.extend
+
+    def counting(piece, last):
+        made.append(len(piece) + 1 - max(len(last), 1))
+        return extend(piece, last)
+
+    coder.extend = counting
+    words = [f"sharedbeginning{k:03d}" for k in range(200)] + ["", "é", "è"]
+    offsets, flat = bpe._Pieces(coder).ids([words[:50], [], words[50:]])
+    assert sum(made) < 200 * 4 + 30
+    plain = bpe.PrefixBpe(coder.ranks)
+    assert flat.tolist() == [i for w in words for i in plain.merged(w.encode())]
+    assert offsets[0] == 0 and offsets[1] == offsets[2] and offsets[3] == len(flat)
+
+
+def test_encoding_and_decoding_share_one_python_worker(spark):
+    docs = documents(spark)
+    plan = bpe.digests(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    one = bpe.encode_and_decode(docs, "doc_id", "text", RANKS, public_tokenizers.PATTERN)
+    two = bpe.decode(bpe.encode(docs, "doc_id", "text", RANKS, public_tokenizers.PATTERN), "doc_id", "ids", RANKS)
+    assert one.schema == two.schema
+    assert Counter(map(str, one.collect())) == Counter(map(str, two.collect()))
