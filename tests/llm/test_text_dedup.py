@@ -147,6 +147,23 @@ def test_columns_sort_all_suffixes():
     assert found == sorted(found) and len(found) == sum(len(s) + 1 for s in strings)
 
 
+def test_only_suffixes_with_a_window_are_sorted_and_only_as_far_as_it_reaches(monkeypatch):
+    rng = random.Random(4)
+    shared = [bytes(rng.choice(b"abc") for _ in range(80)) for _ in range(20)]
+    strings = list({s[k:80 - m] for s in shared for k in range(0, 30, 7) for m in range(0, 30 - k, 5)})
+    strings += [bytes(rng.choice(b"a\x00\xf4") for _ in range(80)) for _ in range(20)] + [b"a" * 50, b"a" * 51, b"\x00" * 60, b"x" * 49]
+    ids = np.array(rng.sample(range(1000), len(strings)))
+    sorted_rows, argsort = [], np.argsort
+    monkeypatch.setattr(suffix_dedup.np, "argsort", lambda x, **k: sorted_rows.append(len(x)) or argsort(x, **k))
+    got = suffix_dedup.smallest_ids(strings, ids)
+    low = {}
+    for s, i in zip(strings, ids.tolist()):
+        for k in range(len(s) - 49):
+            low[s[k:k + 50]] = min(i, low.get(s[k:k + 50], i))
+    assert [g.tolist() for g in got] == [[low[s[k:k + 50]] for k in range(len(s) - 49)] for s in strings]
+    assert sum(sorted_rows) <= 25 * sum(len(s) - 49 for s in strings)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOCS)
     assert minhash_dedup.near_duplicates(none, "doc_id", "text").count() == 0

@@ -6,7 +6,7 @@ windows that follow each other with the same one form a run. Equal windows have
 cut to the windows in question, to a bucket chosen by the minimizer, where all strings of the bucket are
 sorted together. A frequent minimizer's runs are halved and dealt by their surroundings, frequent surroundings
 window by window; whatever decides is inside the window, so equal windows always meet. Each round of a bucket
-prepends one symbol to every string and updates the order of all suffixes.
+prepends two symbols and updates the order of all suffixes that hold a whole window, as far as a window reaches.
 """
 
 from __future__ import annotations
@@ -256,20 +256,27 @@ def _emit_segments(buckets: int):
     return run
 
 
-def sorted_suffixes(buf: np.ndarray, ends: np.ndarray, rounds: int) -> np.ndarray:
-    """Starts of all suffixes of a collection in order, built column by column from the right.
+def sorted_suffixes(buf: np.ndarray, ends: np.ndarray, rounds: int, least: int = 0) -> np.ndarray:
+    """Starts of the suffixes of ``least`` symbols or more, in the order of their first ``rounds`` symbols, built column by column from the right.
 
     ``buf`` holds every string followed by ``_END``, which no UTF-8 text contains, and one in front;
-    ``ends`` are the places of the marks. The symbols before the suffixes, in order, are the transform of
-    the collection so far. A round inserts the next symbol of each string: the stable order of the
-    transform by symbol places all suffixes that are one symbol longer, below them the empty ones.
+    ``ends`` are the places of the marks. A round brings the suffixes into the stable order of the next two
+    columns to the left, so they are in order from there on; a suffix that ends comes before one that goes on.
+    Suffixes that are equal so far stay in the order of their strings. Shorter suffixes are not needed for it.
     """
-    at = ends
-    for _ in range(rounds):
-        transform = buf[at - 1]
-        order = np.argsort(transform, kind="stable")
-        order = order[:len(order) - np.count_nonzero(transform == _END)]
-        at = np.concatenate([ends, at[order] - 1])
+    code = buf + np.uint8(1)  # The mark becomes the smallest symbol.
+    pairs = code.astype(np.uint16) << np.uint16(8)
+    pairs[:-1] |= np.where(code[:-1] > 0, code[1:], np.uint8(0))
+    at = np.arange(1, int(ends[-1]) + 1, dtype=ends.dtype) if len(ends) else ends
+    left = np.repeat(ends, np.diff(ends, prepend=0)) - at
+    at, left = at[left >= least], left[left >= least]
+    for column in range((rounds - 1) // 2 * 2, -1, -2):
+        if column + 1 < least:
+            order = np.argsort(pairs[at + column], kind="stable")
+        else:
+            order = np.argsort(np.where(column < left, pairs[np.minimum(at + column, len(buf) - 1)], 0).astype(np.uint16), kind="stable")
+            left = left[order]
+        at = at[order]
     return at
 
 
@@ -281,10 +288,8 @@ def smallest_ids(strings: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
     ends = np.cumsum(size + 1)
     if len(raw) < 1 << 31:
         ends = ends.astype(np.int32)
-    at = sorted_suffixes(buf, ends, int(size.max()))
+    at = sorted_suffixes(buf, ends, WINDOW, WINDOW)
     owner = np.repeat(np.arange(len(strings)), size + 1)[at - 1]
-    full = ends[owner] - at >= WINDOW
-    at, owner = at[full], owner[full]
     # Common prefixes of neighbours, as far as they matter: do both begin with the same 50 bytes?
     words = np.lib.stride_tricks.as_strided(buf[:8].view(np.uint64), (len(buf) - 7,), (1,))
     same = np.ones(max(len(at) - 1, 0), dtype=bool)
