@@ -151,3 +151,11 @@ def test_labels_of_the_held_out_fold_are_not_used(spark):
     docs = documents(spark, [(k, "same words everywhere", None, None, 0) for k in range(1000)])
     weights = toxicity.fit(docs, "doc_id", "text", marks, "doc_id", "toxic", ~held_out("doc_id", 4))
     assert weights[toxicity.BIAS] < -3
+
+
+def test_the_last_stage_holds_one_python_worker_a_task(spark):
+    import corpus_pipeline
+
+    coded = corpus_pipeline.encode(spark, spark.createDataFrame([(1, "a b")], "doc_id long, text string"), "")
+    assert coded._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert coded.columns == ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
