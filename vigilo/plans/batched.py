@@ -18,16 +18,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
-from vigilo.operators.evaluate import best_threshold, roc_auc
+from vigilo.operators.evaluate import best_threshold
 from vigilo.plans import smooth, trees
 from vigilo.plans.blocks import Block, Blocks, group_column, pack, totals
 from vigilo.plans.concurrent import together
-from vigilo.plans.fitted import Fitted, long_batch, numbers
+from vigilo.plans.fitted import Fitted, larger, long_batch, numbers, score_settings
 from vigilo.plans.methods import ALIASES, SEED, spread_values
 from vigilo.plans.stages import discriminant
 
 #: Bins of a column for trees, knots of a column for hinges, and random features of the radial machine.
 BINS, KNOTS, FEATURES = 32, 3, 128
+#: Rows that are scored at a time, and ranges of scores that are ordered apart.
+SCORED_ROWS, RANGES = 1 << 15, 8
 #: Rounds of boosted trees, and trees of a forest and of a bag.
 ROUNDS, TREES, BAGS = 10, 20, 15
 
@@ -108,6 +110,9 @@ class Fits:
         """Of a batch, per repetition: its number, the folds, and a score for each row and (method, setting)."""
         models, best, count, reps = self.models, self.best, self.count, len(self.folds)
         columns = [f"__x{k}" for k in range(len(self.columns))]
+        asked: dict[str, list[tuple[int, int | None]]] = {}
+        for k, (m, s) in enumerate(names):
+            asked.setdefault(m, []).append((k, s))
 
         def held(batch):
             x, group = numbers(batch, columns), np.array(batch.column("__g").to_pylist(), dtype=object)
@@ -118,11 +123,13 @@ class Fits:
                     for f in range(count):
                         at = np.flatnonzero((group == g) & (fold == f))
                         if len(at):
-                            for k, (m, s) in enumerate(names):
-                                found = models.get((g, m))
-                                number = best.get((g, m), 0) if s is None else s
-                                if found is not None and number < len(found):
-                                    out[at, k] = found[number][r * count + f].score(x[at])
+                            mine = x[at]
+                            for m, places in asked.items():
+                                found = models.get((g, m), [])
+                                chosen = [(k, best.get((g, m), 0) if s is None else s) for k, s in places]
+                                some = [(k, found[s][r * count + f]) for k, s in chosen if s < len(found)]
+                                for (k, _), scores in zip(some, score_settings([one for _, one in some], mine), strict=True):
+                                    out[at, k] = scores
                 yield r, fold, out
 
         return held
@@ -135,26 +142,26 @@ class Fits:
         """
         names = [(m, k) for m in self.methods() for k in range(max(len(v) for (_, n), v in self.models.items() if n == m))]
         rows = self._numbered(df.where(F.col(self.label).isin(0, 1)), [self.label])
-        held, label = self._held(names), self.label
-
-        def run(batches):
-            import pyarrow as pa
-
-            # Straight to one row for each score: no plan over a column for each setting.
-            for batch in batches:
-                for r, fold, out in held(batch):
-                    kept = [batch.column("__g"), pa.array(np.full(batch.num_rows, r), pa.int32()), pa.array(fold, pa.int32()), batch.column(label)]
-                    for k, (m, s) in enumerate(names):
-                        yield long_batch(kept, ["grp", "rep", "held_fold", label], f"p_{m}__{s}", out[:, k])
-
-        schema = StructType([StructField("grp", StringType()), StructField("rep", IntegerType()), StructField("held_fold", IntegerType()), rows.schema[label],
-                             StructField("model", StringType()), StructField("score", DoubleType())])
-        long = rows.mapInArrow(run, schema)
-        by = ["grp", "model", "rep", "held_fold"]
         if metric == "ROC":
-            measured = roc_auc(long, "score", self.label, by=by).select(*by, F.col("auc").alias("value"))
+            measured = held_areas(rows, self._held(names), [f"p_{m}__{s}" for m, s in names], self.label)
         elif metric == "Dist":
-            measured = best_threshold(long, "score", self.label, by=by).select(*by, F.sqrt(F.pow(1 - F.col("sensitivity"), 2) + F.pow(1 - F.col("specificity"), 2)).alias("value"))
+            held, label = self._held(names), self.label
+
+            def run(batches):
+                import pyarrow as pa
+
+                # Straight to one row for each score: no plan over a column for each setting.
+                for batch in batches:
+                    for r, fold, out in held(batch):
+                        kept = [batch.column("__g"), pa.array(np.full(batch.num_rows, r), pa.int32()), pa.array(fold, pa.int32()), batch.column(label)]
+                        for k, (m, s) in enumerate(names):
+                            yield long_batch(kept, ["grp", "rep", "held_fold", label], f"p_{m}__{s}", out[:, k])
+
+            schema = StructType([StructField("grp", StringType()), StructField("rep", IntegerType()), StructField("held_fold", IntegerType()), rows.schema[label],
+                                 StructField("model", StringType()), StructField("score", DoubleType())])
+            by = ["grp", "model", "rep", "held_fold"]
+            best = best_threshold(rows.mapInArrow(run, schema), "score", self.label, by=by)
+            measured = best.select(*by, F.sqrt(F.pow(1 - F.col("sensitivity"), 2) + F.pow(1 - F.col("specificity"), 2)).alias("value"))
         else:
             raise ValueError(f"metric must be ROC or Dist, not {metric}")
         means = measured.groupBy("grp", "model").agg(F.avg("value").alias("value")).collect()
@@ -170,6 +177,61 @@ class Fits:
         return df.sparkSession.createDataFrame(rows, "grp string, method string, setting int, value double")
 
 
+def held_areas(rows: DataFrame, held: Callable, titles: Sequence[str], label: str) -> DataFrame:
+    """Area under the curve of held-out scores, ties counting half: ``grp, model, rep, held_fold, value``.
+
+    ``held`` gives the scores of a batch, a column for each title. A score goes to one of a few ranges, so those of a range meet in
+    one task as two arrays, of either label, and are ordered there; pairs of different ranges need numbers only.
+    """
+    key = "grp string, model string, rep int, held_fold int"
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in larger(batches, SCORED_ROWS):
+            group, truth = np.array(batch.column("__g").to_pylist(), dtype=object), numbers(batch, [label])[:, 0].astype(np.int64)
+            for r, fold, out in held(batch):
+                parts: list[list] = [[] for _ in range(7)]
+                for g in sorted(set(group)):
+                    for f in np.unique(fold[group == g]):
+                        if not np.isfinite(f):
+                            continue
+                        at = np.flatnonzero((group == g) & (fold == f))
+                        for k, title in enumerate(titles):
+                            score = out[at, k]
+                            fine = np.isfinite(score)
+                            score = score[fine]
+                            place = 2 * np.minimum((np.clip(score, 0, 1) * RANGES).astype(np.int64), RANGES - 1) + truth[at][fine]
+                            order = np.argsort(place, kind="stable")
+                            ends = np.searchsorted(place[order], np.arange(2 * RANGES + 1))
+                            score = score[order]
+                            for part in range(RANGES):
+                                low, middle, high = ends[2 * part:2 * part + 3]
+                                if low < high:
+                                    for values, one in zip(parts, (g, title, r, int(f), part, score[low:middle].tobytes(), score[middle:high].tobytes()), strict=True):
+                                        values.append(one)
+                kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(parts, kinds, strict=True)], names=["grp", "model", "rep", "held_fold", "part", "zeros", "ones"])
+
+    def ordered(table):
+        import pyarrow as pa
+
+        zeros, ones = (np.sort(np.frombuffer(b"".join(table.column(c).to_pylist()))) for c in ("zeros", "ones"))
+        # Of each zero, the ones above it and half of those that equal it.
+        won = len(ones) * float(len(zeros)) - 0.5 * (np.searchsorted(ones, zeros, side="left").sum(dtype=float) + np.searchsorted(ones, zeros, side="right").sum(dtype=float))
+        names = ["grp", "model", "rep", "held_fold", "part"]
+        return pa.table([*[table.column(c).slice(0, 1) for c in names], pa.array([float(len(zeros))]), pa.array([float(len(ones))]), pa.array([won])], names=[*names, "n0", "n1", "won"])
+
+    parts = rows.mapInArrow(run, f"{key}, part int, zeros binary, ones binary")
+    by = ["grp", "model", "rep", "held_fold"]
+    ranges = parts.groupBy(*by, "part").applyInArrow(ordered, f"{key}, part int, n0 double, n1 double, won double")
+    each = ranges.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("part", "n0", "n1", "won"))).alias("parts"))
+    total = F.aggregate("parts", F.struct(F.lit(0.0).alias("n0"), F.lit(0.0).alias("n1"), F.lit(0.0).alias("won")), lambda a, p: F.struct(
+        (a["n0"] + p["n0"]).alias("n0"), (a["n1"] + p["n1"]).alias("n1"), (a["won"] + p["won"] + a["n0"] * p["n1"]).alias("won")))
+    found = each.select(*by, total.alias("t"))
+    return found.select(*by, F.try_divide(F.col("t.won"), F.col("t.n0") * F.col("t.n1")).alias("value"))
+
+
 def column_marks(df: DataFrame, columns: Sequence[str], label: str, group: str | None) -> dict[str, np.ndarray]:
     """Per group 31 quantiles of every column over the usable rows."""
     usable = df.where(F.col(label).isin(0, 1))

@@ -17,15 +17,20 @@ from vigilo.sources.tables import stage
 DIRECT_TASKS = 64
 #: Bytes of the sums of all tasks that may go straight to the driver in one job, and numbers of a piece that is added up on its own.
 DIRECT_BYTES, PIECE = 1 << 20, 1 << 15
-#: Rows of a block at most.
-BLOCK_ROWS = 2048
+#: Rows of a block at most, and blocks of a task where there are enough for every core.
+BLOCK_ROWS, TASK_BLOCKS = 2048, 64
+#: Numbers of the features that are joined to one block for work whose result is as large for few rows as for many.
+JOINED = 1 << 18
 #: Name of the group of rows without one.
 MISSING_GROUP = "\0missing"
 
 
 @dataclass
 class Block:
-    """Rows of one group: features, 0/1 labels, and the fold of each row in every repetition."""
+    """Rows of one group: features, 0/1 labels, and the fold of each row in every repetition.
+
+    ``parts`` are the number and the rows of each packed block in it, one unless several are joined.
+    """
 
     number: int
     group: str
@@ -34,6 +39,11 @@ class Block:
     folds: np.ndarray
     lane: int = 0
     lanes: int = 1
+    parts: tuple[tuple[int, int], ...] = ()
+
+    def draws(self, seed: int) -> np.ndarray:
+        """How often each row is drawn with replacement: the same for a seed in every pass, however blocks are joined."""
+        return np.concatenate([np.random.default_rng((number, seed)).poisson(1.0, n) for number, n in self.parts or [(self.number, len(self.y))]])
 
     def mine(self, item: int) -> bool:
         """Whether this lane does the item; where blocks are fewer than cores, each block has several lanes that share the work."""
@@ -92,6 +102,10 @@ def pack(df: DataFrame, columns: Sequence[str], label: str, folds: Sequence[str]
     if tasks < min(cores, count * lanes):
         tasks = min(count * lanes, cores)
         table = table.repartition(tasks)
+    elif tasks > max(2 * cores, -(-count // TASK_BLOCKS)):
+        # Every task gives whole sums: fewer tasks with more rows each move less.
+        tasks = max(2 * cores, -(-count // TASK_BLOCKS))
+        table = table.coalesce(tasks)
     return Blocks(table.persist(), tasks)
 
 
@@ -104,6 +118,24 @@ def read_blocks(batches) -> Iterable[Block]:
                         row["lane"], row["lanes"])
 
 
+def joined(blocks: Iterable[Block], numbers: int) -> Iterable[Block]:
+    """Blocks of one group and lane side by side, until their features hold ``numbers`` numbers."""
+    waiting: dict[tuple[str, int], list[Block]] = {}
+    for block in blocks:
+        some = waiting.setdefault((block.group, block.lane), [])
+        some.append(block)
+        if sum(b.x.size for b in some) >= numbers:
+            yield _join(waiting.pop((block.group, block.lane)))
+    for some in waiting.values():
+        yield _join(some)
+
+
+def _join(some: Sequence[Block]) -> Block:
+    first = some[0]
+    x, y, folds = (np.concatenate([getattr(b, name) for b in some]) if len(some) > 1 else getattr(first, name) for name in ("x", "y", "folds"))
+    return Block(first.number, first.group, x, y, folds, first.lane, first.lanes, tuple((b.number, len(b.y)) for b in some))
+
+
 def _rows(sums: Mapping[str, np.ndarray], task: int):
     """The arrays, cut along their first axis into pieces."""
     import pyarrow as pa
@@ -127,13 +159,15 @@ def _read(shape: str, data: bytes) -> np.ndarray:
 
 def totals(
     blocks: Blocks, work: Callable[[Block], Mapping[str, np.ndarray]], *, size: int | None = None, finish: Callable[[str, int, np.ndarray], np.ndarray] | None = None,
+    join: int = 0,
 ) -> dict[str, np.ndarray]:
     """Sums over all blocks of the named arrays that ``work`` gives for each.
 
     ``work`` sees a block once in each of its lanes and must give each of its arrays in one lane only. A task adds up its own blocks. Unless the
     arrays of all tasks are small (``size`` says how many numbers one task gives), the executors add them piece by piece, in two steps where
     there are many tasks, so that the driver gets each sum once. ``finish`` sees the name, the first row and the sum of
-    each piece (whole rows of the first axis) and gives what the driver needs of it, a row for each.
+    each piece (whole rows of the first axis) and gives what the driver needs of it, a row for each. With ``join`` a task joins its
+    blocks up to so many numbers of features before ``work`` sees them.
     """
     schema = "name string, piece int, at int, task int, shape string, data binary"
 
@@ -141,9 +175,12 @@ def totals(
         from pyspark import TaskContext
 
         sums: dict[str, np.ndarray] = {}
-        for block in read_blocks(batches):
+        for block in joined(read_blocks(batches), join):
             for name, part in work(block).items():
-                sums[name] = sums[name] + part if name in sums else np.atleast_1d(np.asarray(part, dtype=np.float64))
+                if name in sums:
+                    sums[name] += part
+                else:
+                    sums[name] = np.array(part, dtype=np.float64, ndmin=1)
         yield from _rows(sums, TaskContext.get().partitionId())
 
     def added(last: bool):

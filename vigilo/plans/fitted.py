@@ -69,26 +69,39 @@ class Fitted:
         seen = [a["prior"][c] - 0.5 * (np.log(2 * np.pi * a["variance"][c]) + (x - a["mean"][c]) ** 2 / a["variance"][c]).sum(axis=1) for c in (0, 1)]
         return logistic(seen[1] - seen[0])
 
-    def _leaves(self, x):
-        """Value of the node that each row ends in, for every tree."""
-        a, depth = self.arrays, self.setting["maxDepth"]
-        rows = np.arange(len(x))
+    def _leaves(self, x, depths: Sequence[int]):
+        """Values of the nodes that each row has reached after each of the rising ``depths``, for every tree."""
+        a = self.arrays
+        inner = a["feature"] >= 0
+        # A leaf leads to itself: no value is beyond its threshold.
+        feature, threshold = np.where(inner, a["feature"], 0).astype(np.int64), np.where(inner, a["threshold"], np.inf)
+        left = np.where(inner, a["left"], np.arange(len(inner)))
+        deepest = int(a["depth"].max(initial=0))
+        flat, starts = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1]
         for root in a["roots"]:
-            node = np.full(len(x), root)
-            for _ in range(depth):
-                feature = a["feature"][node]
-                inner = feature >= 0
-                if not inner.any():
-                    break
-                right = x[rows, np.maximum(feature, 0)] > a["threshold"][node]
-                node = np.where(inner, a["left"][node] + right, node)
-            yield a["value"][node]
+            node, reached, out = np.full(len(x), root), 0, []
+            for depth in depths:
+                for _ in range(min(depth, deepest) - reached):
+                    beyond = flat.take(starts + feature.take(node)) > threshold.take(node)
+                    node = left.take(node)
+                    node += beyond
+                reached = max(reached, min(depth, deepest))
+                out.append(a["value"].take(node))
+            yield out
+
+    def _forests(self, x, depths: Sequence[int]):
+        """Score of the forest cut off at each of the rising ``depths``."""
+        totals = [np.zeros(len(x)) for _ in depths]
+        for values in self._leaves(x, depths):
+            for total, value in zip(totals, values, strict=True):
+                total += value
+        return [total / len(self.arrays["roots"]) for total in totals]
 
     def _forest(self, x):
-        return sum(self._leaves(x), np.zeros(len(x))) / len(self.arrays["roots"])
+        return self._forests(x, [self.setting["maxDepth"]])[0]
 
     def _boosted(self, x):
-        return logistic(sum(self._leaves(x), np.full(len(x), float(self.arrays["start"]))))
+        return logistic(sum((v for v, in self._leaves(x, [self.setting["maxDepth"]])), np.full(len(x), float(self.arrays["start"]))))
 
     @property
     def feature_gain(self) -> np.ndarray:
@@ -117,6 +130,19 @@ class Fitted:
             return cls(method, kind, list(columns), json.loads(setting), {k: found[k] for k in found.files})
 
 
+def score_settings(fits: Sequence[Fitted], x: np.ndarray) -> list[np.ndarray]:
+    """Scores of one method at several settings; depths of one forest are read off on one way down its trees."""
+    depths = [f.setting.get("maxDepth") for f in fits]
+    if len(fits) > 1 and all(f.kind == "forest" and f.arrays is fits[0].arrays for f in fits) and depths == sorted(depths):
+        fine = np.isfinite(x).all(axis=1)
+        out = [np.full(len(x), np.nan) for _ in fits]
+        if fine.any():
+            for one, found in zip(out, fits[0]._forests(x[fine], depths), strict=True):
+                one[fine] = found
+        return out
+    return [f.score(x) for f in fits]
+
+
 #: Columns of a table of fitted classifiers.
 ROW_SCHEMA = "method string, kind string, columns array<string>, setting string, arrays binary"
 
@@ -127,6 +153,21 @@ def numbers(batch, names: Sequence[str]) -> np.ndarray:
     return np.column_stack(got) if got else np.empty((batch.num_rows, 0))
 
 
+def larger(batches, rows: int):
+    """Arrow batches joined until they hold so many rows."""
+    import pyarrow as pa
+
+    waiting, count = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        count += batch.num_rows
+        if count >= rows:
+            yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+            waiting, count = [], 0
+    if count:
+        yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+
+
 def with_columns(df: DataFrame, names: Sequence[str], columns: Sequence[str], work) -> DataFrame:
     """``df`` with double columns ``names`` that ``work`` makes of each batch and the numbers in ``columns``; missing where not a number."""
     names = list(names)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 from vigilo.plans.blocks import Block, Blocks, totals
@@ -148,39 +149,76 @@ def _losses(kind: str, z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.logaddexp(0, z) - y[:, None] * z, p - y[:, None], p * (1 - p)
 
 
-def _shared(block: Block, basis: Basis, fits: Sequence[tuple[int, str, np.ndarray]], masks: np.ndarray) -> np.ndarray:
-    """Per fit its loss, slope and the upper half of its curvature over a block; all fits see the same terms."""
-    terms = np.column_stack([np.ones(len(block.y)), basis.terms(block.x)])
-    m, out = terms.shape[1], []
+@lru_cache(maxsize=64)
+def _upper(size: int) -> np.ndarray:
+    """Places of the upper half of a square array, row by row."""
+    first, second = np.triu_indices(size)
+    return first * size + second
+
+
+def _gram(terms: np.ndarray, curve: np.ndarray) -> np.ndarray:
+    """Upper half of the weighted products of the terms; only rows with a weight (of the hinge, those near its corner) are multiplied."""
+    rows = np.flatnonzero(curve)
+    if len(rows) < 0.8 * len(curve):
+        terms, curve = terms.take(rows, axis=0), curve.take(rows)
+    # One array times itself takes half the work.
+    half = terms * np.sqrt(curve)[:, None]
+    return (half.T @ half).take(_upper(terms.shape[1]))
+
+
+def _shared(terms: np.ndarray, y: np.ndarray, fits: Sequence[tuple[int, str, np.ndarray]], masks: np.ndarray) -> np.ndarray:
+    """Per fit its loss, slope and the upper half of its curvature over a block; all fits see the same terms, the first of them one."""
+    m, out = terms.shape[1], np.empty((len(fits), 1 + terms.shape[1] + terms.shape[1] * (terms.shape[1] + 1) // 2))
     z = terms @ np.column_stack([w for _, _, w in fits])
     rows = masks[:, [p for p, _, _ in fits]]
-    loss, slope, curve = _losses(fits[0][1], z, block.y)
-    sums, slopes, curve = (loss * rows).sum(axis=0), terms.T @ (slope * rows), curve * rows
+    loss, slope, curve = _losses(fits[0][1], z, y)
+    out[:, 0], out[:, 1:1 + m] = (loss * rows).sum(axis=0), (terms.T @ (slope * rows)).T
+    curve = np.ascontiguousarray((curve * rows).T)
     for k in range(len(fits)):
-        out.append(np.concatenate([[sums[k]], slopes[:, k], (terms.T @ (terms * curve[:, k, None]))[np.triu_indices(m)]]))
-    return np.stack(out)
+        out[k, 1 + m:] = _gram(terms, curve[k])
+    return out
 
 
 def _net(x: np.ndarray, y: np.ndarray, theta: np.ndarray, k: int) -> np.ndarray:
+    """The same of a net over ``x``, which holds a row for each component: long rows are quicker to multiply."""
     inner, offset, outer, bias = np.split(theta, [k * HIDDEN, (k + 1) * HIDDEN, (k + 2) * HIDDEN])
-    hidden = logistic(x @ inner.reshape(k, HIDDEN) + offset)
-    z = hidden @ outer + bias[0]
+    hidden = logistic(inner.reshape(k, HIDDEN).T @ x + offset[:, None])
+    z = outer @ hidden + bias[0]
     loss, slope, curve = (a[:, 0] for a in _losses("logistic", z[:, None], y))
-    back = outer * hidden * (1 - hidden)
-    moves = np.concatenate([(x[:, :, None] * back[:, None, :]).reshape(len(x), k * HIDDEN), back, hidden, np.ones((len(x), 1))], axis=1)
-    return np.concatenate([[loss.sum()], moves.T @ slope, (moves.T @ (moves * curve[:, None]))[np.triu_indices(moves.shape[1])]])
+    size = len(theta)
+    moves = np.empty((size, x.shape[1]))
+    back = moves[k * HIDDEN:(k + 1) * HIDDEN]
+    np.multiply(hidden, 1 - hidden, out=back)
+    back *= outer[:, None]
+    for i in range(k):
+        np.multiply(back, x[i], out=moves[i * HIDDEN:(i + 1) * HIDDEN])
+    moves[(k + 1) * HIDDEN:-1], moves[-1] = hidden, 1
+    out = np.empty(1 + size + size * (size + 1) // 2)
+    out[0], out[1:1 + size] = loss.sum(), moves @ slope
+    moves *= np.sqrt(curve)
+    out[1 + size:] = (moves @ moves.T).take(_upper(size))
+    return out
 
 
 def _projected(block: Block, fits: Sequence[tuple[int, str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]], masks: np.ndarray) -> list[np.ndarray]:
     """The same where every fit has its own components."""
-    out = []
+    out, last = [], None
     for problem, loss, theta, project, mean, sd in fits:
-        rows = masks[:, problem]
-        y, seen = block.y[rows], block.x[rows] @ project
+        if problem != last:
+            rows, last = np.flatnonzero(masks[:, problem]), problem
+            y, seen = block.y.take(rows), block.x.take(rows, axis=0)
         if loss == "net":
-            out.append(_net((seen - mean) / sd, y, theta, project.shape[1]))
+            x = (project / sd).T @ seen.T
+            x -= (mean / sd)[:, None]
+            out.append(_net(x, y, theta, project.shape[1]))
         else:
-            out.append(_shared(Block(0, "", seen, y, block.folds[rows]), Basis("raw"), [(0, "logistic", theta)], np.ones((len(y), 1)))[0])
+            out.append(_shared(_with_one(seen @ project), y, [(0, "logistic", theta)], np.ones((len(y), 1)))[0])
+    return out
+
+
+def _with_one(terms: np.ndarray) -> np.ndarray:
+    out = np.empty((len(terms), 1 + terms.shape[1]))
+    out[:, 0], out[:, 1:] = 1, terms
     return out
 
 
@@ -229,10 +267,17 @@ def _step(
             return {}
         masks, took = block.trains(folds), np.zeros(count)
         out: dict[str, np.ndarray] = {}
+        # The terms of one basis at a time: the fits that share it follow each other.
+        last: tuple[Basis | None, np.ndarray | None] = None, None
         for place, (item, basis, fits) in enumerate(asked[block.group]):
             if block.mine(place):
                 begin = time.perf_counter()
-                out[str(item)] = np.concatenate([np.ravel(part) for part in (_shared(block, basis, fits, masks) if basis is not None else _projected(block, fits, masks))])
+                if basis is None:
+                    out[str(item)] = np.concatenate(_projected(block, fits, masks))
+                else:
+                    if last[0] is not basis:
+                        last = basis, _with_one(basis.terms(block.x))
+                    out[str(item)] = _shared(last[1], block.y, fits, masks).ravel()
                 took[item] = time.perf_counter() - begin
         return out | {"time": took}
 

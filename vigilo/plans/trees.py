@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from vigilo.plans.blocks import Block, Blocks, totals
+from vigilo.plans.blocks import JOINED, Block, Blocks, totals
 from vigilo.plans.fitted import Fitted, logistic
 
 #: Numbers in the histograms of one pass; trees wait for the next one beyond that.
@@ -37,15 +37,18 @@ class Tree:
         return self.feature, self.cut, self.left, self.level.max() if len(self.level) else 0
 
 
-def _ends(bins: np.ndarray, route: tuple) -> np.ndarray:
+def _ends(flat: np.ndarray, starts: np.ndarray, route: tuple) -> np.ndarray:
+    """The node in which each row ends whose bins begin at ``starts``."""
     feature, cut, left, depth = route
-    node, rows = np.zeros(len(bins), dtype=np.int64), np.arange(len(bins))
+    inner = feature >= 0
+    # A leaf leads to itself: no bin is beyond its cut.
+    column, cut = np.where(inner, feature, 0).astype(np.int64), np.where(inner, cut, np.iinfo(flat.dtype).max).astype(flat.dtype)
+    left = np.where(inner, left, np.arange(len(left))).astype(np.int64)
+    node = np.zeros(len(starts), dtype=np.int64)
     for _ in range(int(depth)):
-        at = feature[node]
-        inner = at >= 0
-        if not inner.any():
-            break
-        node = np.where(inner, left[node] + (bins[rows, np.maximum(at, 0)] > cut[node]), node)
+        beyond = flat.take(starts + column.take(node)) > cut.take(node)
+        node = left.take(node)
+        node += beyond
     return node
 
 
@@ -68,7 +71,21 @@ class Forest:
 
 def bins_of(x: np.ndarray, edges: Sequence[np.ndarray]) -> np.ndarray:
     """Number of each value's bin: how many edges are smaller."""
-    return np.column_stack([np.searchsorted(e, x[:, k], side="left") for k, e in enumerate(edges)]).astype(np.int32)
+    out = np.empty(x.shape, dtype=np.int16)
+    for k, e in enumerate(edges):
+        out[:, k] = np.searchsorted(e, x[:, k], side="left")
+    return out
+
+
+def tried_number(share: float, d: int) -> int:
+    """Columns that are tried at a node."""
+    return d if share >= 1 else max(1, int(np.ceil(share * d)))
+
+
+def _tried(seed: int, level: int, count: int, d: int, most: int) -> np.ndarray:
+    """The columns tried at each of the open nodes of a level, in their order."""
+    order = np.random.default_rng((seed, level)).random((count, d)).argsort(axis=1).argsort(axis=1)
+    return np.nonzero(order < most)[1].reshape(count, most)
 
 
 def _impurity(weight: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -77,11 +94,11 @@ def _impurity(weight: np.ndarray, ones: np.ndarray) -> np.ndarray:
         return np.where(weight > 0, 2 * ones * (weight - ones) / weight, 0.0)
 
 
-def _choose(cells: np.ndarray, boosted: bool, share: float, trees: Sequence[tuple[int, int, int]], start: int) -> np.ndarray:
-    """The best split of each node by its histogram (node, column, bin, two sums): best gain, first column and bin on ties.
+def _choose(cells: np.ndarray, boosted: bool, d: int, trees: Sequence[tuple[int, int, int]], start: int) -> np.ndarray:
+    """The best split of each node by its histogram (node, tried column, bin, two sums): best gain, first column and bin on ties.
 
     The nodes are those from ``start`` on of ``trees`` (seed, level and number of open nodes of each). A row holds the place of
-    the cut, its gain, and both sums of the node, of its left and of its right side.
+    the cut among all ``d`` columns, its gain, and both sums of the node, of its left and of its right side.
     """
     sums = cells.cumsum(axis=2)
     whole = sums[:, 0, -1]
@@ -95,15 +112,7 @@ def _choose(cells: np.ndarray, boosted: bool, share: float, trees: Sequence[tupl
         gain = _impurity(*np.moveaxis(whole, -1, 0))[:, None, None] - _impurity(*np.moveaxis(left, -1, 0)) - _impurity(*np.moveaxis(right, -1, 0))
         least = 1.0 - 1e-9
     gain = np.where((left[..., 0] >= least) & (right[..., 0] >= least), gain, -np.inf)
-    nodes, d, cuts = gain.shape
-    if share < 1:
-        before = 0
-        for seed, level, count in trees:
-            first, last = max(start, before), min(start + nodes, before + count)
-            if first < last:
-                order = np.random.default_rng((seed, level)).random((count, d)).argsort(axis=1).argsort(axis=1)[first - before:last - before]
-                gain[first - start:last - start][order >= max(1, int(np.ceil(share * d)))] = -np.inf
-            before += count
+    nodes, most, cuts = gain.shape
     out = np.zeros((nodes, 8))
     out[:, 1], out[:, 2:4] = -np.inf, whole
     flat, rows = gain.reshape(nodes, -1), np.arange(nodes)
@@ -111,6 +120,14 @@ def _choose(cells: np.ndarray, boosted: bool, share: float, trees: Sequence[tupl
         best = flat.argmax(axis=1)
         out[:, 0], out[:, 1] = best, flat[rows, best]
         out[:, 4:6], out[:, 6:8] = left[rows, best // cuts, best % cuts], right[rows, best // cuts, best % cuts]
+        before = 0
+        for seed, level, count in trees if most < d else ():
+            first, last = max(start, before), min(start + nodes, before + count)
+            if first < last:
+                some = best[first - start:last - start]
+                columns = _tried(seed, level, count, d, most)[first - before:last - before]
+                out[first - start:last - start, 0] = columns[np.arange(last - first), some // cuts] * cuts + some % cuts
+            before += count
     return out
 
 
@@ -147,12 +164,13 @@ def _pass(blocks: Blocks, chosen: list[tuple[Forest, list[Tree]]], edges: dict[s
     cells = 0
     for number, (forest, trees) in enumerate(chosen):
         d, most = len(edges[forest.group]), max(len(e) for e in edges[forest.group]) + 1
-        cells += sum(len(t.open) for t in trees) * d * most * 2
+        used = tried_number(forest.share, d)
+        cells += sum(len(t.open) for t in trees) * used * most * 2
         for first in range(0, len(trees), SHARE):
-            seen[f"h|{number}|{first}"] = forest.boosted, forest.share, [(t.seed, int(t.level[t.open[0]]), len(t.open)) for t in trees[first:first + SHARE]]
-            sent = [(t.problem, t.seed, t.route(), t.open, [b.route() + (b.value,) for b in forest.before.get((t.problem, t.depth), [])], forest.start.get(t.problem, 0.0))
+            seen[f"h|{number}|{first}"] = forest.boosted, d, [(t.seed, int(t.level[t.open[0]]), len(t.open)) for t in trees[first:first + SHARE]]
+            sent = [(t.problem, t.seed, int(t.level[t.open[0]]), t.route(), t.open, [b.route() + (b.value,) for b in forest.before.get((t.problem, t.depth), [])], forest.start.get(t.problem, 0.0))
                     for t in trees[first:first + SHARE]]
-            asked.setdefault(forest.group, []).append((number, first, forest.drawn, forest.boosted, sent))
+            asked.setdefault(forest.group, []).append((number, first, forest.drawn, forest.boosted, used, sent))
 
     def one(block: Block) -> dict[str, np.ndarray]:
         out = {}
@@ -161,43 +179,62 @@ def _pass(blocks: Blocks, chosen: list[tuple[Forest, list[Tree]]], edges: dict[s
         bins, masks = bins_of(block.x, edges[block.group]), block.trains(folds)
         n, d = bins.shape
         most = max(len(e) for e in edges[block.group]) + 1
-        column = np.arange(d) * most
+        flat, starts = bins.ravel(), np.arange(n) * d
         margins: dict[int, np.ndarray] = {}
+        draws: dict[int, np.ndarray] = {}
         took = np.zeros(len(chosen))
-        for item, (number, chunk, drawn, boosted, sent) in enumerate(asked[block.group]):
+        for item, (number, chunk, drawn, boosted, used, sent) in enumerate(asked[block.group]):
             if not block.mine(item):
                 continue
             begin = time.perf_counter()
-            parts = []
-            for problem, seed, route, open_, before, start in sent:
-                weight = masks[:, problem].astype(np.float64)
+            width = used * most
+            sizes = [len(open_) * width for _, _, _, _, open_, _, _ in sent]
+            part, at_cell = np.empty((sum(sizes), 2)), 0
+            for (problem, seed, level, route, open_, before, start), size in zip(sent, sizes, strict=True):
+                mine = masks[:, problem]
                 if drawn:
                     # The same draws in every pass and for every problem of a tree.
-                    weight = weight * np.random.default_rng((block.number, seed)).poisson(1.0, n)
-                ones = block.y
+                    if seed not in draws:
+                        draws[seed] = block.draws(seed)
+                    mine = mine & (draws[seed] > 0)
+                rows = np.flatnonzero(mine)
+                place = np.full(len(route[0]), -1, dtype=np.int64)
+                place[open_] = np.arange(len(open_))
+                at = place.take(_ends(flat, starts.take(rows), route))
+                inside = np.flatnonzero(at >= 0)
+                rows, at = rows.take(inside), at.take(inside)
+                first = starts.take(rows)
+                # A row of cells for each tried column.
+                cell = np.empty((used, len(rows)), dtype=np.int64)
+                columns = None if used == d else _tried(seed, level, len(open_), d, used)
+                begins = at * width
+                for k in range(used):
+                    np.add(begins, flat.take(first + (k if columns is None else columns[:, k].take(at))), out=cell[k])
+                    cell[k] += k * most
+                found = part[at_cell:at_cell + size]
                 if boosted:
                     key = id(before) if before else (problem, 0)
                     if key not in margins:
-                        margins[key] = sum((value[_ends(bins, (f, c, le, depth))] for f, c, le, depth, value in before), np.full(n, start))
-                    p = logistic(margins[key])
-                    first, second = weight * p * (1 - p), weight * (block.y - p)
+                        margins[key] = sum((value.take(_ends(flat, starts, (f, c, le, depth))) for f, c, le, depth, value in before), np.full(n, start))
+                    p = logistic(margins[key].take(rows))
+                    for c, values in enumerate((p * (1 - p), block.y.take(rows) - p)):
+                        found[:, c] = np.bincount(cell.ravel(), np.tile(values, used), size)
                 else:
-                    first, second = weight, weight * ones
-                place = np.full(len(route[0]), -1, dtype=np.int64)
-                place[open_] = np.arange(len(open_))
-                at = place[_ends(bins, route)]
-                rows = np.flatnonzero((at >= 0) & (weight > 0))
-                cell = ((at[rows, None] * (d * most)) + column + bins[rows]).ravel()
-                size = len(open_) * d * most
-                parts.append(np.stack([np.bincount(cell, np.repeat(v[rows], d), size) for v in (first, second)], axis=-1))
-            out[f"h|{number}|{chunk}"] = np.concatenate(parts).reshape(-1, d, most, 2)
+                    # Both classes are counted side by side; then the first sum is that of both.
+                    cell *= 2
+                    cell += block.y.take(rows).astype(np.int64)
+                    counts = np.bincount(cell.ravel(), np.tile(draws[seed].take(rows).astype(np.float64), used) if drawn else None, 2 * size).reshape(size, 2)
+                    found[:, 1] = counts[:, 1]
+                    found[:, 0] = counts[:, 0] + counts[:, 1]
+                at_cell += size
+            out[f"h|{number}|{chunk}"] = part.reshape(-1, used, most, 2)
             took[number] += time.perf_counter() - begin
         return out | {"time": took}
 
     def best(name: str, start: int, part: np.ndarray) -> np.ndarray:
         return part if name == "time" else _choose(part, *seen[name], start)
 
-    sums = totals(blocks, one, size=cells + len(chosen), finish=best)
+    sums = totals(blocks, one, size=cells + len(chosen), finish=best, join=JOINED)
     for number, (forest, trees) in enumerate(chosen):
         cuts = max(len(e) for e in edges[forest.group])
         found, at = np.concatenate([sums[f"h|{number}|{first}"] for first in range(0, len(trees), SHARE)]), 0
@@ -213,7 +250,7 @@ def grow(blocks: Blocks, forests: Sequence[Forest], edges: dict[str, list[np.nda
     while True:
         chosen, cells = [], 0
         for forest in forests:
-            width = len(edges[forest.group]) * (max((len(e) for e in edges[forest.group]), default=0) + 1) * 2
+            width = tried_number(forest.share, len(edges[forest.group])) * (max((len(e) for e in edges[forest.group]), default=0) + 1) * 2
             taken = []
             for tree in forest.trees:
                 if not len(tree.open):
